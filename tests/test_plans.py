@@ -1,0 +1,124 @@
+"""Shapes of the physical plans."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmart.fixture.queries import star_plan
+from tillmart.operators.enrich import enrich
+from tillmart.plans.reports import REPORTS, Marts
+
+TOP_K = ["top_products", "top_customers", "top_stores", "top_suppliers", "products_highest_rating",
+         "products_lowest_rating", "products_most_reviews"]
+
+# dimensions whose attributes a report needs
+JOINS = {
+    "top_products": 1, "revenue_by_category": 1, "product_ratings": 0, "customers_by_country": 0,
+    "customer_avg_order": 1, "monthly_trends": 1, "yearly_comparison": 1, "monthly_avg_order_size": 1,
+    "top_stores": 1, "sales_by_location": 1, "store_avg_check": 1, "top_suppliers": 1, "supplier_avg_price": 2,
+    "sales_by_supplier_country": 1, "products_highest_rating": 0, "products_lowest_rating": 0,
+    "rating_sales_correlation": 1, "products_most_reviews": 0,
+}
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def star(spark, folder):
+    return star_plan(spark, folder)
+
+
+@pytest.fixture(scope="module")
+def marts(star):
+    return Marts(star.fact, star.dimension_tables())
+
+
+@pytest.mark.parametrize("name", TOP_K)
+def test_top_k_is_no_full_sort(marts, name):
+    plan = physical(REPORTS[name].build(marts))
+    assert "TakeOrderedAndProject" in plan
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", list(JOINS))
+def test_report_joins_only_what_it_needs(marts, name):
+    assert physical(REPORTS[name].build(marts)).count("Join ") == JOINS[name]
+
+
+@pytest.mark.parametrize("name", [n for n in REPORTS if n != "customers_by_country"])
+def test_no_single_partition(marts, name):
+    assert "SinglePartition" not in physical(REPORTS[name].build(marts))
+
+
+def ancestors(plan, marker):
+    """Operators above the first scan that reads ``marker``, nearest first."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and marker in line)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-*("))
+
+    above, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line.strip(" :+-*("))
+    return above
+
+
+@pytest.mark.parametrize("name", [n for n, joins in JOINS.items() if joins])
+def test_fact_is_totalled_before_it_is_joined(marts, name):
+    above = ancestors(physical(REPORTS[name].build(marts)), "_id:bigint")  # dimensions store no key
+    kinds = [next((k for k in ("HashAggregate", "Join") if k in line.split("[")[0].split("(")[0]), "") for line in above]
+    kinds = [k for k in kinds if k]
+    assert kinds[:2] == ["HashAggregate", "HashAggregate"] and "Join" in kinds
+
+
+def test_scan_reads_only_used_columns(marts):
+    plan = physical(REPORTS["revenue_by_category"].build(marts))
+    schemas = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
+    assert any("product_id" in s and "total_price" in s and "quantity" not in s for s in schemas)
+    assert any("product_category" in s and "product_brand" not in s for s in schemas)
+
+
+def test_large_dimensions_are_not_broadcast(spark, star):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(enrich(star.fact, star.dimension_tables()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("SortMergeJoin") == 5
+
+
+def test_filter_reaches_the_scan(marts):
+    plan = physical(REPORTS["product_ratings"].build(marts))
+    assert "IsNotNull(product_rating)" in plan.split("PushedFilters:")[1].split("]")[0]
+
+
+def test_lookup_is_an_equi_join(spark, star):
+    from tillmart.operators.lookup import keyed_sales
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(keyed_sales(star.clean, star.dims, {n: star.members(n) for n in star.dims}))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 6 and "NestedLoop" not in plan
+
+
+def test_keys_stay_correct_without_broadcast(spark, star):
+    """The shuffled lookup gives the same fact as the broadcast one."""
+    from tillmart.operators.lookup import fact_sales, keyed_sales
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = fact_sales(keyed_sales(star.clean, star.dims, {n: star.members(n) for n in star.dims}))
+        assert again.exceptAll(star.fact).count() == 0 and again.count() == star.fact.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert star.fact.agg(F.count("*")).collect()[0][0] > 0

@@ -26,14 +26,14 @@ from tillmart.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PLANS: dict[tuple[str, str, str], StarPlan] = {}
+_PLANS: dict[tuple[str, str], StarPlan] = {}
 
 
-def star_plan(spark: SparkSession, folder: str, grain: str = "sale") -> StarPlan:
+def star_plan(spark: SparkSession, folder: str) -> StarPlan:
     """The star of a folder; its tables are written once per Spark application."""
-    slot = (spark.sparkContext.applicationId, folder, grain)
+    slot = (spark.sparkContext.applicationId, folder)
     if slot not in _PLANS:
-        _PLANS[slot] = StarPlan(sales_raw(spark, folder), Workspace(spark), ORDER, grain=grain)
+        _PLANS[slot] = StarPlan(sales_raw(spark, folder), Workspace(spark), ORDER)
     return _PLANS[slot]
 
 
@@ -265,5 +265,5 @@ def registry() -> dict[str, Query]:
         **{name: _mart(name) for name in REPORTS},
         "fact_sale_id": fact_sale_id,
         **{name: _mart(name) for name in ADDITIONS},
-        "dim_customer_person": lambda s, d: _published(star_plan(s, d, "person").dimension("customer")),
+        "dim_customer_person": lambda s, d: _published(star_plan(s, d).variant(grain="person").dimension("customer")),
     }

@@ -55,6 +55,10 @@ ENRICHED: dict[str, dict[str, str]] = {
     },
 }
 
+# Most members first: the rows are still narrow when they are shuffled to a large dimension,
+# and small dimensions are broadcast without moving the rows.
+JOIN_ORDER = ("customer", "product", "supplier", "store", "time")
+
 FACT_COLUMNS = TABLES["fact_sales"].names
 
 
@@ -82,7 +86,7 @@ def enrich(fact: DataFrame, members: dict[str, DataFrame], need: Iterable[str] |
             raise ValueError(f"unknown columns: {sorted(unknown)}")
         asked = [c for c in asked if c in set(need)]
     rows = fact
-    for name, columns in ENRICHED.items():
-        if any(c in asked for c in columns.values()):
+    for name in JOIN_ORDER:
+        if any(c in asked for c in ENRICHED[name].values()):
             rows = attach(rows, members[name], name, asked)
     return rows.select(*asked)

@@ -17,13 +17,12 @@ WRITTEN = "written"
 FAILED = "failed"
 
 
-def publish(marts: Marts, target: Target, reports: Iterable[Report] | None = None, at_once: int = 4) -> DataFrame:
+def publish(marts: Marts, target: Target, reports: Iterable[Report] | None = None, at_once: int = 8) -> DataFrame:
     """Write every report and return the manifest: one row per report.
 
     A report that fails is recorded and does not stop the others; see :func:`failures`.
     """
     spark = marts.fact.sparkSession
-    marts.share_totals()
 
     def write(report: Report) -> tuple:
         try:
@@ -42,9 +41,15 @@ def failures(manifest: DataFrame) -> list[str]:
     return [r["table_name"] for r in manifest.where(manifest["status"] == FAILED).collect()]
 
 
-def store_star(tables: dict[str, DataFrame], target: Target) -> dict[str, int]:
+def store_star(tables: dict[str, DataFrame], target: Target, at_once: int = 4) -> dict[str, int]:
     """Replace the star tables; returns the rows written to each. May be repeated."""
-    return {name: target.write(conform(tables[name], name), name) for name in TABLES}
+    spark = tables["fact_sales"].sparkSession
+
+    def write(name: str) -> int:
+        return target.write(conform(tables[name], name), name)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(TABLES, pool.map(inheritable_thread_target(spark)(write), TABLES)))
 
 
 def load_star(spark: SparkSession, target: Target, partitions: int | None = None) -> dict[str, DataFrame]:

@@ -3,12 +3,16 @@
 Marts on sales first total the fact per member key, then attach the member's attributes to
 the totals and roll them up. The join thus meets one row per member instead of one per
 sale, and a member with a third of all sales is combined on the map side.
+
+Full sorts end with columns that tell all rows apart: the order is reproducible, and a
+value that many rows share does not put them all into one sort task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -21,33 +25,34 @@ from tillmart.schema import DIMENSIONS
 from tillmart.workspace import Workspace
 
 
+SHARED = ("product", "supplier", "store", "time")  # dimensions that several reports total by
+
+
 class Marts:
     """Inputs of the reports: a fact, its dimensions, and totals that several reports share.
 
-    With a workspace the totals of a dimension are written once and reused by all reports
-    of that dimension; without, each report computes what it needs.
+    With a workspace the totals of a shared dimension are written when the first report asks
+    for them, and the fact is scanned once for all reports of that dimension. Customer
+    totals can be as many as sales, so the two reports that need them compute them.
     """
 
     def __init__(self, fact: DataFrame, dims: dict[str, DataFrame], workspace: Workspace | None = None):
         self.fact = fact
         self.dims = dims
         self.workspace = workspace
-        self._stored: dict[tuple[str, ...], DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in SHARED}
 
     def totals(self, *names: str) -> DataFrame:
         """Sales measures per member of the named dimensions."""
-        if names in self._stored:
-            return self._stored[names]
-        return total_sales(self.fact, *[DIMENSIONS[n].key for n in names])
-
-    def share_totals(self) -> None:
-        """Write the totals that several reports read. Customers are as many as sales: not shared."""
-        if self.workspace:
-            for names in (("supplier", "product"), ("store",), ("time",)):
-                stored = self.workspace.store("totals_" + "_".join(names), self.totals(*names))
-                self._stored[names] = stored
-            for name in ("supplier", "product"):
-                self._stored[(name,)] = roll_up(self._stored[("supplier", "product")], DIMENSIONS[name].key)
+        fresh = total_sales(self.fact, *[DIMENSIONS[n].key for n in names])
+        if self.workspace is None or len(names) > 1 or names[0] not in SHARED:
+            return fresh
+        (name,) = names
+        with self._locks[name]:
+            if name not in self._stored:
+                self._stored[name] = self.workspace.store(f"totals_{name}", fresh)
+        return self._stored[name]
 
     def by(self, name: str, *columns: str) -> DataFrame:
         """Sales measures per attribute values of one dimension; unknown members are NULL."""
@@ -100,13 +105,15 @@ def top_products(m: Marts) -> DataFrame:
 
 @_report("products")
 def revenue_by_category(m: Marts) -> DataFrame:
-    return m.by("product", "category").orderBy(_down("revenue")).select("category", _revenue())
+    by_category = m.by("product", "category").orderBy(_down("revenue"), _up("category"))
+    return by_category.select("category", _revenue())
 
 
 @_report("products")
 def product_ratings(m: Marts) -> DataFrame:
     rated = m.dims["product"].where(F.col("rating").isNotNull())
-    return rated.select("product_name", "rating", "reviews", "category").orderBy(_down("rating"))
+    ordered = rated.orderBy(_down("rating"), _up("product_id"))
+    return ordered.select("product_name", "rating", "reviews", "category")
 
 
 # --- customers ----------------------------------------------------------------------------
@@ -130,7 +137,7 @@ def top_customers(m: Marts) -> DataFrame:
 @_report("customers")
 def customers_by_country(m: Marts) -> DataFrame:
     counted = m.dims["customer"].groupBy("country").agg(F.count(F.lit(1)).alias("customer_count"))
-    return counted.orderBy(_down("customer_count"))
+    return counted.orderBy(_down("customer_count"), _up("country"))
 
 
 @_report("customers")
@@ -142,7 +149,7 @@ def customer_avg_order(m: Marts) -> DataFrame:
             "customer_id", *who, mean("revenue", "revenue_known").alias("avg_order_value"), _orders(),
             amount("revenue").alias("total_spent"),
         )
-        .orderBy(_down("avg_order_value"))
+        .orderBy(_down("avg_order_value"), _up("customer_id"))
     )
 
 
@@ -187,14 +194,16 @@ def top_stores(m: Marts) -> DataFrame:
 @_report("stores")
 def sales_by_location(m: Marts) -> DataFrame:
     keys = ["store_country", "store_city"]
-    return m.by("store", *keys).orderBy(_down("revenue")).select(*keys, _revenue(), _orders())
+    located = m.by("store", *keys).orderBy(_down("revenue"), *map(_up, keys))
+    return located.select(*keys, _revenue(), _orders())
 
 
 @_report("stores")
 def store_avg_check(m: Marts) -> DataFrame:
     keys = ["store_name", "store_city"]
     check = mean("revenue", "revenue_known").alias("avg_check")
-    return m.by("store", *keys).select(*keys, check, _orders(), _revenue()).orderBy(_down("avg_check"))
+    checked = m.by("store", *keys).select(*keys, check, _orders(), _revenue())
+    return checked.orderBy(_down("avg_check"), *map(_up, keys))
 
 
 # --- suppliers ----------------------------------------------------------------------------
@@ -223,12 +232,12 @@ def supplier_avg_price(m: Marts) -> DataFrame:
     )
     return per_name.select(
         "supplier_name", mean("list_price", "priced").alias("avg_price"), F.col("named").alias("product_count")
-    ).orderBy(_down("avg_price"))
+    ).orderBy(_down("avg_price"), _up("supplier_name"))
 
 
 @_report("suppliers")
 def sales_by_supplier_country(m: Marts) -> DataFrame:
-    by_country = m.by("supplier", "supplier_country").orderBy(_down("revenue"))
+    by_country = m.by("supplier", "supplier_country").orderBy(_down("revenue"), _up("supplier_country"))
     return by_country.select("supplier_country", _revenue(), _orders())
 
 
@@ -256,7 +265,7 @@ def rating_sales_correlation(m: Marts) -> DataFrame:
         m.by("product", *keys)
         .where(F.col("rating").isNotNull())
         .select(*keys, F.col("units").alias("total_sales"), _revenue(), _orders())
-        .orderBy(_down("total_sales"))
+        .orderBy(_down("total_sales"), *map(_up, keys))
     )
 
 

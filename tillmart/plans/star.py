@@ -40,10 +40,20 @@ class StarPlan:
         self.workspace = workspace
         self.order = order
         self.lookup = lookup
+        self.grain = grain
         self.dims = dimensions(grain)
         self._built: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in ("clean", "keyed", "sale_ids", *self.dims)}
 
+    def variant(self, lookup: str | None = None, grain: str | None = None) -> StarPlan:
+        """The same clean rows with another lookup or customer grain; what agrees is shared."""
+        other = StarPlan(self.raw, Workspace(self.workspace.spark), self.order, lookup or self.lookup,
+                         grain or self.grain)
+        self.clean  # noqa: B018  (written before it is shared)
+        shared = [n for n in ("clean", *self.dims) if n == "clean" or self.dims[n] == other.dims[n]]
+        other._built.update({n: self._built[n] for n in shared if n in self._built})
+        return other
+
     def _once(self, name: str, build) -> DataFrame:
         with self._locks[name]:
             if name not in self._built:

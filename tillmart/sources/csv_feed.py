@@ -6,6 +6,7 @@ from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,8 +55,13 @@ def _reader(spark: SparkSession):
 
 
 def _header(spark: SparkSession, paths: list[str]) -> tuple[str, ...]:
-    """Column names of the first file; reads one line."""
-    return tuple(_reader(spark).csv(paths).columns)
+    """Column names of the first file; reads one line. Empty if there is no file."""
+    try:
+        return tuple(_reader(spark).csv(paths).columns)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return ()
+        raise
 
 
 def _files_by_header(spark: SparkSession, folder: str) -> list[tuple[tuple[str, ...], list[str]]]:
