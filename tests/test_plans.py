@@ -122,3 +122,18 @@ def test_keys_stay_correct_without_broadcast(spark, star):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert star.fact.agg(F.count("*")).collect()[0][0] > 0
+
+
+def test_unordered_marts_do_not_sort(star):
+    unordered = Marts(star.fact, star.dimension_tables(), ordered=False)
+    for name, report in REPORTS.items():
+        plan = physical(report.build(unordered))
+        assert "rangepartitioning" not in plan
+        assert ("TakeOrderedAndProject" in plan) == (name in TOP_K)
+
+
+def test_full_sorts_are_split_by_unique_columns(marts):
+    """A range shuffle on the rating alone would put equal ratings into one task."""
+    assert "rangepartitioning(rating#" in physical(REPORTS["product_ratings"].build(marts))
+    line = next(x for x in physical(REPORTS["product_ratings"].build(marts)).splitlines() if "rangepartitioning" in x)
+    assert "product_id" in line

@@ -65,13 +65,13 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     nation = table("nation")
+    customers = table("customer").join(nation.alias("cn"), F.expr("c_nationkey = cn.n_nationkey"))
+    suppliers = table("supplier").join(nation.alias("sn"), F.expr("s_nationkey = sn.n_nationkey"))
+    orders = table("orders").join(customers, F.expr("o_custkey = c_custkey"))
     return (
         table("lineitem")
-        .join(table("orders"), F.expr("l_orderkey = o_orderkey"))
-        .join(table("customer"), F.expr("o_custkey = c_custkey"))
-        .join(nation.alias("cn"), F.expr("c_nationkey = cn.n_nationkey"))
+        .join(orders, F.expr("l_orderkey = o_orderkey"))  # line items are shuffled once for both
         .join(table("part"), F.expr("l_partkey = p_partkey"))
-        .join(table("supplier"), F.expr("l_suppkey = s_suppkey"))
-        .join(nation.alias("sn"), F.expr("s_nationkey = sn.n_nationkey"))
+        .join(suppliers, F.expr("l_suppkey = s_suppkey"))
         .select(*[F.expr(sql).alias(name) for name, sql in COLUMNS.items()], *EXTRA)
     )

@@ -37,7 +37,7 @@ def main(arguments: list[str] | None = None) -> dict[str, int]:
     raw = scan_csv_folder(spark, options.feed, mixed=options.mixed, infer=options.infer, source_file=True)
     workspace = Workspace(spark)
     star = StarPlan(raw, workspace, [SOURCE_FILE], options.lookup, options.grain)
-    written = store_star(star.tables(), target(options, "star"))
+    written = store_star(star.tables(write_fact=False), target(options, "star"))
     workspace.discard()
     for table, rows in written.items():
         print(f"{table}: {rows} rows")

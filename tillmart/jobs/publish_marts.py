@@ -20,6 +20,7 @@ from tillmart.workspace import Workspace
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--only", nargs="*", choices=list(REPORTS), help="publish these marts only")
+    p.add_argument("--ordered", action="store_true", help="sort uncut marts before they are written")
     p.add_argument("--read-partitions", type=int, help="parallel JDBC reads per star table")
     p.add_argument("--input-bytes", type=int, help="size of the star; sizes the shuffle partitions")
     add_target(p, "star", "where the star tables are")
@@ -36,7 +37,8 @@ def main(arguments: list[str] | None = None) -> int:
     star = load_star(spark, source, options.read_partitions)
     if source.is_jdbc:  # copied once: all marts then read columnar files, not the database
         star = {name: workspace.store(name, df) for name, df in star.items()}
-    marts = Marts(star["fact_sales"], {name: star[d.table] for name, d in DIMENSIONS.items()}, workspace)
+    dims = {name: star[d.table] for name, d in DIMENSIONS.items()}
+    marts = Marts(star["fact_sales"], dims, workspace, options.ordered)
     manifest = publish(marts, target(options, "marts"), [REPORTS[n] for n in options.only or REPORTS])
     manifest.show(len(REPORTS), truncate=False)
     workspace.discard()

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,9 +34,20 @@ class Marts:
     With a workspace the totals of a shared dimension are written when the first report asks
     for them, and the fact is scanned once for all reports of that dimension. Customer
     totals can be as many as sales, so the two reports that need them compute them.
+
+    ``ordered=False`` leaves out the final sort of reports that are not cut off. A stored
+    table keeps no order, so a job that only writes them saves the range shuffle; top-k
+    reports always rank.
     """
 
-    def __init__(self, fact: DataFrame, dims: dict[str, DataFrame], workspace: Workspace | None = None):
+    def __init__(
+        self,
+        fact: DataFrame,
+        dims: dict[str, DataFrame],
+        workspace: Workspace | None = None,
+        ordered: bool = True,
+    ):
+        self.ordered = ordered
         self.fact = fact
         self.dims = dims
         self.workspace = workspace
@@ -58,6 +69,9 @@ class Marts:
         """Sales measures per attribute values of one dimension; unknown members are NULL."""
         return roll_up(attach(self.totals(name), self.dims[name], name, columns), *columns)
 
+    def sort(self, df: DataFrame, *order: Column) -> DataFrame:
+        return df.orderBy(*order) if self.ordered else df
+
 
 @dataclass(frozen=True)
 class Report:
@@ -105,14 +119,14 @@ def top_products(m: Marts) -> DataFrame:
 
 @_report("products")
 def revenue_by_category(m: Marts) -> DataFrame:
-    by_category = m.by("product", "category").orderBy(_down("revenue"), _up("category"))
+    by_category = m.sort(m.by("product", "category"), _down("revenue"), _up("category"))
     return by_category.select("category", _revenue())
 
 
 @_report("products")
 def product_ratings(m: Marts) -> DataFrame:
     rated = m.dims["product"].where(F.col("rating").isNotNull())
-    ordered = rated.orderBy(_down("rating"), _up("product_id"))
+    ordered = m.sort(rated, _down("rating"), _up("product_id"))
     return ordered.select("product_name", "rating", "reviews", "category")
 
 
@@ -137,20 +151,17 @@ def top_customers(m: Marts) -> DataFrame:
 @_report("customers")
 def customers_by_country(m: Marts) -> DataFrame:
     counted = m.dims["customer"].groupBy("country").agg(F.count(F.lit(1)).alias("customer_count"))
-    return counted.orderBy(_down("customer_count"), _up("country"))
+    return m.sort(counted, _down("customer_count"), _up("country"))
 
 
 @_report("customers")
 def customer_avg_order(m: Marts) -> DataFrame:
     who = ["customer_first_name", "customer_last_name"]
-    return (
-        attach(m.totals("customer"), m.dims["customer"], "customer", who)
-        .select(
-            "customer_id", *who, mean("revenue", "revenue_known").alias("avg_order_value"), _orders(),
-            amount("revenue").alias("total_spent"),
-        )
-        .orderBy(_down("avg_order_value"), _up("customer_id"))
+    averages = attach(m.totals("customer"), m.dims["customer"], "customer", who).select(
+        "customer_id", *who, mean("revenue", "revenue_known").alias("avg_order_value"), _orders(),
+        amount("revenue").alias("total_spent"),
     )
+    return m.sort(averages, _down("avg_order_value"), _up("customer_id"))
 
 
 # --- time ---------------------------------------------------------------------------------
@@ -158,27 +169,22 @@ def customer_avg_order(m: Marts) -> DataFrame:
 
 @_report("time")
 def monthly_trends(m: Marts) -> DataFrame:
-    return (
-        m.by("time", "year", "month")
-        .orderBy(_up("year"), _up("month"))
-        .select("year", "month", amount("revenue").alias("monthly_revenue"), _orders(),
-                F.col("units").alias("total_quantity"))
+    return m.sort(m.by("time", "year", "month"), _up("year"), _up("month")).select(
+        "year", "month", amount("revenue").alias("monthly_revenue"), _orders(), F.col("units").alias("total_quantity")
     )
 
 
 @_report("time")
 def yearly_comparison(m: Marts) -> DataFrame:
-    by_year = m.by("time", "year").orderBy(_up("year"))
+    by_year = m.sort(m.by("time", "year"), _up("year"))
     return by_year.select("year", amount("revenue").alias("yearly_revenue"), _orders())
 
 
 @_report("time")
 def monthly_avg_order_size(m: Marts) -> DataFrame:
-    return (
-        m.by("time", "year", "month")
-        .orderBy(_up("year"), _up("month"))
-        .select("year", "month", mean("units", "units_known").alias("avg_order_size"),
-                mean("revenue", "revenue_known").alias("avg_order_value"))
+    return m.sort(m.by("time", "year", "month"), _up("year"), _up("month")).select(
+        "year", "month", mean("units", "units_known").alias("avg_order_size"),
+        mean("revenue", "revenue_known").alias("avg_order_value"),
     )
 
 
@@ -194,7 +200,7 @@ def top_stores(m: Marts) -> DataFrame:
 @_report("stores")
 def sales_by_location(m: Marts) -> DataFrame:
     keys = ["store_country", "store_city"]
-    located = m.by("store", *keys).orderBy(_down("revenue"), *map(_up, keys))
+    located = m.sort(m.by("store", *keys), _down("revenue"), *map(_up, keys))
     return located.select(*keys, _revenue(), _orders())
 
 
@@ -203,7 +209,7 @@ def store_avg_check(m: Marts) -> DataFrame:
     keys = ["store_name", "store_city"]
     check = mean("revenue", "revenue_known").alias("avg_check")
     checked = m.by("store", *keys).select(*keys, check, _orders(), _revenue())
-    return checked.orderBy(_down("avg_check"), *map(_up, keys))
+    return m.sort(checked, _down("avg_check"), *map(_up, keys))
 
 
 # --- suppliers ----------------------------------------------------------------------------
@@ -230,14 +236,15 @@ def supplier_avg_price(m: Marts) -> DataFrame:
         .groupBy("supplier_name")
         .agg(*[F.sum(c).alias(c) for c in ("list_price", "priced", "named")])
     )
-    return per_name.select(
+    prices = per_name.select(
         "supplier_name", mean("list_price", "priced").alias("avg_price"), F.col("named").alias("product_count")
-    ).orderBy(_down("avg_price"), _up("supplier_name"))
+    )
+    return m.sort(prices, _down("avg_price"), _up("supplier_name"))
 
 
 @_report("suppliers")
 def sales_by_supplier_country(m: Marts) -> DataFrame:
-    by_country = m.by("supplier", "supplier_country").orderBy(_down("revenue"), _up("supplier_country"))
+    by_country = m.sort(m.by("supplier", "supplier_country"), _down("revenue"), _up("supplier_country"))
     return by_country.select("supplier_country", _revenue(), _orders())
 
 
@@ -261,12 +268,9 @@ def products_lowest_rating(m: Marts) -> DataFrame:
 @_report("quality")
 def rating_sales_correlation(m: Marts) -> DataFrame:
     keys = ["product_name", "rating", "category"]
-    return (
-        m.by("product", *keys)
-        .where(F.col("rating").isNotNull())
-        .select(*keys, F.col("units").alias("total_sales"), _revenue(), _orders())
-        .orderBy(_down("total_sales"), *map(_up, keys))
-    )
+    rated = m.by("product", *keys).where(F.col("rating").isNotNull())
+    sales = rated.select(*keys, F.col("units").alias("total_sales"), _revenue(), _orders())
+    return m.sort(sales, _down("total_sales"), *map(_up, keys))
 
 
 @_report("quality")

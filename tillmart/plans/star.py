@@ -72,16 +72,16 @@ class StarPlan:
         """A dimension in its stored form."""
         return stored_form(self.members(name), self.dims[name])
 
+    def keyed_plan(self) -> DataFrame:
+        """The fact with the id of its sale, computed by whoever reads it."""
+        self.prepare()
+        numbered = {name: self.members(name) for name in self.dims}
+        return keyed_sales(self.clean, self.dims, numbered, self.lookup)
+
     @property
     def keyed(self) -> DataFrame:
-        """The fact with the id of its sale."""
-
-        def build() -> DataFrame:
-            self.prepare()
-            numbered = {name: self.members(name) for name in self.dims}
-            return self.workspace.store("fact_sales", keyed_sales(self.clean, self.dims, numbered, self.lookup))
-
-        return self._once("keyed", build)
+        """The same, written once."""
+        return self._once("keyed", lambda: self.workspace.store("fact_sales", self.keyed_plan()))
 
     @property
     def fact(self) -> DataFrame:
@@ -102,9 +102,9 @@ class StarPlan:
         with ThreadPoolExecutor(len(self.dims)) as pool:
             list(pool.map(run, self.dims))
 
-    def tables(self) -> dict[str, DataFrame]:
-        """The seven stored tables."""
-        fact = self.fact
+    def tables(self, write_fact: bool = True) -> dict[str, DataFrame]:
+        """The seven stored tables. A caller that reads the fact once need not have it written first."""
+        fact = self.fact if write_fact else fact_sales(self.keyed_plan())
         return {**{d.table: self.dimension(name) for name, d in self.dims.items()}, "fact_sales": fact}
 
     def dimension_tables(self) -> dict[str, DataFrame]:
