@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tillmart.jobs import load_star as load_job
 from tillmart.jobs import publish_marts as publish_job
 from tillmart.operators.checks import duplicate_keys, orphan_keys
+from tillmart.plans.integrity import violations
 from tillmart.plans.publish import failures, load_star, publish, store_star
 from tillmart.plans.reports import REPORTS, Marts, Report
 from tillmart.plans.star import StarPlan
@@ -84,6 +85,14 @@ def test_checks(spark, star):
     assert orphan_keys(null_key, "product_id", products).count() == 0
 
 
+def test_violations_of_a_whole_star(star):
+    tables = star.tables()
+    assert violations(tables) == 0
+    broken = {**tables, "dim_product": tables["dim_product"].where("product_id <> 3")}
+    broken["dim_time"] = tables["dim_time"].unionAll(tables["dim_time"].where("time_id <= 2"))
+    assert violations(broken) == 3
+
+
 def test_workspace_counts_and_discards(spark, tmp_path):
     workspace = Workspace(spark, str(tmp_path / "run"))
     assert workspace.store("t", spark.range(7)).count() == 7
@@ -93,11 +102,11 @@ def test_workspace_counts_and_discards(spark, tmp_path):
     assert not (tmp_path / "run").exists()
 
 
-def test_jobs_end_to_end(spark, star, tmp_path, monkeypatch, capsys):
+def test_jobs_end_to_end(spark, star, tmp_path, capsys):
     feed, stored, marts = (str(tmp_path / n) for n in ("feed", "star", "marts"))
     star.raw.write.option("header", True).csv(feed)
-    written = load_job.main(["--feed", feed, "--star", stored])
-    assert written["fact_sales"] == 40
+    assert load_job.main(["--feed", feed, "--star", stored, "--check"]) == 0
+    assert "fact_sales: 40 rows" in capsys.readouterr().out
     assert publish_job.main(["--star", stored, "--marts", marts, "--marts-format", "json"]) == 0
     tables = load_star(spark, Target(stored))
     inputs = Marts(tables["fact_sales"], {n: tables[d.table] for n, d in DIMENSIONS.items()})

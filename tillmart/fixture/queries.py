@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from tillmart.operators.clean import age_known, first_per_key, price_positive
 from tillmart.operators.enrich import enrich
 from tillmart.operators.lookup import fanout_totals, find_key
 from tillmart.operators.numbering import number_rows
+from tillmart.plans.integrity import foreign_key_violations, primary_key_violations
 from tillmart.plans.publish import load_star, publish, store_star
 from tillmart.plans.reports import ADDITIONS, REPORTS, Marts
 from tillmart.plans.star import StarPlan
-from tillmart.schema import DIMENSIONS, FOREIGN_KEYS, PRIMARY_KEYS, SALE_DAY, SALES_COLUMNS, TABLES
+from tillmart.schema import DIMENSIONS, SALE_DAY, SALES_COLUMNS, TABLES
 from tillmart.sources.csv_feed import scan_csv_folder
 from tillmart.sources.tables import Target
 from tillmart.workspace import Workspace
@@ -66,13 +68,6 @@ def _fingerprint(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    first, *rest = frames
-    for frame in rest:
-        first = first.unionAll(frame)
-    return first
-
-
 # --- sources ------------------------------------------------------------------------------
 
 
@@ -117,7 +112,8 @@ def star_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = Target(Workspace(spark).path("star"))
     for _ in range(2):
         store_star(star.tables(), target)
-    return _union([_fingerprint(df, name) for name, df in load_star(spark, target).items()])
+    prints = [_fingerprint(df, name) for name, df in load_star(spark, target).items()]
+    return reduce(DataFrame.unionAll, prints)
 
 
 def mart_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,11 +133,7 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pk_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    tables = star_plan(spark, folder).tables()
-    return _union([
-        violation_counts(duplicate_keys(tables[t], key)).select(F.lit(t).alias("table_name"), "bad_keys", "bad_rows")
-        for t, key in PRIMARY_KEYS.items()
-    ])
+    return primary_key_violations(star_plan(spark, folder).tables())
 
 
 def pk_duplicates_negative(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,13 +145,7 @@ def pk_duplicates_negative(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    tables = star_plan(spark, folder).tables()
-    return _union([
-        violation_counts(orphan_keys(tables["fact_sales"], key, tables[t])).select(
-            F.lit(key).alias("foreign_key"), "bad_keys", "bad_rows"
-        )
-        for key, t in FOREIGN_KEYS
-    ])
+    return foreign_key_violations(star_plan(spark, folder).tables())
 
 
 def fk_orphans_negative(spark: SparkSession, folder: str) -> DataFrame:

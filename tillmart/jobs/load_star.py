@@ -12,7 +12,8 @@ import sys
 
 from tillmart.jobs.options import add_target, session, target
 from tillmart.operators.lookup import BUSINESS_KEY, LOOKUPS
-from tillmart.plans.publish import store_star
+from tillmart.plans.integrity import violations
+from tillmart.plans.publish import load_star, store_star
 from tillmart.plans.star import StarPlan
 from tillmart.schema import CUSTOMER_GRAINS
 from tillmart.sources.csv_feed import SOURCE_FILE, scan_csv_folder
@@ -27,22 +28,28 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--lookup", choices=LOOKUPS, default=BUSINESS_KEY)
     p.add_argument("--grain", choices=list(CUSTOMER_GRAINS), default="sale", help="what one customer is")
     p.add_argument("--input-bytes", type=int, help="size of the feed; sizes the shuffle partitions")
+    p.add_argument("--check", action="store_true", help="read the tables back and check their keys")
     add_target(p, "star", "where the star tables go")
     return p
 
 
-def main(arguments: list[str] | None = None) -> dict[str, int]:
+def main(arguments: list[str] | None = None) -> int:
+    """Returns the number of keys that violate the star's integrity, 0 without ``--check``."""
     options = parser().parse_args(arguments)
     spark = session("load star schema", options.input_bytes)
     raw = scan_csv_folder(spark, options.feed, mixed=options.mixed, infer=options.infer, source_file=True)
     workspace = Workspace(spark)
     star = StarPlan(raw, workspace, [SOURCE_FILE], options.lookup, options.grain)
-    written = store_star(star.tables(write_fact=False), target(options, "star"))
+    goal = target(options, "star")
+    written = store_star(star.tables(write_fact=False), goal)
     workspace.discard()
     for table, rows in written.items():
         print(f"{table}: {rows} rows")
-    return written
+    bad = violations(load_star(spark, goal)) if options.check else 0
+    if bad:
+        print(f"{bad} keys are repeated or refer to nothing")
+    return bad
 
 
 if __name__ == "__main__":
-    main(sys.argv[1:])
+    sys.exit(1 if main(sys.argv[1:]) else 0)

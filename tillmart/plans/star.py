@@ -43,6 +43,7 @@ class StarPlan:
         self.grain = grain
         self.dims = dimensions(grain)
         self._built: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in ("clean", "keyed", "sale_ids", *self.dims)}
 
     def variant(self, lookup: str | None = None, grain: str | None = None) -> StarPlan:
@@ -70,7 +71,10 @@ class StarPlan:
 
     def dimension(self, name: str) -> DataFrame:
         """A dimension in its stored form."""
-        return stored_form(self.members(name), self.dims[name])
+        members = self.members(name)
+        if name not in self._stored:
+            self._stored[name] = stored_form(members, self.dims[name])
+        return self._stored[name]
 
     def keyed_plan(self) -> DataFrame:
         """The fact with the id of its sale, computed by whoever reads it."""

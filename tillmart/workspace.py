@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
@@ -42,15 +42,15 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.location}/{name}"
 
-    def store(self, name: str, df: DataFrame, **metrics) -> DataFrame:
+    def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the written table.
 
         Counts are observed in the writing stage, above the last shuffle: Spark adds up the
         updates of a result task once, so a task run twice does not count twice.
         """
         seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()])
-        observed.write.mode("overwrite").parquet(self.path(name))
+        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        observed.write.parquet(self.path(name))  # a name is written once: its readers stay valid
         self.rows[name] = seen.get["rows"]
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
