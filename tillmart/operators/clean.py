@@ -5,25 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmart.functions.calendar import parse_sale_date
 from tillmart.schema import SALE_DAY, SALES_COLUMNS
 
 
-def first_per_key(df: DataFrame, key: str, order: Sequence[str] = (), copies: str | None = None) -> DataFrame:
-    """One row per ``key``: the smallest by ``order``, then by all other columns.
+def first_per_key(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per ``key``: the first by ``order``, then by all other columns, NULLs first.
 
-    The smallest row is an aggregate, so every map task sends at most one row per key and a
-    key with very many copies is no hot spot. NULL keys are one group. ``copies`` names an
-    optional column with the number of input rows of the key.
+    NULL keys are one group. Spark keeps only the first row per key in every map task before
+    it shuffles (a window group limit), so a key with very many copies is no hot spot.
     """
-    ranked = [*order, *[c for c in df.columns if c != key and c not in order]]
-    best = F.min(F.struct(*ranked)).alias("best")
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    kept = df.groupBy(key).agg(best, *counted)
-    return kept.select(*[F.col(c) if c == key else F.col(f"best.{c}").alias(c) for c in df.columns],
-                       *([copies] if copies else []))
+    ranking = [*order, *[c for c in df.columns if c != key and c not in order]]
+    nth = F.row_number().over(W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in ranking]))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def age_known(df: DataFrame) -> DataFrame:
