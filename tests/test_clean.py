@@ -36,7 +36,8 @@ def test_filters(spark):
 
 def test_dates(spark):
     texts = ["7/4/2021", "12/31/1999", "02/03/2020", "13/40/2021", "2021-07-04", "", None]
-    days = {r["sale_date"]: r["sale_day"] for r in clean_sales(sales(spark, *[{"sale_date": t} for t in texts])).collect()}
+    raw = sales(spark, *[{"sale_date": t} for t in texts])
+    days = {r["sale_date"]: r["sale_day"] for r in clean_sales(raw).collect()}
     assert days["7/4/2021"] == datetime.date(2021, 7, 4)
     assert days["12/31/1999"] == datetime.date(1999, 12, 31)
     assert days["02/03/2020"] == datetime.date(2020, 2, 3)

@@ -32,7 +32,8 @@ def wide_shuffle(spark):
 
 
 def global_window(df, order):
-    return df.withColumn("key", F.row_number().over(W.orderBy(*[F.col(c).asc_nulls_first() for c in order])).cast("long"))
+    window = W.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("key", F.row_number().over(window).cast("long"))
 
 
 def test_equals_global_window_with_nulls(spark, folder, wide_shuffle):

@@ -70,8 +70,8 @@ def ancestors(plan, marker):
 @pytest.mark.parametrize("name", [n for n, joins in JOINS.items() if joins])
 def test_fact_is_totalled_before_it_is_joined(marts, name):
     above = ancestors(physical(REPORTS[name].build(marts)), "_id:bigint")  # dimensions store no key
-    kinds = [next((k for k in ("HashAggregate", "Join") if k in line.split("[")[0].split("(")[0]), "") for line in above]
-    kinds = [k for k in kinds if k]
+    operators = [line.split("[")[0].split("(")[0] for line in above]
+    kinds = [k for operator in operators for k in ("HashAggregate", "Join") if k in operator]
     assert kinds[:2] == ["HashAggregate", "HashAggregate"] and "Join" in kinds
 
 

@@ -148,7 +148,8 @@ def test_unmatched_fact_rows_form_a_null_group(star):
 
 
 def test_unmatched_top_customer_keeps_its_key(star):
-    stray = star.fact.limit(1).withColumn("customer_id", F.lit(10**9)).withColumn("total_price", F.lit(Decimal("9999999.00")))
+    price = F.lit(Decimal("9999999.00"))
+    stray = star.fact.limit(1).withColumn("customer_id", F.lit(10**9)).withColumn("total_price", price)
     marts = Marts(star.fact.unionByName(stray.select(star.fact.columns)), star.dimension_tables())
     first = REPORTS["top_customers"].build(marts).first()
     assert (first["customer_id"], first["customer_email"], first["total_spent"]) == (10**9, None, 9999999.0)

@@ -32,7 +32,7 @@ _DEDUP = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY
 _CLEAN = f"""clean AS (SELECT *, {_DAY} AS sale_day FROM dedup
     WHERE customer_age IS NOT NULL AND product_price > 0)"""
 
-# dimension -> (ORDER BY columns, (source, stored) columns)
+# dimension: order of its keys, then pairs of source and stored column
 _DIMS = {
     "customer": (
         "id",
@@ -159,7 +159,8 @@ _KEYS = _FACT[:6]
 REPORT_SQL = {
     "top_products": """SELECT product_name, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold FROM enriched
         GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 NULLS FIRST LIMIT 10""",
-    "revenue_by_category": "SELECT category, CAST(sum(total_price) AS DOUBLE) AS total_revenue FROM enriched GROUP BY 1",
+    "revenue_by_category": """SELECT category, CAST(sum(total_price) AS DOUBLE) AS total_revenue FROM enriched
+        GROUP BY 1""",
     "product_ratings": """SELECT product_name, CAST(rating AS DOUBLE) AS rating, reviews, category
         FROM dim_product WHERE rating IS NOT NULL""",
     "top_customers": """SELECT customer_id, customer_first_name, customer_last_name, customer_email,
@@ -278,7 +279,9 @@ _SALE_ID = "row_number() OVER (ORDER BY sale_date, id, customer_id)"
 def oracle(showcases: dict[str, str]) -> dict[str, str]:
     """SQL text per query name. ``showcases`` gives the showcase of each report."""
     sales = _publish(_SALES, text_dates=False)
-    person = "customer_email, customer_first_name, customer_last_name, customer_age, customer_country, customer_postal_code"
+    person = (
+        "customer_email, customer_first_name, customer_last_name, customer_age, customer_country, customer_postal_code"
+    )
     texts = {
         "scan_csv_folder": f"SELECT {sales} FROM sales_raw",
         "union_sales_files": "SELECT "
