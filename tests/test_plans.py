@@ -137,3 +137,43 @@ def test_full_sorts_are_split_by_unique_columns(marts):
     assert "rangepartitioning(rating#" in physical(REPORTS["product_ratings"].build(marts))
     line = next(x for x in physical(REPORTS["product_ratings"].build(marts)).splitlines() if "rangepartitioning" in x)
     assert "product_id" in line
+
+
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
+def test_frequent_product_is_split_in_the_shuffled_lookup(spark, tmp_path):
+    """A third of all sales are one product and no dimension is broadcast."""
+    from frames import GOOD
+
+    from tillmart.operators.lookup import find_key
+    from tillmart.schema import PRODUCT, SALES_COLUMNS
+
+    number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000)
+    sales = spark.range(60000, numPartitions=8).select(
+        "id", *[F.lit(GOOD[c]).cast(SALES_COLUMNS[c]).alias(c) for c in PRODUCT.sources if c != "product_name"],
+        F.concat(F.lit("product "), number).alias("product_name"), F.sha2(F.col("id").cast("string"), 256).alias("rest"),
+    )
+    products = sales.select(*PRODUCT.sources).distinct().withColumn("product_id", F.xxhash64("product_name"))
+    sales.write.parquet(str(tmp_path / "sales"))
+    products.write.parquet(str(tmp_path / "products"))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")  # a third of all rows is far above the median
+        for k, v in SHUFFLED.items():
+            spark.conf.set(k, v)
+        found = find_key(
+            spark.read.parquet(str(tmp_path / "sales")), PRODUCT, spark.read.parquet(str(tmp_path / "products"))
+        ).select("id", "product_id", "rest")
+        assert len(found.collect()) == 60000
+        assert "SortMergeJoin(skew=true)" in physical(found)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        for k in SHUFFLED:
+            spark.conf.unset(k)
