@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, exact, language, mixing, quality, warc
+from tillmart.llm import bpe, brown, exact, language, mixing, quality, warc
 from tillmart.llm.frames import fold
 from tillmart.workspace import Workspace
 
@@ -35,6 +35,12 @@ def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(docs, VOCABULARY).drop("text")
 
 
+def model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 1
+    docs = table(spark, folder, "documents").select("doc_id", "text", (~held_out).alias("train"))
+    return brown.score(docs, Workspace(spark)).withColumn("held_out", ~F.col("train")).drop("train")
+
+
 def warc_records(spark: SparkSession, folder: str) -> DataFrame:
     headers, payloads = warc.write(table(spark, folder, "pages"), Workspace(spark))
     return warc.read(headers, payloads).drop("record")
@@ -81,6 +87,7 @@ def registry() -> dict[str, Query]:
     named: dict[str, Query] = {
         "op1_quality": quality_scores,
         "op3_bpe": token_digests,
+        "op4_lm": model_scores,
         "op5_warc": warc_records,
         "op6_language": languages,
         "op8_mixing": mixture,
