@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, brown, exact, language, mixing, quality, warc
+from tillmart.llm import bpe, brown, exact, language, minhash, mixing, quality, warc
 from tillmart.llm.frames import fold
 from tillmart.workspace import Workspace
 
@@ -30,6 +30,10 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return quality.predict(docs, weights).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def near_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.groups(table(spark, folder, "documents"), Workspace(spark))
+
+
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(docs, VOCABULARY).drop("text")
@@ -86,6 +90,7 @@ def _shipping(query: Query) -> Query:
 def registry() -> dict[str, Query]:
     named: dict[str, Query] = {
         "op1_quality": quality_scores,
+        "op2_minhash": near_groups,
         "op3_bpe": token_digests,
         "op4_lm": model_scores,
         "op5_warc": warc_records,
