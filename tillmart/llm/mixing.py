@@ -47,6 +47,11 @@ def quality_of(text: str = "text") -> Column:
     return F.greatest(F.lit(20), F.coalesce(share, F.lit(20))).cast("bigint")
 
 
+def tie_of(text: str = "text") -> Column:
+    """Part of the text's digest; tells apart rows of one id."""
+    return F.substring(F.md5(F.coalesce(F.col(text), F.lit(""))), 1, 16)
+
+
 def sampling_key(weight: Column, row: str = "doc_id") -> Column:
     """-ln(u) / weight with u in (0, 1) from 48 bits of a digest of the id."""
     digest = F.md5(F.concat(F.lit(_SEED + ":"), F.coalesce(F.col(row).cast("string"), F.lit(""))))
@@ -84,7 +89,7 @@ def mix(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
     repeats counted)."""
     measured = docs.select(
         "doc_id", "source", size_of(text).alias("size"), sampling_key(quality_of(text)).alias("key"),
-        F.substring(F.md5(F.coalesce(F.col(text), F.lit(""))), 1, 16).alias("tie"),
+        tie_of(text).alias("tie"),
     )
     # Keys are exponential: 1 - exp(-key * mean weight) spreads them over the unit interval, in order.
     spread = 1 - F.exp(-60 * F.col("key"))

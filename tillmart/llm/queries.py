@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, brown, exact, language, minhash, mixing, quality, warc
+from tillmart.llm import bpe, brown, exact, language, lines, minhash, mixing, quality, spots, warc
 from tillmart.llm.frames import fold
 from tillmart.workspace import Workspace
 
@@ -56,6 +56,10 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def line_report(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(table(spark, folder, "documents"), Workspace(spark))
+
+
 def mixture(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), Workspace(spark))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -87,6 +91,10 @@ def _shipping(query: Query) -> Query:
     return run
 
 
+def text_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spots.fingerprints(table(spark, folder, "documents"), Workspace(spark))
+
+
 def registry() -> dict[str, Query]:
     named: dict[str, Query] = {
         "op1_quality": quality_scores,
@@ -95,8 +103,10 @@ def registry() -> dict[str, Query]:
         "op4_lm": model_scores,
         "op5_warc": warc_records,
         "op6_language": languages,
+        "op7_line_dedup": line_report,
         "op8_mixing": mixture,
         "op9_exact_dedup": exact_groups,
+        "op10_spotsigs": text_fingerprints,
     }
     return {name: _shipping(query) for name, query in named.items()}
 
