@@ -12,7 +12,8 @@ next stage's ``docs``. All but the last return the columns of ``docs``.
 | tokens | n_tokens, ids and digests of the ids and of the decoded text beside each document's id |
 
 Empty tables pass through all stages. Rows that repeat an id and a text are one document after exact
-dedup; documents without an id stay, unless they equal one that has an id.
+dedup. An id stays with all its texts if one of them stays. Documents without an id are treated as one
+id in this respect.
 """
 
 from __future__ import annotations
@@ -43,16 +44,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept`` (distinct ids), one per id; all rows without id that
-    ``kept`` names by a null."""
-    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Rows of ``docs`` whose id, or null, is in ``kept``."""
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops copies. Ids that are there several times, with equal texts, are rare: only their rows are
+    compared once more."""
     ship(spark)
-    found = exact.groups(docs, Workspace(spark))
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"))
-    return _kept(docs, kept).dropDuplicates(["doc_id", "text"])
+    workspace = Workspace(spark)
+    found = exact.groups(docs, workspace).where("kept").select(F.col("doc_id").alias("kept_id"), "n_keep")
+    found = workspace.store("kept", found)
+    repeated = found.where("n_keep > 1").select("kept_id").distinct()
+    if repeated.isEmpty():
+        return _kept(docs, found)
+    once = _kept(docs, found.join(repeated, found["kept_id"].eqNullSafe(repeated["kept_id"]), "left_anti"))
+    normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
+    again = _kept(docs, repeated).withColumn("key_", F.md5(normal)).dropDuplicates(["doc_id", "key_"])
+    return once.unionAll(_own(again, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,9 +19,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +32,13 @@ from tillmart.workspace import Workspace
 KEYS_PER_SHARD = 200_000
 _WHITE = b" \t\n\x0b\x0c\r"
 _LAST = 2**63 - 1  # stands for a null id, so that it loses against any other
-CONTENT = "key binary, group_size bigint, n_points bigint, keep_id bigint"
+CONTENT = "key binary, group_size bigint, n_points bigint, keep_id bigint, n_keep bigint"
+_NAMES = ["key", "group_size", "n_points", "keep_id", "n_keep"]
 
 
 class CuckooIndex:
-    """Live keys of one shard: a filter in front of bucketed records [key, size, points, id]."""
+    """Live keys of one shard: a filter in front of bucketed records [key, size, points, id, rows that
+    have these points and this id]."""
 
     SLOTS, KICKS = 4, 200
 
@@ -71,15 +72,17 @@ class CuckooIndex:
         first = int.from_bytes(key[10:18], "little") & self.mask
         return next((r for r in self.records.get(first, ()) if r[0] == key), None)
 
-    def insert(self, key: bytes, size: int, points: int, row: int) -> None:
+    def insert(self, key: bytes, size: int, points: int, row: int, rows: int = 1) -> None:
         record = self.find(key)
         if record is not None:
             record[1] += size
-            if (-points, row) < (-record[2], record[3]):
-                record[2:] = points, row
+            if (points, row) == (record[2], record[3]):
+                record[4] += rows
+            elif (-points, row) < (-record[2], record[3]):
+                record[2:] = points, row, rows
             return
         self.size += 1
-        self.records.setdefault(int.from_bytes(key[10:18], "little") & self.mask, []).append([key, size, points, row])
+        self.records.setdefault(int.from_bytes(key[10:18], "little") & self.mask, []).append([key, size, points, row, rows])
         if not self._store(key):
             self._grow()
 
@@ -154,23 +157,36 @@ def _per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, points = (batch.column(i).to_pylist() for i in range(3))
         for row, key, n in zip(ids, keys, points, strict=True):
             row = _LAST if row is None else row
-            held = best.setdefault(key, [0, n, row])
+            held = best.setdefault(key, [0, n, row, 0])
             held[0] += 1
-            if (-n, row) < (-held[1], held[2]):
-                held[1:] = n, row
-        columns = [pa.array(list(best), pa.binary()), *(pa.array([v[i] for v in best.values()], pa.int64()) for i in range(3))]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "group_size", "n_points", "keep_id"])
+            if (n, row) == (held[1], held[2]):
+                held[3] += 1
+            elif (-n, row) < (-held[1], held[2]):
+                held[1:] = n, row, 1
+        columns = [pa.array(list(best), pa.binary()), *(pa.array([v[i] for v in best.values()], pa.int64()) for i in range(4))]
+        yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+
+def _emit(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
+    live = index.live()
+    while rows := list(islice(live, 50_000)):
+        kinds = [pa.binary(), *[pa.int64()] * 4]
+        columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index = CuckooIndex()
+    """Insert the records of a shard, then delete the keys whose records have a negative size."""
+    index, gone = CuckooIndex(), []
     for batch in batches:
-        for record in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            index.insert(*record)
-    live = index.live()
-    while rows := [r for _, r in zip(range(50_000), live, strict=False)]:
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.binary()] + [pa.int64()] * 3, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "group_size", "n_points", "keep_id"])
+        for record in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if record[1] < 0:
+                gone.append(record[0])
+            else:
+                index.insert(*record)
+    for key in gone:
+        index.delete(key)
+    yield from _emit(index)
 
 
 def _dealt(records: DataFrame, n: int) -> DataFrame:
@@ -184,30 +200,14 @@ def build(keyed: DataFrame, n: int) -> DataFrame:
 
 
 def remove(content: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """``content`` without the given keys. Both are dealt over the same shards, where the index is
-    filled and the keys are deleted from it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, gone = CuckooIndex(), set()
-        for batch in batches:
-            for record in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if record[1] < 0:
-                    gone.add(record[0])
-                else:
-                    index.insert(*record)
-        for key in gone:
-            index.delete(key)
-        rows = list(index.live())
-        frame = pd.DataFrame(rows, columns=["key", "group_size", "n_points", "keep_id"])
-        yield pa.RecordBatch.from_pandas(frame.astype({c: np.int64 for c in frame.columns[1:]}), preserve_index=False)
-
-    deleted = keys.select("key", *(F.lit(-1).cast("bigint").alias(c) for c in ("group_size", "n_points", "keep_id")))
-    return _dealt(content.unionByName(deleted.distinct()), n).mapInArrow(run, CONTENT)
+    """``content`` (of at most ``n`` keys) without the given keys, which are deleted in their shards."""
+    deleted = keys.select("key", *(F.lit(-1).cast("bigint").alias(c) for c in _NAMES[1:])).distinct()
+    return _dealt(content.unionByName(deleted), n).mapInArrow(_index, CONTENT)
 
 
 def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, keep_id, group_size, kept and text_sha256. Keys are written once
-    and read by the index and by the join."""
+    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 and n_keep (rows with the
+    staying id and as many code points). Keys are written once and read by the index and by the join."""
     keyed = with_keys(docs.select("doc_id", F.col(text).alias("text")), "text").drop("text")
     keyed = workspace.store("exact_keys", keyed)
     content = build(keyed, workspace.rows["exact_keys"]).drop("n_points")
@@ -219,4 +219,5 @@ def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFra
         "group_size",
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         F.lower(F.hex("key")).alias("text_sha256"),
+        "n_keep",
     )

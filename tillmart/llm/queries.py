@@ -66,7 +66,7 @@ def mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return exact.groups(table(spark, folder, "documents"), Workspace(spark))
+    return exact.groups(table(spark, folder, "documents"), Workspace(spark)).drop("n_keep")
 
 
 _SHIPPED: set[str] = set()
