@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillmart.llm import bpe, brown, exact, language, lines, minhash, mixing, quality, spots, warc
 from tillmart.llm.frames import fold
+from tillmart.llm.oracle import ORACLE
 from tillmart.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +112,7 @@ def registry() -> dict[str, Query]:
     return {name: _shipping(query) for name, query in named.items()}
 
 
+
 def oracle() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return dict(ORACLE)
