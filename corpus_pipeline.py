@@ -45,7 +45,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id, or null, is in ``kept``."""
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id_"]), "left_semi")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +53,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     compared once more."""
     ship(spark)
     workspace = Workspace(spark)
-    found = exact.groups(docs, workspace).where("kept").select(F.col("doc_id").alias("kept_id"), "n_keep")
+    found = exact.groups(docs, workspace).where("kept").select(F.col("doc_id").alias("kept_id_"), "n_keep")
     found = workspace.store("kept", found)
-    repeated = found.where("n_keep > 1").select("kept_id").distinct()
+    repeated = found.where("n_keep > 1").select("kept_id_").distinct()
     if repeated.isEmpty():
         return _kept(docs, found)
-    once = _kept(docs, found.join(repeated, found["kept_id"].eqNullSafe(repeated["kept_id"]), "left_anti"))
+    once = _kept(docs, found.join(repeated, found["kept_id_"].eqNullSafe(repeated["kept_id_"]), "left_anti"))
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
     again = _kept(docs, repeated).withColumn("key_", F.md5(normal)).dropDuplicates(["doc_id", "key_"])
     return once.unionAll(_own(again, docs.columns))
@@ -67,17 +67,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = minhash.groups(docs, Workspace(spark))
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"))
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id_"))
     return _kept(docs, kept)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix; one that is taken n times has n rows. Empty documents are taken as often
     as their source's epochs say."""
-    mixed = mixing.mix(docs, Workspace(spark)).select(F.col("doc_id").alias("mixed_id"), "tie", "copies").where("copies > 0").distinct()
-    same = docs["doc_id"].eqNullSafe(mixed["mixed_id"]) & (mixing.tie_of("text") == mixed["tie"])
-    taken = docs.join(mixed, same).withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return _own(taken, docs.columns)
+    workspace = Workspace(spark)
+    rows = mixing.mix(docs, workspace).select(F.col("doc_id").alias("mixed_id_"), F.col("tie").alias("tie_"), "copies")
+    rows = rows.groupBy("mixed_id_", "tie_").agg(F.sum("copies").alias("copies_"), F.count(F.lit(1)).alias("rows_"))
+    mixed = workspace.store("mixed", rows)
+
+    def taken(part: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(part["mixed_id_"]) & (mixing.tie_of("text") == part["tie_"])
+        return docs.join(part.where("copies_ > 0"), same)
+
+    repeated = mixed.where("rows_ > 1")
+    found = taken(mixed.where("rows_ = 1"))
+    if not repeated.isEmpty():  # equal rows: one of them is repeated as often as all are taken
+        found = found.unionAll(taken(repeated).dropDuplicates(["mixed_id_", "tie_"]))
+    return _own(found.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_").cast("int")))), docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

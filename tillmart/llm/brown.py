@@ -164,7 +164,7 @@ def count(blocks: DataFrame, n_shards: int) -> DataFrame:
         counts = np.concatenate([_unpack(x, np.uint32) for x in table["counts"].to_pylist()])
         words, at = np.unique(hashes, return_inverse=True)
         total = np.bincount(at, counts, len(words)).astype(np.int64)
-        top = np.lexsort((words, -total))[:CORE]
+        top = np.lexsort((words.view(np.int64), -total))[:CORE]  # ties as Spark orders them
         row = (int(total.sum()), len(words), words[top].view(np.int64).tolist(), total[top].tolist())
         return _table("n bigint, v bigint, words array<bigint>, counts array<bigint>", [row])
 
@@ -263,6 +263,8 @@ def cluster(bigrams: DataFrame, core: np.ndarray) -> Core:
         yield pd.DataFrame({"classes": [classes.astype(np.int64).tobytes()], "evidence": [np.concatenate([left, right]).tobytes()]})
 
     row = bigrams.repartition(1).mapInPandas(run, "classes binary, evidence binary").first()
+    if row is None:  # no training text
+        return Core(core, np.full(size, END_CLASS), np.zeros((2 * CLASSES + 2, CLASSES)))
     return Core(core, np.frombuffer(row[0], np.int64), np.frombuffer(row[1]).reshape(-1, CLASSES))
 
 

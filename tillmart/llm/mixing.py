@@ -33,7 +33,7 @@ BINS = 2048
 #: Words of this pattern are the unit of size.
 WORD = r"[^\x20\x09-\x0D]+"
 _SEED = "mix-1"
-_ORDER = ["key", "doc_id", "size", "tie"]
+_ORDER = ["key", "doc_id", "size", "tie", "row"]
 
 
 def size_of(text: str = "text") -> Column:
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
     repeats counted)."""
     measured = docs.select(
         "doc_id", "source", size_of(text).alias("size"), sampling_key(quality_of(text)).alias("key"),
-        tie_of(text).alias("tie"),
+        tie_of(text).alias("tie"), F.monotonically_increasing_id().alias("row"),
     )
     # Keys are exponential: 1 - exp(-key * mean weight) spreads them over the unit interval, in order.
     spread = 1 - F.exp(-60 * F.col("key"))
