@@ -59,4 +59,4 @@ def test_stages_on_odd_rows(spark, docs, folder):
     near = Counter(r["doc_id"] for r in staged(spark, odd, folder, "near_dedup").collect())
     assert near[5] == 1 and near[6] == 0 and near[4] + near[9] == 1 and near[1] == near[2] == 1
     taken = Counter(r["doc_id"] for r in staged(spark, odd, folder, "mixing").collect())
-    assert all(n <= 6 for n in taken.values())
+    assert all(n <= 6 for n in taken.values()), taken

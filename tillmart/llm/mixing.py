@@ -129,7 +129,7 @@ def mix(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
     at_cut = F.col("bin") == F.col("cut")
     below = (F.col("bin") < F.col("cut")) | (at_cut & (F.col("fine") < F.col("cut_fine")))
     edge = at_cut & (F.col("fine") == F.col("cut_fine")) & (F.struct(*_ORDER) <= F.col("end"))
-    part = F.coalesce(below, F.lit(False)) | F.coalesce(edge, F.lit(False))
+    part = (F.col("rest") > 0) & (F.coalesce(below, F.lit(False)) | F.coalesce(edge, F.lit(False)))
     return joined.select(
         "doc_id",
         F.expr("CASE WHEN sid = 'null' THEN NULL ELSE substring(sid, 2) END").alias("source"),
