@@ -54,10 +54,20 @@ def test_hot_lead_is_split(spark, wide_shuffle):
     assert same_rows(result, global_window(rows, ["lead", "id"]))
 
 
-def test_no_single_partition_and_no_join(spark):
+def test_rows_need_no_single_partition_and_no_shuffle(spark):
     result = numbered(spark, spark.range(100), ["id"])
-    assert "SinglePartition" not in plan_of(result)
-    assert "Join" not in plan_of(result)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning" not in plan
+
+
+def test_plan_does_not_grow_with_slices(spark):
+    sizes = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("3", "60"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        sizes.append(len(plan_of(numbered(spark, spark.range(1000), ["id"]))))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert abs(sizes[0] - sizes[1]) < 100
 
 
 def test_empty_and_single_row(spark):

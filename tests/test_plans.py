@@ -5,7 +5,11 @@ from pyspark.sql import functions as F
 
 from tillmart.fixture.queries import star_plan
 from tillmart.operators.enrich import enrich
+from tillmart.operators.lookup import numbered_sales
+from tillmart.plans.publish import load_star, store_star
 from tillmart.plans.reports import REPORTS, Marts
+from tillmart.sources.tables import Target
+from tillmart.workspace import Workspace
 
 TOP_K = ["top_products", "top_customers", "top_stores", "top_suppliers", "products_highest_rating",
          "products_lowest_rating", "products_most_reviews"]
@@ -24,6 +28,11 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def joins(plan):
+    """Joins but those that add a slice's start to the rows of a numbered table."""
+    return [line for line in plan.splitlines() if "Join " in line and "_slice" not in line]
+
+
 @pytest.fixture(scope="module")
 def star(spark, folder):
     return star_plan(spark, folder)
@@ -43,7 +52,7 @@ def test_top_k_is_no_full_sort(marts, name):
 
 @pytest.mark.parametrize("name", list(JOINS))
 def test_report_joins_only_what_it_needs(marts, name):
-    assert physical(REPORTS[name].build(marts)).count("Join ") == JOINS[name]
+    assert len(joins(physical(REPORTS[name].build(marts)))) == JOINS[name]
 
 
 @pytest.mark.parametrize("name", [n for n in REPORTS if n != "customers_by_country"])
@@ -67,7 +76,64 @@ def ancestors(plan, marker):
     return above
 
 
-@pytest.mark.parametrize("name", [n for n, joins in JOINS.items() if joins])
+def test_prices_are_attached_before_one_total_per_supplier(spark, marts):
+    before = {k: spark.conf.get(k, None) for k in SHUFFLED}
+    plan = physical(REPORTS["supplier_avg_price"].build(marts))
+    assert plan.count("Exchange hashpartitioning") == 2
+    try:
+        for k, v in SHUFFLED.items():
+            spark.conf.set(k, v)
+        plan = physical(REPORTS["supplier_avg_price"].build(marts))
+        assert plan.count("Exchange hashpartitioning") == 5
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_fact_and_customers_come_from_one_pass(spark, star):
+    """Five lookups, none of the customer, and sales are numbered by their id alone."""
+    numbered = numbered_sales(star.clean, star.dims, {n: star.members(n) for n in star.dims if n != "customer"}, Workspace(spark))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert joins(plan) == []  # the lookups are done, in one written table
+    fact = physical(star.keyed_plan())
+    assert joins(fact) == [] and "hashpartitioning" not in fact and "rangepartitioning" not in fact
+
+
+ORDERED = {
+    "revenue_by_category": [("total_revenue", -1), ("category", 1)],
+    "product_ratings": [("rating", -1)],
+    "customers_by_country": [("customer_count", -1), ("country", 1)],
+    "customer_avg_order": [("avg_order_value", -1), ("customer_id", 1)],
+    "monthly_trends": [("year", 1), ("month", 1)],
+    "yearly_comparison": [("year", 1)],
+    "monthly_avg_order_size": [("year", 1), ("month", 1)],
+    "sales_by_location": [("total_revenue", -1), ("store_country", 1), ("store_city", 1)],
+    "store_avg_check": [("avg_check", -1)],
+    "supplier_avg_price": [("avg_price", -1), ("supplier_name", 1)],
+    "sales_by_supplier_country": [("total_revenue", -1), ("supplier_country", 1)],
+    "rating_sales_correlation": [("total_sales", -1), ("product_name", 1), ("rating", 1), ("category", 1)],
+}
+
+
+@pytest.mark.parametrize("name", list(ORDERED))
+def test_uncut_marts_are_in_order(marts, name):
+    rows = REPORTS[name].build(marts).collect()
+
+    def rank(row):
+        """NULLs first going up, last going down."""
+        return [(-way,) if row[c] is None else (0, row[c] if isinstance(row[c], str) else way * row[c]) for c, way in ORDERED[name]]
+
+    assert len(rows) > 1 and [rank(r) for r in rows] == sorted(rank(r) for r in rows)
+
+
+def test_every_uncut_mart_has_an_order_test():
+    assert set(ORDERED) | set(TOP_K) == set(REPORTS)
+
+
+TOTALLED_FIRST = [n for n, joined in JOINS.items() if joined and n != "supplier_avg_price"]
+
+
+@pytest.mark.parametrize("name", TOTALLED_FIRST)
 def test_fact_is_totalled_before_it_is_joined(marts, name):
     above = ancestors(physical(REPORTS[name].build(marts)), "_id:bigint")  # dimensions store no key
     operators = [line.split("[")[0].split("(")[0] for line in above]
@@ -82,11 +148,14 @@ def test_scan_reads_only_used_columns(marts):
     assert any("product_category" in s and "product_brand" not in s for s in schemas)
 
 
-def test_large_dimensions_are_not_broadcast(spark, star):
+def test_large_dimensions_are_not_broadcast(spark, star, tmp_path):
+    target = Target(str(tmp_path))
+    store_star(star.tables(), target)
+    tables = load_star(spark, target)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = physical(enrich(star.fact, star.dimension_tables()))
+        plan = physical(enrich(tables["fact_sales"], {n: tables[d.table] for n, d in star.dims.items()}))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan

@@ -6,8 +6,8 @@ from tillmart.jobs import load_star as load_job
 from tillmart.jobs import publish_marts as publish_job
 from tillmart.operators.checks import duplicate_keys, orphan_keys
 from tillmart.plans.integrity import violations
-from tillmart.plans.publish import failures, load_star, publish, store_star
-from tillmart.plans.reports import REPORTS, Marts, Report
+from tillmart.plans.publish import BrokenStar, failures, load_star, publish, store_star
+from tillmart.plans.reports import ADDITIONS, REPORTS, Marts, Report
 from tillmart.plans.star import StarPlan
 from tillmart.schema import DIMENSIONS, TABLES
 from tillmart.sources.tables import Target
@@ -48,7 +48,7 @@ def test_empty_star_publishes_empty_marts(spark, tmp_path):
 def test_shared_totals_are_written_once(spark, star, tmp_path):
     workspace = Workspace(spark)
     publish(Marts(star.fact, star.dimension_tables(), workspace), Target(str(tmp_path)))
-    assert sorted(workspace.rows) == ["totals_product", "totals_store", "totals_supplier", "totals_time"]
+    assert sorted(workspace.rows) == ["totals_customer", "totals_product", "totals_store", "totals_supplier", "totals_time"]
 
 
 def test_reload_replaces(spark, star, tmp_path):
@@ -62,6 +62,52 @@ def test_reload_replaces(spark, star, tmp_path):
         assert df.exceptAll(star.tables()[table]).count() == 0
 
 
+def broken_fact(star):
+    boom = F.raise_error(F.lit("no such luck")).cast("bigint")
+    return star.fact.withColumn("customer_id", F.when(F.col("customer_id") == 7, boom).otherwise(F.col("customer_id")))
+
+
+def test_failed_reload_leaves_the_old_star(spark, star, tmp_path):
+    target = Target(str(tmp_path))
+    written = store_star(star.tables(), target)
+    before = target.current(spark)
+    with pytest.raises(Exception, match="no such luck"):
+        store_star({**star.tables(), "fact_sales": broken_fact(star)}, target)
+    assert target.current(spark) == before
+    assert {t: df.count() for t, df in load_star(spark, target).items()} == written
+    orphaned = {**star.tables(), "dim_product": star.dimension("product").where("product_id <> 3")}
+    with pytest.raises(BrokenStar, match="1 keys"):
+        store_star(orphaned, target, check=True)
+    assert target.current(spark) == before
+    assert len([p for p in (tmp_path / "versions").iterdir() if p.is_dir()]) == 1
+
+
+def test_readers_keep_their_version(spark, star, tmp_path):
+    target = Target(str(tmp_path))
+    store_star(star.tables(), target)
+    reading = load_star(spark, target)
+    store_star(star.tables(), target, check=True)
+    assert reading["fact_sales"].count() == 40  # the version before stays for one more load
+    store_star(star.tables(), target)
+    assert len([p for p in (tmp_path / "versions").iterdir() if p.is_dir()]) == 2
+
+
+def test_workspace_retries_in_a_fresh_folder(spark, tmp_path):
+    workspace = Workspace(spark, str(tmp_path / "run"))
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("not yet"))).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="not yet"):
+        workspace.store("t", bad)
+    assert workspace.store("t", spark.range(5)).count() == 5
+    assert workspace.rows == {"t": 5}
+
+
+@pytest.mark.parametrize("name", list({**REPORTS, **ADDITIONS}))
+def test_reports_read_the_tables_they_name(spark, star, name):
+    report = {**REPORTS, **ADDITIONS}[name]
+    dims = {n: df for n, df in star.dimension_tables().items() if n in report.reads}
+    assert report.build(Marts(star.fact, dims)).columns
+
+
 @pytest.mark.parametrize("format", ["orc", "json", "csv"])
 def test_other_formats(spark, star, tmp_path, format):
     target = Target(str(tmp_path), format)
@@ -106,7 +152,8 @@ def test_jobs_end_to_end(spark, star, tmp_path, capsys):
     feed, stored, marts = (str(tmp_path / n) for n in ("feed", "star", "marts"))
     star.raw.write.option("header", True).csv(feed)
     assert load_job.main(["--feed", feed, "--star", stored, "--check"]) == 0
-    assert "fact_sales: 40 rows" in capsys.readouterr().out
+    told = capsys.readouterr().out
+    assert "fact_sales: 40 rows" in told and "loaded: 40 rows, clean: 40 rows" in told
     assert publish_job.main(["--star", stored, "--marts", marts, "--marts-format", "json"]) == 0
     tables = load_star(spark, Target(stored))
     inputs = Marts(tables["fact_sales"], {n: tables[d.table] for n, d in DIMENSIONS.items()})
@@ -120,3 +167,43 @@ def test_job_tells_failures(spark, star, tmp_path):
     store_star(star.tables(), Target(stored))
     options = ["--star", stored, "--marts", "/proc/none", "--only", "top_stores", "top_products"]
     assert publish_job.main(options) == 2
+
+
+def test_job_loses_no_good_row_and_tells_rejects(spark, star, tmp_path, capsys):
+    feed, stored = (str(tmp_path / n) for n in ("feed", "star"))
+    rows = star.raw.withColumns(
+        {
+            "customer_age": F.when(F.col("id") == 5, "old").otherwise("34.0"),
+            "sale_total_price": F.when(F.col("id") == 6, "123456789.00").otherwise("10.005"),
+        }
+    )
+    rows.write.option("header", True).csv(feed)
+    options = ["--feed", feed, "--star", stored, "--check"]
+    assert load_job.main(options) == 2
+    told = capsys.readouterr().out
+    assert "fact_sales: 39 rows" in told and "loaded: 40 rows, clean: 39 rows" in told and "40 values did not fit" in told
+    rejects = spark.read.parquet(f"{stored}_rejects/rejects")
+    assert [tuple(r) for r in rejects.groupBy("column_name", "reason", "value").count().orderBy("column_name").collect()] == [
+        ("customer_age", "unreadable", "old", 1), ("sale_total_price", "rounded", "10.005", 39),
+    ]
+    total = load_star(spark, Target(stored))["fact_sales"].agg(F.sum("total_price")).first()[0]
+    assert float(total) == 123456789.0 + 38 * 10.01
+    assert load_job.main([*options, "--accept-rejects"]) == 0
+
+
+def test_job_stores_sale_ids_and_additions(spark, star, tmp_path):
+    feed, stored, marts = (str(tmp_path / n) for n in ("feed", "star", "marts"))
+    star.raw.write.option("header", True).csv(feed)
+    assert load_job.main(["--feed", feed, "--star", stored, "--sale-id"]) == 0
+    numbered = Target(stored).current(spark).read(spark, "fact_sale_id")
+    assert sorted(r["sale_id"] for r in numbered.collect()) == list(range(1, 41))
+    assert publish_job.main(["--star", stored, "--marts", marts, "--only", "yearly_comparison_delta", "top_stores"]) == 0
+    assert spark.read.parquet(f"{marts}/yearly_comparison_delta").count() == 1
+
+
+def test_sales_without_email_stay_at_person_grain(spark):
+    rows = [{}, {"customer_email": None}, {"customer_email": None, "customer_first_name": "other"}, {}]
+    star = StarPlan(sales(spark, *rows), Workspace(spark), grain="person")
+    assert star.fact.count() == 4
+    assert star.dimension("customer").count() == 3
+    assert violations(star.tables()) == 0

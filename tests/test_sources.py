@@ -2,7 +2,7 @@ import pytest
 from frames import sales
 
 from tillmart.schema import SALES, SALES_COLUMNS, jdbc_column_types
-from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, scan_csv_folder
+from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, reject_rows, scan_csv_folder
 from tillmart.sources.tables import Target, split_options
 
 COLUMNS = list(SALES_COLUMNS)
@@ -54,13 +54,57 @@ def test_different_headers_fail_unless_mixed(spark, tmp_path, row):
     assert read[3].asDict() == {**row, "id": 3, "store_state": None}
 
 
-def test_source_file_and_corrupt_rows(spark, tmp_path, row):
-    write_csv(tmp_path, "a.csv", COLUMNS, row, {**row, "id": 2, "customer_age": "old"})
-    read = scan_csv_folder(spark, str(tmp_path), source_file=True, corrupt_row=True).cache()
+def test_source_file_and_malformed_lines(spark, tmp_path, row):
+    write_csv(tmp_path, "a.csv", COLUMNS, row)
+    (tmp_path / "a.csv").open("a").write("2,only,three\n")
+    read = scan_csv_folder(spark, str(tmp_path), source_file=True, corrupt_row=True, rejects=True).cache()
     by_id = {r["id"]: r for r in read.collect()}
     assert by_id[1][SOURCE_FILE].endswith("a.csv")
-    assert by_id[1][CORRUPT] is None
-    assert by_id[2]["customer_age"] is None and "old" in by_id[2][CORRUPT]
+    assert by_id[1][CORRUPT] is None and by_id[1]["rejected"] == []
+    assert by_id[2]["customer_age"] is None and by_id[2][CORRUPT] == "2,only,three"
+    assert [tuple(r)[1:] for r in reject_rows(read).collect()] == [(2, CORRUPT, "2,only,three", "malformed")]
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_values_that_fit_are_taken_and_others_told(spark, tmp_path, row, mixed):
+    money = {"product_price": "123456789.00", "sale_total_price": "1234567890123456.78"}
+    write_csv(tmp_path, "a.csv", COLUMNS, {**row, "customer_age": "34.0", "sale_quantity": " 3.0 ", **money})
+    write_csv(tmp_path, "b.csv", COLUMNS, {**row, "id": 2, "customer_age": "old", "sale_quantity": "2.5", "sale_total_price": "1.005"})
+    write_csv(tmp_path, "c.csv", COLUMNS, {**row, "id": "x", "customer_age": " ", "product_price": "1e2", "sale_total_price": "12345678901234567"})
+    read = scan_csv_folder(spark, str(tmp_path), mixed=mixed, source_file=True, rejects=True).cache()
+    by_id = {r["id"]: r for r in read.collect()}
+    assert (by_id[1]["customer_age"], by_id[1]["sale_quantity"]) == (34, 3)
+    assert {k: str(by_id[1][k]) for k in money} == money
+    assert str(by_id[None]["product_price"]) == "100.00" and by_id[None]["customer_age"] is None
+    told = {(r["id"], r["column_name"], r["value"], r["reason"]) for r in reject_rows(read).collect()}
+    assert told == {
+        (2, "customer_age", "old", "unreadable"),
+        (2, "sale_quantity", "2.5", "unreadable"),
+        (2, "sale_total_price", "1.005", "rounded"),
+        (None, "id", "x", "unreadable"),
+        (None, "sale_total_price", "12345678901234567", "unreadable"),
+    }
+
+
+def test_types_are_inferred_over_all_layouts(spark, tmp_path, row):
+    write_csv(tmp_path, "a.csv", COLUMNS, {**row, "customer_postal_code": "123", "sale_quantity": "1"})
+    write_csv(tmp_path, "b.csv", COLUMNS[::-1], {**row, "id": 2**40, "customer_postal_code": "AB-1", "sale_quantity": "1.5"})
+    read = scan_csv_folder(spark, str(tmp_path), mixed=True, infer=True)
+    kinds = dict(read.dtypes)
+    assert [kinds[c] for c in ("id", "customer_postal_code", "sale_quantity", "customer_age")] == ["bigint", "string", "double", "int"]
+    assert sorted(r["customer_postal_code"] for r in read.collect()) == ["123", "AB-1"]
+
+
+def test_headers_are_read_by_one_job(spark, tmp_path, row):
+    for n in range(30):
+        write_csv(tmp_path, f"{n}.csv", COLUMNS if n % 2 else COLUMNS[::-1], {**row, "id": n})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    read = scan_csv_folder(spark, str(tmp_path), mixed=True)
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 4
+    assert sorted(r["id"] for r in read.collect()) == list(range(30))
 
 
 @pytest.mark.parametrize("mixed", [False, True])

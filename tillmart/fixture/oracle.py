@@ -228,9 +228,10 @@ def _stored(name: str) -> str:
 
 def _fingerprint(table: str, relation: str, columns: list[str]) -> str:
     """Row count and order-free checksum of a table's whole content."""
-    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
-    return f"""SELECT '{table}' AS table_name, count(*) AS n_rows,
-        CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 10) AS BIGINT)), 0) AS BIGINT) AS checksum
+    text = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    digest = f"md5(concat_ws('|', {text}))"
+    halves = [f"CAST(coalesce(sum(CAST(CAST('0x' || substr({digest}, {at}, 16) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR)" for at in (1, 17)]
+    return f"""SELECT '{table}' AS table_name, count(*) AS n_rows, {" || '-' || ".join(halves)} AS checksum
         FROM {relation}"""
 
 
@@ -285,9 +286,18 @@ def oracle(showcases: dict[str, str]) -> dict[str, str]:
     texts = {
         "scan_csv_folder": f"SELECT {sales} FROM sales_raw",
         "union_sales_files": "SELECT "
-        + sales.replace("seller_postal_code", "CASE WHEN store_country = 'Land 2' THEN NULL ELSE seller_postal_code END"
-                        " AS seller_postal_code")
+        + sales.replace("seller_postal_code", "CASE WHEN id % 3 = 2 THEN NULL ELSE seller_postal_code END AS seller_postal_code")
         + " FROM sales_raw",
+        "scan_csv_inferred": """SELECT CAST(id AS INT) AS id, customer_age, CAST(product_price AS DOUBLE) AS product_price,
+            seller_postal_code, sale_quantity FROM sales_raw""",
+        "ingest_rejects": """SELECT 'customer_age' AS column_name, 'unreadable' AS reason, 'old' AS value, count(*) AS n,
+            CAST(sum(id) AS BIGINT) AS ids FROM sales_raw WHERE id % 7 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'sale_total_price', 'rounded', '1.005', count(*), CAST(sum(id) AS BIGINT) FROM sales_raw
+            WHERE id % 13 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'sale_quantity', 'unreadable', '2.5', count(*), CAST(sum(id) AS BIGINT) FROM sales_raw
+            WHERE id % 17 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'row', 'kept', NULL, count(CASE WHEN id % 7 <> 0 THEN customer_age END),
+            CAST(sum(floor(CASE WHEN id % 11 = 0 THEN 123456789 ELSE product_price END)) AS BIGINT) FROM sales_raw""",
         "load_counts": """SELECT 'loaded' AS stage, count(*) AS n_rows FROM sales_raw
             UNION ALL SELECT 'clean', count(*) FROM clean UNION ALL SELECT 'fact', count(*) FROM fact""",
         "dedup_by_id": f"SELECT {sales} FROM dedup",
@@ -320,6 +330,11 @@ def oracle(showcases: dict[str, str]) -> dict[str, str]:
         **REPORT_SQL,
         **ADDITION_SQL,
         "fact_sale_id": f"SELECT {_SALE_ID} AS sale_id, {_publish(_FACT)} FROM fact",
+        "fact_sales_person": f"""SELECT {_publish(_FACT)} FROM
+            (SELECT fact.* EXCLUDE (customer_id), p.customer_id FROM fact JOIN clean c ON c.id = fact.id
+            JOIN (SELECT row_number() OVER (ORDER BY {", ".join(c + " NULLS FIRST" for c in person.split(", "))})
+            AS customer_id, * FROM (SELECT DISTINCT {person} FROM clean)) p
+            ON {" AND ".join(f"c.{c} IS NOT DISTINCT FROM p.{c}" for c in person.split(", "))})""",
         "dim_customer_person": f"""SELECT row_number() OVER (ORDER BY
             {", ".join(c + " NULLS FIRST" for c in person.split(", "))}) AS customer_id,
             customer_first_name AS first_name, customer_last_name AS last_name, customer_age AS age,

@@ -17,23 +17,35 @@ from tillmart.operators.clean import age_known, first_per_key, price_positive
 from tillmart.operators.enrich import enrich
 from tillmart.operators.lookup import fanout_totals, find_key
 from tillmart.operators.numbering import number_rows
+from tillmart.plans.ingest import Ingest
 from tillmart.plans.integrity import foreign_key_violations, primary_key_violations
 from tillmart.plans.publish import load_star, publish, store_star
 from tillmart.plans.reports import ADDITIONS, REPORTS, Marts
 from tillmart.plans.star import StarPlan
 from tillmart.schema import DIMENSIONS, SALE_DAY, SALES_COLUMNS, TABLES
-from tillmart.sources.csv_feed import scan_csv_folder
+from tillmart.sources.csv_feed import REJECT, REJECTED, reject_rows, scan_csv_folder
 from tillmart.sources.tables import Target
 from tillmart.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PLANS: dict[tuple[str, str], StarPlan] = {}
+_PLANS: dict[tuple, StarPlan] = {}
+_READ = ("lineitem", "orders", "customer", "supplier", "part", "nation")
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Size and time of the files that a star is made from."""
+    jvm, found = spark._jvm, []
+    for name in _READ:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        found += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(path)]
+    return tuple(found)
 
 
 def star_plan(spark: SparkSession, folder: str) -> StarPlan:
-    """The star of a folder; its tables are written once per Spark application."""
-    slot = (spark.sparkContext.applicationId, folder)
+    """The star of a folder; its tables are written once per Spark application and state of the files."""
+    slot = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if slot not in _PLANS:
         _PLANS[slot] = StarPlan(sales_raw(spark, folder), Workspace(spark), ORDER)
     return _PLANS[slot]
@@ -58,13 +70,20 @@ def _published(df: DataFrame) -> DataFrame:
 
 
 def _fingerprint(df: DataFrame, table: str) -> DataFrame:
-    """Row count and order-free checksum of a table's whole content."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
-    digits = F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("bigint")
+    """Row count and order-free checksum of a table's whole content: the sums of both halves of the
+    rows' MD5. A value goes in with its length, so no two rows read alike; NULL has none."""
+
+    def shown(column: str):
+        text = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    digest = F.md5(F.concat_ws("|", *[shown(c) for c in df.columns]))
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    sums = [F.coalesce(F.sum(half), F.lit(0)).cast("decimal(38,0)").cast("string") for half in halves]
     return df.agg(
         F.lit(table).alias("table_name"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(digits), F.lit(0)).alias("checksum"),
+        F.concat_ws("-", *sums).alias("checksum"),
     )
 
 
@@ -77,30 +96,62 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     return scan_csv_folder(spark, feed)
 
 
+def scan_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """Files in two layouts; types come from the values of all of them."""
+    feed = Workspace(spark).path("feed")
+    raw = sales_raw(spark, folder).select("id", "customer_age", "product_price", "seller_postal_code", "sale_quantity")
+    odd = F.col("id") % 2 == 1
+    raw.where(odd).write.option("header", True).csv(feed)
+    raw.where(~odd).select(*raw.columns[::-1]).write.option("header", True).mode("append").csv(feed)
+    return scan_csv_folder(spark, feed, mixed=True, infer=True).select(*raw.columns)
+
+
 def union_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One feed per store country, each with its own file layout, in one folder."""
+    """Files in three layouts in one folder; every row is in one of them."""
     feed = Workspace(spark).path("feed")
     raw = sales_raw(spark, folder)
     columns = list(SALES_COLUMNS)
-    layouts = {
-        "Land 0": columns,
-        "Land 1": columns[::-1],
-        "Land 2": [c for c in columns if c != "seller_postal_code"],
-    }
-    for country, layout in layouts.items():
-        rows = raw.where(F.col("store_country") == country).select(*layout)
+    layouts = [columns, columns[::-1], [c for c in columns if c != "seller_postal_code"]]
+    part = F.coalesce(F.col("id") % len(layouts), F.lit(0))
+    for number, layout in enumerate(layouts):
+        rows = raw.where(part == number).select(*layout)
         rows.write.option("header", True).mode("append").csv(feed)
     return scan_csv_folder(spark, feed, mixed=True)
 
 
+def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that don't fit, planted in a feed by remainders of the id: told one by one, and no row lost."""
+    feed = Workspace(spark).path("feed")
+    raw = sales_raw(spark, folder).select(*SALES_COLUMNS)
+    text = {c: F.col(c).cast("string") for c in ("customer_age", "product_price", "sale_total_price", "sale_quantity")}
+    every = lambda n: F.col("id") % n == 0
+    planted = raw.withColumns(
+        {
+            "customer_age": F.when(every(7), "old").otherwise(F.concat(text["customer_age"], F.lit(".0"))),
+            "product_price": F.when(every(11), "123456789.00").otherwise(text["product_price"]),
+            "sale_total_price": F.when(every(13), "1.005").otherwise(text["sale_total_price"]),
+            "sale_quantity": F.when(every(17), "2.5").otherwise(text["sale_quantity"]),
+        }
+    )
+    planted.write.option("header", True).csv(feed)
+    scan = scan_csv_folder(spark, feed, source_file=True, rejects=True)
+    told = reject_rows(scan).groupBy("column_name", "reason", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    kept = scan.agg(
+        F.lit("row").alias("column_name"), F.lit("kept").alias("reason"), F.lit(None).cast("string").alias("value"),
+        F.count("customer_age").alias("n"), F.sum(F.floor("product_price")).cast("bigint").alias("ids"),
+    )
+    return told.unionAll(kept)
+
+
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows read, kept by cleaning, and stored as facts. The last two are counted while written."""
-    star = star_plan(spark, folder)
+    """Rows read, kept by cleaning, and stored as facts, all counted while they are written."""
+    raw = sales_raw(spark, folder).withColumn(REJECTED, F.array().cast(REJECT))
+    ingest = Ingest(raw)
+    star = StarPlan(ingest.rows, Workspace(spark), ORDER)
     star.keyed  # noqa: B018  (writes clean rows and fact)
     rows = star.workspace.rows
-    read = star.raw.agg(F.lit("loaded").alias("stage"), F.count(F.lit(1)).alias("n_rows"))
-    counted = [("clean", rows["clean_sales"]), ("fact", rows["fact_sales"])]
-    return read.unionAll(spark.createDataFrame(counted, "stage string, n_rows bigint"))
+    counted = [("loaded", ingest.loaded), ("clean", rows["clean_sales"]), ("fact", rows["fact_sales"])]
+    return spark.createDataFrame(counted, "stage string, n_rows bigint")
 
 
 # --- sinks and checks ---------------------------------------------------------------------
@@ -228,6 +279,8 @@ def registry() -> dict[str, Query]:
     return {
         "scan_csv_folder": lambda s, d: _published(scan_csv(s, d)),
         "union_sales_files": lambda s, d: _published(union_files(s, d)),
+        "scan_csv_inferred": lambda s, d: _published(scan_inferred(s, d)),
+        "ingest_rejects": ingest_rejects,
         "load_counts": load_counts,
         "sink_star_roundtrip": star_roundtrip,
         "sink_mart_roundtrip": mart_roundtrip,
@@ -251,5 +304,6 @@ def registry() -> dict[str, Query]:
         **{name: _mart(name) for name in REPORTS},
         "fact_sale_id": fact_sale_id,
         **{name: _mart(name) for name in ADDITIONS},
+        "fact_sales_person": lambda s, d: _published(star_plan(s, d).variant(grain="person").fact),
         "dim_customer_person": lambda s, d: _published(star_plan(s, d).variant(grain="person").dimension("customer")),
     }

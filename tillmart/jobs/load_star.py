@@ -10,10 +10,10 @@ from __future__ import annotations
 import argparse
 import sys
 
-from tillmart.jobs.options import add_target, session, target
+from tillmart.jobs.options import add_target, session, size_partitions, target
 from tillmart.operators.lookup import BUSINESS_KEY, LOOKUPS
-from tillmart.plans.integrity import violations
-from tillmart.plans.publish import load_star, store_star
+from tillmart.plans.ingest import Ingest
+from tillmart.plans.publish import BrokenStar, store_star
 from tillmart.plans.star import StarPlan
 from tillmart.schema import CUSTOMER_GRAINS
 from tillmart.sources.csv_feed import SOURCE_FILE, scan_csv_folder
@@ -27,29 +27,48 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--infer", action="store_true", help="let Spark guess the column types")
     p.add_argument("--lookup", choices=LOOKUPS, default=BUSINESS_KEY)
     p.add_argument("--grain", choices=list(CUSTOMER_GRAINS), default="sale", help="what one customer is")
-    p.add_argument("--input-bytes", type=int, help="size of the feed; sizes the shuffle partitions")
-    p.add_argument("--check", action="store_true", help="read the tables back and check their keys")
+    p.add_argument("--sale-id", action="store_true", help="also store the fact with a dense sale_id, as fact_sale_id")
+    p.add_argument("--input-bytes", type=int, help="size of the feed, if not that of its files; sizes the shuffles")
+    p.add_argument("--check", action="store_true", help="publish the tables only if their keys are right")
+    p.add_argument("--rejects", metavar="FOLDER", help="where values that don't fit are told (default: STAR_rejects)")
+    p.add_argument("--accept-rejects", action="store_true", help="end with 0 although values didn't fit")
     add_target(p, "star", "where the star tables go")
     return p
 
 
 def main(arguments: list[str] | None = None) -> int:
-    """Returns the number of keys that violate the star's integrity, 0 without ``--check``."""
+    """0 if all went well; 1 if the keys are wrong (then the old star stays); 2 if values were rejected
+    and that was not accepted (the star is loaded, the rejects are stored)."""
     options = parser().parse_args(arguments)
-    spark = session("load star schema", options.input_bytes)
-    raw = scan_csv_folder(spark, options.feed, mixed=options.mixed, infer=options.infer, source_file=True)
+    spark = session("load star schema")
+    size_partitions(spark, options.feed, options.input_bytes)
+    scan = scan_csv_folder(
+        spark, options.feed, mixed=options.mixed, infer=options.infer, source_file=True, rejects=True
+    )
     workspace = Workspace(spark)
-    star = StarPlan(raw, workspace, [SOURCE_FILE], options.lookup, options.grain)
     goal = target(options, "star")
-    written = store_star(star.tables(write_fact=False), goal)
-    workspace.discard()
-    for table, rows in written.items():
-        print(f"{table}: {rows} rows")
-    bad = violations(load_star(spark, goal)) if options.check else 0
-    if bad:
-        print(f"{bad} keys are repeated or refer to nothing")
-    return bad
+    try:
+        ingest = Ingest(scan)
+        star = StarPlan(ingest.rows, workspace, [SOURCE_FILE], options.lookup, options.grain)
+        tables = star.tables(write_fact=options.sale_id)
+        if options.sale_id:
+            tables["fact_sale_id"] = star.fact_with_sale_id.drop("id")
+        written = store_star(tables, goal, check=options.check)
+        print(f"loaded: {ingest.loaded} rows, clean: {workspace.rows['clean_sales']} rows")
+        for table, rows in written.items():
+            print(f"{table}: {rows} rows")
+        if not ingest.rejected:
+            return 0
+        place = options.rejects or f"{workspace.location if goal.is_jdbc else goal.location}_rejects"
+        told = ingest.store_rejects(place)
+        print(f"{told} values did not fit, see {place}")
+        return 0 if options.accept_rejects else 2
+    except BrokenStar as broken:
+        print(broken)
+        return 1
+    finally:
+        workspace.discard()
 
 
 if __name__ == "__main__":
-    sys.exit(1 if main(sys.argv[1:]) else 0)
+    sys.exit(main(sys.argv[1:]))

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 from tillmart.sources.tables import Target
 
 PARTITION_BYTES = 128 * 1024 * 1024  # input per shuffle partition that a task sorts without much spilling
+LARGE_PARTITION_BYTES = 1024 * 1024 * 1024  # from MANY partitions on: fewer, larger blocks to fetch
+MANY = 20_000
 
 
 def add_target(parser: argparse.ArgumentParser, name: str, text: str) -> None:
@@ -26,16 +28,29 @@ def target(options: argparse.Namespace, name: str) -> Target:
     return Target(given[name], given[f"{name}_format"], pairs, given[f"{name}_prefix"])
 
 
-def session(app: str, input_bytes: int | None = None) -> SparkSession:
-    """The session that spark-submit configures; partitions sized to the input if that is given.
+def session(app: str) -> SparkSession:
+    """The session that spark-submit configures.
 
     Adaptive execution merges partitions that turn out small, so too many cost little.
     """
-    spark = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    if input_bytes:
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark, input_bytes)))
-    return spark
+    return SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
 def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
-    return max(spark.sparkContext.defaultParallelism, -(-input_bytes // PARTITION_BYTES))
+    """Partitions for an input; their size grows with it, from 128 MB to 1 GB, results don't depend on it."""
+    size = min(LARGE_PARTITION_BYTES, max(PARTITION_BYTES, input_bytes // MANY))
+    return max(spark.sparkContext.defaultParallelism, -(-input_bytes // size))
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of a folder's files, as the file system sums it up."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.getContentSummary(path).getLength()
+
+
+def size_partitions(spark: SparkSession, folder: str | None, input_bytes: int | None) -> None:
+    """Shuffle partitions by the given size, else by that of the folder's files."""
+    size = input_bytes or (folder_bytes(spark, folder) if folder else 0)
+    if size:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark, size)))

@@ -15,7 +15,7 @@ def members(clean: DataFrame, dim: Dimension, workspace: Workspace) -> DataFrame
     rows = clean.select(*dim.sources)
     if dim.lead != "id":  # ids are unique already
         rows = rows.distinct()
-    return number_rows(rows, dim.sources, dim.key, workspace, dim.table)
+    return number_rows(rows, dim.match, dim.key, workspace, dim.table)  # ``match`` is a total order of members
 
 
 def stored_form(numbered: DataFrame, dim: Dimension) -> DataFrame:

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.schema import SALE_DAY, Dimension, conform
+from tillmart.operators.numbering import number_rows
+from tillmart.schema import DIMENSIONS, SALE_DAY, Dimension, conform
+from tillmart.workspace import Workspace
 
 BUSINESS_KEY = "business_key"  # all columns of the dimension: one fact per sale
 LEAD_COLUMN = "lead_column"  # the lead column alone: one fact per matching member
@@ -18,14 +20,20 @@ LOOKUPS = (BUSINESS_KEY, LEAD_COLUMN)
 JOIN_ORDER = ("time", "store", "seller", "supplier", "product", "customer")
 
 
+LEADS = tuple(d.lead for d in DIMENSIONS.values())
+
+
 def match_columns(dim: Dimension, lookup: str) -> list[str]:
     if lookup not in LOOKUPS:
         raise ValueError(f"lookup must be one of {LOOKUPS}, not {lookup!r}")
     return dim.match if lookup == BUSINESS_KEY else [dim.lead]
 
 
-def find_key(sales: DataFrame, dim: Dimension, numbered: DataFrame, lookup: str = BUSINESS_KEY) -> DataFrame:
-    """Add the dimension's key. A NULL lead finds nothing; other NULLs match each other.
+def find_key(
+    sales: DataFrame, dim: Dimension, numbered: DataFrame, lookup: str = BUSINESS_KEY, how: str = "inner"
+) -> DataFrame:
+    """Add the dimension's key. A NULL lead finds nothing, unless NULL leads are ordinary members of the
+    dimension; other NULLs match each other.
 
     No join hint: the members are Parquet, so Spark knows their size and broadcasts them
     only below its threshold; otherwise it shuffles, and adaptive execution splits a
@@ -34,22 +42,43 @@ def find_key(sales: DataFrame, dim: Dimension, numbered: DataFrame, lookup: str
     columns = match_columns(dim, lookup)
     member = numbered.select(dim.key, *[F.col(c).alias(f"_{c}") for c in columns])
     lead, *others = columns
-    same = [F.col(lead) == F.col(f"_{lead}")] + [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in others]
-    return sales.join(member, reduce(lambda a, b: a & b, same), "inner").drop(*[f"_{c}" for c in columns])
+    safe = dim.null_lead and lookup == BUSINESS_KEY
+    first = F.col(lead).eqNullSafe(F.col(f"_{lead}")) if safe else F.col(lead) == F.col(f"_{lead}")
+    same = [first] + [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in others]
+    return sales.join(member, reduce(lambda a, b: a & b, same), how).drop(*[f"_{c}" for c in columns])
 
 
-def leads_known(clean: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
+def leads_known(clean: DataFrame, dims: dict[str, Dimension], lookup: str = BUSINESS_KEY) -> DataFrame:
     """Rows that have every lead column; only these can become facts."""
-    return clean.where(reduce(lambda a, b: a & b, [F.col(d.lead).isNotNull() for d in dims.values()]))
+    needed = [d.lead for d in dims.values() if not (d.null_lead and lookup == BUSINESS_KEY)]
+    return clean.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]))
 
 
 def keyed_sales(
     clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], lookup: str = BUSINESS_KEY
 ) -> DataFrame:
     """Sale id, the six keys, quantity, price and day of every sale that has all leads."""
-    rows = leads_known(clean, dims)
+    rows = leads_known(clean, dims, lookup)
     for name in JOIN_ORDER:
         rows = find_key(rows, dims[name], numbered[name], lookup)
+    return keyed_columns(rows, dims)
+
+
+def numbered_sales(
+    clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], workspace: Workspace
+) -> DataFrame:
+    """All clean sales with the keys of the other dimensions and, as one sale is one customer, a customer
+    key by rank of the sale's id. Both the customer dimension and the fact are read from this table."""
+    rows = clean
+    for name in JOIN_ORDER[:-1]:
+        dim = dims[name]
+        rows = find_key(rows, dim, numbered[name], how="left")
+        rows = rows.drop(*[c for c in dim.sources if c not in (*LEADS, SALE_DAY)])
+    customer = dims["customer"]
+    return number_rows(rows, customer.match, customer.key, workspace, "numbered_sales")
+
+
+def keyed_columns(rows: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     return rows.select(
         "id",
         *[d.key for d in dims.values()],
@@ -70,7 +99,7 @@ def fanout_totals(clean: DataFrame, dims: dict[str, Dimension], numbered: dict[s
     number of members and the sum of their keys suffice: every lookup multiplies the row
     count, and a key's sum is its own sum times the counts of the other dimensions.
     """
-    rows = leads_known(clean, dims)
+    rows = leads_known(clean, dims, LEAD_COLUMN)
     for name in JOIN_ORDER:
         dim = dims[name]
         lead = F.col(dim.lead).alias(f"_{dim.lead}")

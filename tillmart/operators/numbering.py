@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmart.workspace import Workspace
@@ -20,8 +20,8 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, workspace: Worksp
 
     ``order`` must be total. Rows are range-partitioned on all of it, so a frequent first
     column is split like any other. The sorted slices are written once with their position;
-    the key is the position plus the number of rows in the slices before. The result does
-    not depend on where Spark cuts the slices. Only one count per slice reaches the driver.
+    the key is the position plus the number of rows in the slices before, which come from a table
+    of one row per slice. The result does not depend on where Spark cuts the slices.
     """
     ascending = [F.col(c).asc_nulls_first() for c in order]
     sliced = df.repartitionByRange(*ascending).sortWithinPartitions(*ascending)
@@ -31,8 +31,11 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, workspace: Worksp
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(_ROW),
     )
     stored = workspace.store(name, placed)
-    sizes = {r[_SLICE]: r["n"] for r in stored.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = [sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)]
-    starts = [0, *accumulate(counts)][: len(counts)]
-    before = F.expr(f"array({','.join(f'{n}L' for n in starts)})")[F.col(_SLICE)]
-    return stored.select(*df.columns, (before + F.col(_ROW) + 1).alias(key))
+    counts = stored.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("_n"), F.max(_ROW).alias("_last"))
+    before = F.sum("_n").over(W.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1))  # over slices, not rows
+    starts = workspace.store(f"{name}_starts", counts.withColumn("_before", F.coalesce(before, F.lit(0))))
+    if not starts.where("_last + 1 != _n").isEmpty():
+        raise ValueError(f"a slice of {name} has more than 2**{_ROW_BITS} rows; use more shuffle partitions")
+    # One row per slice: as small as the list of a scan's files, whatever the rows.
+    placed_at = stored.join(F.broadcast(starts.select(_SLICE, "_before")), _SLICE)
+    return placed_at.select(*df.columns, (F.col("_before") + F.col(_ROW) + 1).alias(key))

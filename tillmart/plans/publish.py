@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmart.plans.integrity import violations
 from tillmart.plans.reports import REPORTS, Marts, Report
 from tillmart.schema import TABLES, conform
 from tillmart.sources.tables import Target
@@ -41,17 +42,39 @@ def failures(manifest: DataFrame) -> list[str]:
     return [r["table_name"] for r in manifest.where(manifest["status"] == FAILED).collect()]
 
 
-def store_star(tables: dict[str, DataFrame], target: Target, at_once: int = 4) -> dict[str, int]:
-    """Replace the star tables; returns the rows written to each. May be repeated."""
-    spark = tables["fact_sales"].sparkSession
+class BrokenStar(ValueError):
+    """A staged star whose keys are repeated or refer to nothing."""
 
-    def write(name: str) -> int:
-        return target.write(conform(tables[name], name), name)
 
-    with ThreadPoolExecutor(at_once) as pool:
-        return dict(zip(TABLES, pool.map(inheritable_thread_target(spark)(write), TABLES)))
+def store_star(tables: dict[str, DataFrame], target: Target, at_once: int = 4, check: bool = False) -> dict[str, int]:
+    """Replace the star tables; returns the rows written to each. May be repeated.
 
+    All tables go to a new version, with ``check`` their keys are tested there, and then one rename
+    makes the version the current one: a load that fails leaves the star as it was. Tables in a
+    database are replaced one by one, so there a failed load can leave a mixed star; load again.
+    """
+    spark = tables["fact_sales"].sparkSession
+    staged = target.staged()
 
-def load_star(spark: SparkSession, target: Target, partitions: int | None = None) -> dict[str, DataFrame]:
-    """The star tables of a target."""
-    return {name: target.read(spark, name, partitions) for name in TABLES}
+    def write(name: str) -> int:
+        return staged.write(conform(tables[name], name), name)
+
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            written = dict(zip(tables, pool.map(inheritable_thread_target(spark)(write), tables)))
+        bad = violations({name: staged.read(spark, name) for name in TABLES}) if check else 0
+        if bad:
+            raise BrokenStar(f"{bad} keys are repeated or refer to nothing")
+    except BaseException:
+        staged.discard(spark)
+        raise
+    target.publish(spark, staged)
+    return written
+
+
+def load_star(
+    spark: SparkSession, target: Target, partitions: int | None = None, names: Iterable[str] = tuple(TABLES)
+) -> dict[str, DataFrame]:
+    """Star tables of a target, all of one version."""
+    current = target.current(spark)
+    return {name: current.read(spark, name, partitions) for name in names}

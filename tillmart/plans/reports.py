@@ -2,7 +2,9 @@
 
 Marts on sales first total the fact per member key, then attach the member's attributes to
 the totals and roll them up. The join thus meets one row per member instead of one per
-sale, and a member with a third of all sales is combined on the map side.
+sale, and a member with a third of all sales is combined on the map side. Where a measure is the
+product's and the group the supplier's, pairs of both would hardly be fewer than sales: there the
+product's price is attached to the narrow fact, and one total per supplier follows.
 
 Full sorts end with columns that tell all rows apart: the order is reproducible, and a
 value that many rows share does not put them all into one sort task.
@@ -10,7 +12,7 @@ value that many rows share does not put them all into one sort task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from threading import Lock
 
@@ -25,15 +27,15 @@ from tillmart.schema import DIMENSIONS
 from tillmart.workspace import Workspace
 
 
-SHARED = ("product", "supplier", "store", "time")  # dimensions that several reports total by
+SHARED = ("customer", "product", "supplier", "store", "time")  # dimensions that several reports total by
 
 
 class Marts:
     """Inputs of the reports: a fact, its dimensions, and totals that several reports share.
 
     With a workspace the totals of a shared dimension are written when the first report asks
-    for them, and the fact is scanned once for all reports of that dimension. Customer
-    totals can be as many as sales, so the two reports that need them compute them.
+    for them, and the fact is scanned once for all reports of that dimension. Customer totals can
+    be as many as sales; written once they still save the second report the scan and the shuffle.
 
     ``ordered=False`` leaves out the final sort of reports that are not cut off. A stored
     table keeps no order, so a job that only writes them saves the range shuffle; top-k
@@ -73,20 +75,34 @@ class Marts:
         return df.orderBy(*order) if self.ordered else df
 
 
+#: Dimensions that the reports of a showcase read, unless a report names others.
+READS = {
+    "products": ("product",), "customers": ("customer",), "time": ("time",), "stores": ("store",),
+    "suppliers": ("supplier",), "quality": ("product",),
+}
+
+
 @dataclass(frozen=True)
 class Report:
     showcase: str
     table: str
     build: Callable[[Marts], DataFrame]
+    reads: tuple[str, ...] = tuple(DIMENSIONS)
 
 
 REPORTS: dict[str, Report] = {}
 ADDITIONS: dict[str, Report] = {}
 
 
-def _report(showcase: str, registry: dict[str, Report] = REPORTS):
+def tables_needed(reports: Iterable[Report]) -> list[str]:
+    """Star tables that the reports read."""
+    read = {name for report in reports for name in report.reads}
+    return ["fact_sales", *[d.table for name, d in DIMENSIONS.items() if name in read]]
+
+
+def _report(showcase: str, registry: dict[str, Report] = REPORTS, reads: tuple[str, ...] = ()):
     def register(build: Callable[[Marts], DataFrame]) -> Callable[[Marts], DataFrame]:
-        registry[build.__name__] = Report(showcase, build.__name__, build)
+        registry[build.__name__] = Report(showcase, build.__name__, build, reads or READS[showcase])
         return build
 
     return register
@@ -221,15 +237,12 @@ def top_suppliers(m: Marts) -> DataFrame:
     return top_k(m.by("supplier", *keys), [_down("revenue")], keys, 5).select(*keys, _revenue(), _orders())
 
 
-@_report("suppliers")
+@_report("suppliers", reads=("supplier", "product"))
 def supplier_avg_price(m: Marts) -> DataFrame:
     """List price per sale and number of sales of a named product, per supplier name."""
-    pairs = attach(m.totals("supplier", "product"), m.dims["product"], "product", ["price", "product_name"])
-    sales = F.col("sales")
-    per_supplier = pairs.groupBy("supplier_id").agg(
-        F.sum(F.col("price") * sales).alias("list_price"),
-        F.sum(F.when(F.col("price").isNotNull(), sales).otherwise(0)).alias("priced"),
-        F.sum(F.when(F.col("product_name").isNotNull(), sales).otherwise(0)).alias("named"),
+    sold = attach(m.fact.select("supplier_id", "product_id"), m.dims["product"], "product", ["price", "product_name"])
+    per_supplier = sold.groupBy("supplier_id").agg(
+        F.sum("price").alias("list_price"), F.count("price").alias("priced"), F.count("product_name").alias("named")
     )
     per_name = (
         attach(per_supplier, m.dims["supplier"], "supplier", ["supplier_name"])
@@ -283,7 +296,7 @@ def products_most_reviews(m: Marts) -> DataFrame:
 # --- additions, not part of the nineteen --------------------------------------------------
 
 
-@_report("additions", ADDITIONS)
+@_report("additions", ADDITIONS, ("time",))
 def yearly_comparison_delta(m: Marts) -> DataFrame:
     """Each year's revenue beside that of the year before it in the data."""
     by_year = m.by("time", "year").where(F.col("year").isNotNull()).select("year", "revenue")
@@ -296,7 +309,7 @@ def yearly_comparison_delta(m: Marts) -> DataFrame:
     )
 
 
-@_report("additions", ADDITIONS)
+@_report("additions", ADDITIONS, ("product",))
 def rating_sales_corr(m: Marts) -> DataFrame:
     """Pearson correlation of rating and units sold over the rows of the rating report."""
     rated = m.by("product", "product_name", "rating", "category").where(F.col("rating").isNotNull())
@@ -304,7 +317,7 @@ def rating_sales_corr(m: Marts) -> DataFrame:
     return rated.agg(F.round(linear, 6).alias("correlation"), F.count(F.lit(1)).alias("products"))
 
 
-@_report("additions", ADDITIONS)
+@_report("additions", ADDITIONS, ("product",))
 def product_rating_avg(m: Marts) -> DataFrame:
     """Average rating and number of reviews per product name, over the variants rated."""
     rated = m.dims["product"].where(F.col("rating").isNotNull()).groupBy("product_name")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from tillmart.operators.clean import clean_sales
 from tillmart.operators.dimensions import members, stored_form
-from tillmart.operators.lookup import BUSINESS_KEY, fact_sales, keyed_sales
+from tillmart.operators.lookup import BUSINESS_KEY, fact_sales, keyed_columns, keyed_sales, leads_known, numbered_sales
 from tillmart.operators.numbering import number_rows
 from tillmart.schema import dimensions
 from tillmart.workspace import Workspace
@@ -44,7 +44,7 @@ class StarPlan:
         self.dims = dimensions(grain)
         self._built: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
-        self._locks = {name: Lock() for name in ("clean", "keyed", "sale_ids", *self.dims)}
+        self._locks = {name: Lock() for name in ("clean", "keyed", "numbered", "sale_ids", *self.dims)}
 
     def variant(self, lookup: str | None = None, grain: str | None = None) -> StarPlan:
         """The same clean rows with another lookup or customer grain; what agrees is shared."""
@@ -52,6 +52,7 @@ class StarPlan:
                          grain or self.grain)
         self.clean  # noqa: B018  (written before it is shared)
         shared = [n for n in ("clean", *self.dims) if n == "clean" or self.dims[n] == other.dims[n]]
+        shared += ["numbered"] if self.dims == other.dims else []
         other._built.update({n: self._built[n] for n in shared if n in self._built})
         return other
 
@@ -65,8 +66,21 @@ class StarPlan:
     def clean(self) -> DataFrame:
         return self._once("clean", lambda: self.workspace.store("clean_sales", clean_sales(self.raw, self.order)))
 
+    @property
+    def one_customer_per_sale(self) -> bool:
+        return self.dims["customer"].unique_lead
+
+    @property
+    def numbered(self) -> DataFrame:
+        """Clean sales with all six keys, where one sale is one customer."""
+        others = {n: self.members(n) for n in self.dims if n != "customer"}
+        return self._once("numbered", lambda: numbered_sales(self.clean, self.dims, others, self.workspace))
+
     def members(self, name: str) -> DataFrame:
         """Key and source columns of a dimension."""
+        if name == "customer" and self.one_customer_per_sale:
+            customer = self.dims[name]
+            return self.numbered.select(customer.key, *customer.sources)
         return self._once(name, lambda: members(self.clean, self.dims[name], self.workspace))
 
     def dimension(self, name: str) -> DataFrame:
@@ -79,6 +93,8 @@ class StarPlan:
     def keyed_plan(self) -> DataFrame:
         """The fact with the id of its sale, computed by whoever reads it."""
         self.prepare()
+        if self.one_customer_per_sale and self.lookup == BUSINESS_KEY:
+            return keyed_columns(leads_known(self.numbered, self.dims), self.dims)
         numbered = {name: self.members(name) for name in self.dims}
         return keyed_sales(self.clean, self.dims, numbered, self.lookup)
 

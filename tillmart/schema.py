@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(10, 2)
-RATING = T.DecimalType(3, 2)
+MONEY = T.DecimalType(18, 2)  # sixteen digits before the point
+RATING = T.DecimalType(5, 2)
 TEXT = T.StringType()
 INT = T.IntegerType()
 KEY = T.LongType()  # one customer key per sale: more than 2^31 keys at full size
@@ -75,6 +75,7 @@ class Dimension:
     attributes: dict[str, str]
     identity: tuple[str, ...] = ()
     unique_lead: bool = False
+    null_lead: bool = False  # a sale without lead value belongs to the member without it
 
     @property
     def key(self) -> str:
@@ -109,7 +110,7 @@ CUSTOMER_ATTRIBUTES = {
 CUSTOMER = Dimension("customer", "id", CUSTOMER_ATTRIBUTES, identity=("id",), unique_lead=True)
 
 # One customer per person.
-PERSON = Dimension("customer", "customer_email", CUSTOMER_ATTRIBUTES)
+PERSON = Dimension("customer", "customer_email", CUSTOMER_ATTRIBUTES, null_lead=True)
 
 PRODUCT = Dimension(
     "product",
@@ -210,6 +211,9 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# Stored beside the star if asked for.
+EXTRA_TABLES = {"fact_sale_id": T.StructType([T.StructField("sale_id", KEY), *TABLES["fact_sales"].fields])}
+
 # Text widths of the stored tables; columns not named here are unbounded text.
 TEXT_WIDTHS: dict[str, dict[str, int]] = {
     "dim_customer": {"first_name": 100, "last_name": 100, "email": 200, "country": 100, "postal_code": 20},
@@ -227,7 +231,7 @@ FOREIGN_KEYS = [(d.key, d.table) for d in DIMENSIONS.values()]
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Column order and types of a stored table; columns it does not have are dropped."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table]])
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in {**TABLES, **EXTRA_TABLES}[table]])
 
 
 def jdbc_column_types(table: str) -> str:

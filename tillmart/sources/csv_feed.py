@@ -1,22 +1,35 @@
-"""Folders of wide sales files."""
+"""Folders of wide sales files.
+
+All columns are read as text and converted here, so no value is lost unseen: what doesn't fit its
+type is NULL in the row and told in the row's list of rejects.
+"""
 
 from __future__ import annotations
 
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.schema import SALES, SALES_COLUMNS, TEXT
+from tillmart.schema import SALES_COLUMNS, TEXT
 
 PATTERN = "*.csv"
 SOURCE_FILE = "source_file"
 CORRUPT = "corrupt_row"
-_HEADER_READERS = 16
+REJECTED = "rejected"
+REJECT = "array<struct<column_name: string, value: string, reason: string>>"
+
+UNREADABLE = "unreadable"  # the value is NULL in the row
+ROUNDED = "rounded"  # the value had more decimals than its type
+MALFORMED = "malformed"  # the line has too many or too few values
+
+_EXACT = T.DecimalType(38, 10)
+_WIDE_OPEN = 1 << 40
 
 
 def scan_csv_folder(
@@ -27,22 +40,31 @@ def scan_csv_folder(
     infer: bool = False,
     source_file: bool = False,
     corrupt_row: bool = False,
+    rejects: bool = False,
 ) -> DataFrame:
     """All CSV files of a folder as sales rows, columns found by name.
 
-    Types come from the model, so codes such as ``00123`` stay text. One header is read and
-    every file must have it, else the scan fails. With ``mixed`` the files are grouped by
-    header and the groups are put together by column name; a column that a file lacks is
-    NULL. ``infer`` lets Spark guess the types over all files instead. ``source_file`` adds
-    the file's path, ``corrupt_row`` the text of rows that do not parse.
+    Types come from the model, so codes such as ``00123`` stay text, and a whole number may be written
+    ``34.0``. One header is read and every file must have it, else the scan fails. With ``mixed`` the
+    files are grouped by header and the groups are put together by column name; a column that a file
+    lacks is NULL. ``infer`` chooses each column's type by its values in all files instead.
+    ``source_file`` adds the file's path, ``corrupt_row`` the text of lines with too many or too few
+    values, ``rejects`` the list of values that were not taken over as they are.
     """
     groups = _files_by_header(spark, folder) if mixed else [(_header(spark, [folder]), [folder])]
-    extra = ([SOURCE_FILE] if source_file else []) + ([CORRUPT] if corrupt_row else [])
-    scans = [_scan(spark, paths, header, infer, extra) for header, paths in groups if header]
-    if not scans:
-        kinds = [*SALES.fields, *[T.StructField(c, TEXT) for c in extra]]
-        return spark.createDataFrame([], T.StructType(kinds))
-    return union_by_name(*scans)
+    texts = [_text_scan(spark, paths, header) for header, paths in groups if header]
+    if texts:
+        rows = union_by_name(*texts)
+    else:
+        fields = [T.StructField(c, TEXT) for c in (*SALES_COLUMNS, SOURCE_FILE, CORRUPT)]
+        rows = spark.createDataFrame([], T.StructType(fields))
+    rows = rows.select(
+        *[F.col(c) if c in rows.columns else F.lit(None).cast(TEXT).alias(c) for c in SALES_COLUMNS], SOURCE_FILE, CORRUPT
+    )
+    kinds = inferred_types(rows) if infer and texts else dict(SALES_COLUMNS)
+    wanted = [c for c, asked in ((SOURCE_FILE, source_file), (CORRUPT, corrupt_row)) if asked]
+    found = [rejected_values(kinds).alias(REJECTED)] if rejects else []
+    return rows.select(*[converted(c, kind).alias(c) for c, kind in kinds.items()], *wanted, *found)
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -50,6 +72,67 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _value(column: str) -> Column:
+    """The text without white space around it; NULL if nothing is left."""
+    trimmed = F.trim(F.col(column))
+    return F.when(trimmed != "", trimmed)
+
+
+def converted(column: str, kind: T.DataType) -> Column:
+    """The text as ``kind``; NULL if it doesn't fit. Whole numbers may have decimals that are zero."""
+    if isinstance(kind, T.StringType):
+        return F.col(column)
+    if isinstance(kind, T.DoubleType):
+        return _value(column).try_cast(kind)
+    exact = _value(column).try_cast(_EXACT)
+    if isinstance(kind, T.IntegralType):
+        return F.when(exact == F.floor(exact), exact.try_cast(kind))
+    return exact.try_cast(kind)
+
+
+def rejected_values(kinds: dict[str, T.DataType]) -> Column:
+    """Per row the values that are not taken over as they are: column, text, reason."""
+    found = []
+    for column, kind in kinds.items():
+        if isinstance(kind, T.StringType):
+            continue
+        value, taken = _value(column), converted(column, kind)
+        reason = F.when(value.isNotNull() & taken.isNull(), UNREADABLE)
+        if isinstance(kind, T.DecimalType):
+            reason = reason.when(value.try_cast(_EXACT) != taken, ROUNDED)
+        found.append(F.when(reason.isNotNull(), _reject(F.lit(column), F.col(column), reason)))
+    found.append(F.when(F.col(CORRUPT).isNotNull(), _reject(F.lit(CORRUPT), F.col(CORRUPT), F.lit(MALFORMED))))
+    return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(REJECT)
+
+
+def _reject(column: Column, value: Column, reason: Column) -> Column:
+    return F.struct(column.alias("column_name"), value.alias("value"), reason.alias("reason"))
+
+
+def reject_rows(rows: DataFrame) -> DataFrame:
+    """One row per rejected value of a scan with ``source_file`` and ``rejects``."""
+    return rows.select(SOURCE_FILE, F.col("id"), F.explode(REJECTED).alias("r")).select(SOURCE_FILE, "id", "r.*")
+
+
+def inferred_types(rows: DataFrame) -> dict[str, T.DataType]:
+    """The narrowest of int, bigint, double and string that holds all values of a column, from one pass
+    over all files; a column without values is text."""
+    ladder = [T.IntegerType(), T.LongType(), T.DoubleType()]
+    fits = [
+        F.struct(
+            F.count(_value(c)).alias("n"),
+            *[F.count(_value(c).try_cast(kind)).alias(f"n{i}") for i, kind in enumerate(ladder)],
+        ).alias(c)
+        for c in SALES_COLUMNS
+    ]
+    counts = rows.agg(*fits).first()
+    kinds: dict[str, T.DataType] = {}
+    for c in SALES_COLUMNS:
+        known = counts[c]["n"]
+        kinds[c] = next((k for i, k in enumerate(ladder) if known and counts[c][f"n{i}"] == known), TEXT)
+    return kinds
+
+
 def _reader(spark: SparkSession):
     return spark.read.option("header", True).option("pathGlobFilter", PATTERN)
 
@@ -65,29 +148,43 @@ def _header(spark: SparkSession, paths: list[str]) -> tuple[str, ...]:
 
 
 def _files_by_header(spark: SparkSession, folder: str) -> list[tuple[tuple[str, ...], list[str]]]:
-    """Files of a folder grouped by header: one line per file is read, several files at a time."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", PATTERN).load(folder).select("path")
-    paths = sorted(r["path"] for r in listed.collect())  # names only, the content is not read
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        headers = list(pool.map(lambda p: _header(spark, [p]), paths))
+    """Files of a folder grouped by header, by one job: a task per file split reads the first line of
+    the splits that begin a file and stops. Paths reach the driver, as for any scan."""
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column(2)[0].as_py() == 0:
+                    yield batch.slice(0, 1).select([0, 1])
+                return
+
+    lines = spark.read.option("pathGlobFilter", PATTERN)
+    names = {"spark.sql.files.openCostInBytes": str(_WIDE_OPEN), "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():  # a split of its own for every task
+            spark.conf.set(k, v)
+        scan = lines.text(folder).select("_metadata.file_path", "value", "_metadata.file_block_start")
+        firsts = scan.mapInArrow(first_line, "file_path string, value string").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    by_line: dict[str, list[str]] = defaultdict(list)
+    for path, line in sorted(map(tuple, firsts)):
+        by_line[line].append(path)
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for header, path in zip(headers, paths):
-        groups[header].append(path)
+    for paths in by_line.values():  # one header is parsed per distinct first line
+        groups[_header(spark, paths[:1])] += paths
     return list(groups.items())
 
 
-def _scan(spark: SparkSession, paths: list[str], header: tuple[str, ...], infer: bool, extra: list[str]) -> DataFrame:
-    reader = _reader(spark)
-    if infer:
-        scanned = reader.option("inferSchema", True).csv(paths)
-    else:
-        fields = [T.StructField(c, SALES_COLUMNS.get(c, TEXT)) for c in header]
-        if CORRUPT in extra:
-            fields.append(T.StructField(CORRUPT, TEXT))
-            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        scanned = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(paths)
-    present = [F.col(c) for c in SALES_COLUMNS if c in scanned.columns]
-    absent = [F.lit(None).cast(kind).alias(c) for c, kind in SALES_COLUMNS.items() if c not in scanned.columns]
-    named = {SOURCE_FILE: F.col("_metadata.file_path").alias(SOURCE_FILE), CORRUPT: F.col(CORRUPT)}
-    rows = scanned.select(*present, *absent, *[named[c] for c in extra if not (infer and c == CORRUPT)])
-    return rows.select(*SALES_COLUMNS, *[c for c in extra if c in rows.columns])
+def _text_scan(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
+    """The files' columns as text, the file's path, and the text of lines that don't fit the header."""
+    fields = [T.StructField(c, TEXT) for c in header]
+    reader = _reader(spark).schema(T.StructType([*fields, T.StructField(CORRUPT, TEXT)])).option("enforceSchema", False)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    scanned = reader.csv(paths)
+    present = [F.col(c) for c in SALES_COLUMNS if c in header]
+    return scanned.select(*present, F.col("_metadata.file_path").alias(SOURCE_FILE), CORRUPT)
+
+

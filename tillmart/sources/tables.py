@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.schema import PRIMARY_KEYS, TABLES, jdbc_column_types
+from tillmart.schema import EXTRA_TABLES, PRIMARY_KEYS, TABLES, jdbc_column_types
 
-FACT_SPLIT = "time_id"  # the fact has no key of its own; this one spreads its rows evenly
+FACT_SPLIT = "customer_id"  # dense, and with one customer per sale as good as a key
+VERSIONS, POINTER = "versions", "current"
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,49 @@ class Target:
     def is_jdbc(self) -> bool:
         return self.format == "jdbc"
 
+    def staged(self) -> Target:
+        """Where a new version is prepared: a fresh folder of its own. A database has no versions."""
+        return self if self.is_jdbc else replace(self, location=f"{self.location}/{VERSIONS}/{uuid.uuid4().hex}")
+
+    def publish(self, spark: SparkSession, staged: Target) -> None:
+        """Make a staged version the one that readers find, by renaming one small file over the last
+        one, and delete all versions but this one and the one before."""
+        if self.is_jdbc:
+            return
+        jvm, files = spark._jvm, _files(spark, self.location)
+        before = self.version(spark)
+        name = staged.location.rsplit("/", 1)[1]
+        fresh = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{name}.pointer")
+        out = files.create(fresh, True)
+        out.write(bytearray(name.encode()))
+        out.close()
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{POINTER}")
+        context.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
+        for old in files.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}")):
+            if old.isDirectory() and old.getPath().getName() not in (name, before):
+                files.delete(old.getPath(), True)
+
+    def version(self, spark: SparkSession) -> str | None:
+        """Name of the published version; None if the location has no versions."""
+        files = _files(spark, self.location)
+        pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{POINTER}")
+        if self.is_jdbc or not files.exists(pointer):
+            return None
+        return spark.read.text(pointer.toString()).first()[0]
+
+    def current(self, spark: SparkSession) -> Target:
+        """The published version: tables read from it belong together, also while a new one is loaded."""
+        name = None if self.is_jdbc else self.version(spark)
+        return replace(self, location=f"{self.location}/{VERSIONS}/{name}") if name else self
+
+    def discard(self, spark: SparkSession) -> None:
+        """Delete a staged version that was not published."""
+        if not self.is_jdbc:
+            _files(spark, self.location).delete(spark._jvm.org.apache.hadoop.fs.Path(self.location), True)
+
     def write_options(self, table: str) -> dict[str, str]:
         if not self.is_jdbc:
             return {"path": f"{self.location}/{self.prefix}{table}", **self.options}
@@ -50,11 +95,17 @@ class Target:
             split = PRIMARY_KEYS.get(table, FACT_SPLIT if table in TABLES else None)
             return scan_jdbc(spark, self.location, f"{self.prefix}{table}", self.options, split, partitions)
         reader = spark.read.format(self.format).options(**self.options)
-        if table in TABLES:  # a known table needs no look into its files
-            reader = reader.schema(TABLES[table])
+        known = {**TABLES, **EXTRA_TABLES}
+        if table in known:  # a known table needs no look into its files
+            reader = reader.schema(known[table])
         return reader.load(f"{self.location}/{self.prefix}{table}")
 
 
+def _files(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def scan_jdbc(
     spark: SparkSession,
     url: str,

@@ -34,25 +34,31 @@ class Workspace:
     spark: SparkSession
     location: str = ""
     rows: dict[str, int] = field(default_factory=dict)
+    _tries: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if not self.location:
             self.location = f"{shared_folder(self.spark).rstrip('/')}/tillmart-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
-        return f"{self.location}/{name}"
+        """Folder of the latest attempt to write ``name``."""
+        tries = self._tries.get(name, 1)
+        return f"{self.location}/{name}" + (f"-{tries}" if tries > 1 else "")
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` and return the written table.
+        """Write ``df`` and return the written table. Every attempt has a folder of its own, so a
+        failed one can be repeated.
 
         Counts are observed in the writing stage, above the last shuffle: Spark adds up the
         updates of a result task once, so a task run twice does not count twice.
         """
         seen = Observation(f"{name}-{uuid.uuid4().hex}")
         observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.parquet(self.path(name))  # a name is written once: its readers stay valid
+        self._tries[name] = self._tries.get(name, 0) + 1
+        folder = self.path(name)
+        observed.write.parquet(folder)
         self.rows[name] = seen.get["rows"]
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(folder)
 
     def discard(self) -> None:
         """Delete the tables of this run; call it once nothing reads them any more."""
