@@ -44,3 +44,16 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField], scorer: S
 def fold(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo n; a null counts as remainder -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % n, F.lit(-1))
+
+
+#: Bound of the table that ``maybe_among`` broadcasts.
+SLOTS = 1 << 20
+
+
+def maybe_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key may be in the only column of ``wanted``: all that are, and some others.
+
+    Saves a shuffle of rows that a join with ``wanted`` would drop anyway. What is broadcast are the
+    hash values of the wanted keys, modulo SLOTS: at most SLOTS numbers, whatever the data."""
+    slots = wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(SLOTS)).cast("int").alias("slot_")).distinct()
+    return df.withColumn("slot_", F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")).join(F.broadcast(slots), "slot_", "left_semi").drop("slot_")

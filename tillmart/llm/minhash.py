@@ -26,15 +26,16 @@ text, and a link of one is a link of the id. Null ids are never a group's name u
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.llm.frames import add_columns
+from tillmart.llm.frames import add_columns, maybe_among
 from tillmart.llm.hashing import mix, slices, word_hashes
 from tillmart.workspace import Workspace
 
@@ -45,6 +46,7 @@ ROUNDS = (0, 2, TREES)
 #: Of VALUES; at similarity 0.75 a pair agrees in 90 +- 4.7.
 SURE = 60
 PERCENT = 75
+FILTER_BITS = 1 << 24
 
 _RNG = np.random.default_rng(75)
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
@@ -157,7 +159,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep = pa.array((left == right).sum(1) >= SURE)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    own = nodes.select("node", "signature")
+    own = maybe_among(nodes.select("node", "signature"), "node", pairs.select(F.explode(F.array("a", "b"))))
     sides = pairs.join(own.select(F.col("node").alias("a"), F.col("signature").alias("left")), "a")
     sides = sides.join(own.select(F.col("node").alias("b"), F.col("signature").alias("right")), "b")
     return sides.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
@@ -191,32 +193,28 @@ def unite(labels: DataFrame, links: DataFrame, workspace: Workspace, name: str)
     own = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
     other = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
     edges = links.join(own, "a").join(other, "b").where("x != y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
-    edges = workspace.store(f"{name}_0", edges.distinct())
-    print_, step = _print(edges), 0
-    if not print_[0]:
+    edges, step = workspace.store(f"{name}_0", edges.distinct()), 0
+    if not workspace.rows[f"{name}_0"]:
         return labels
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        ends = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("last"))
+        # All edges are stars once every label has larger neighbours only, or a single smaller one.
+        open_ = (F.col("m") < F.col("u")) & (F.col("m") != F.col("last"))
+        seen = Observation(f"{name}-{step}-{uuid.uuid4().hex}")
+        counted = ends.observe(seen, F.coalesce(F.sum(open_.cast("long")), F.lit(0)).alias("open"))
+        least = workspace.store(f"{name}_ends{step}", counted).drop("last")
+        if not seen.get["open"]:
+            break
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u")
-        hung = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hung = large.join(smallest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         step += 1
         edges = workspace.store(f"{name}_{step}", hung.unionAll(smallest.withColumnRenamed("m", "v")).distinct())
-        before, print_ = print_, _print(edges)
-        if print_ == before:
-            break
     hung = labels.join(edges, F.col("label") == F.col("u"), "left")
     return workspace.store(f"{name}_labels", hung.select("node", F.coalesce("v", "label").alias("label")))
 
 
-def _print(edges: DataFrame) -> tuple:
-    """Number of edges and an order-free checksum."""
-    half = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(half.cast("decimal(20,0)"))).first())
-
-
 def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -227,8 +225,9 @@ def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFra
     named = node.where("node IS NOT NULL")
     labels = named.select("node", F.col("node").alias("label")).distinct()
     for k, (first, last) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:], strict=True)):
-        near = forest(named.join(labels, "node"), first, last)
-        near = workspace.store(f"near{k}", likely(near, named))
+        labelled = named.withColumn("label", F.col("node")) if k == 0 else named.join(labels, "node")
+        pairs = workspace.store(f"pairs{k}", forest(labelled, first, last))
+        near = workspace.store(f"near{k}", likely(pairs, named))
         if not workspace.rows[f"near{k}"]:
             continue
         wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -244,12 +243,26 @@ def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFra
 
 
 def _sets_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of the wanted nodes' texts."""
-
-    def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        for column in columns:
-            yield [pa.array([s.tobytes() for s in shingle_sets(column)], pa.binary())]
-
-    texts = source.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
-    return add_columns(texts, "text", [T.StructField("shingles", T.BinaryType())], run).drop("text")
+    """Shingle sets of at least the wanted nodes' texts.
+
+    No text is shuffled: a bitmap of ``FILTER_BITS`` bits, one per hash value of a wanted node, goes to
+    all tasks, and a text is cut into shingles where it stands if its bit is set. The bitmap's size is
+    fixed; with more nodes it lets more other texts through, which meet no pair later on."""
+    slot = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    set_bits = wanted.select(slot.alias("s")).groupBy(F.expr("s div 64").alias("at"))
+    words = set_bits.agg(F.bit_or(F.expr("shiftleft(1L, CAST(s % 64 AS INT))")).alias("bits")).toArrow()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[words["at"].to_numpy()] = words["bits"].to_numpy()
+    held = source.sparkSession.sparkContext.broadcast(bitmap)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value.view(np.uint64)
+        for batch in batches:
+            at = batch.column(1).to_numpy()
+            hit = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
+            for part in slices(batch.take(pa.array(hit))):
+                sets = pa.array([s.tobytes() for s in shingle_sets(part.column(2))], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["node", "shingles"])
+
+    texts = source.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "node").select("node", slot.alias("slot"), "text")
+    return texts.mapInArrow(run, "node bigint, shingles binary")
