@@ -61,4 +61,25 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLE = {"op5_warc": WARC, "op8_mixing": MIXING, "op9_exact_dedup": EXACT}
+NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE
+      WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS sh FROM w),
+d AS (SELECT doc_id, len(sh) AS n, CASE WHEN len(sh) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY sh) END AS rep, sh FROM s),
+g AS (SELECT rep, n, unnest(sh) AS shingle FROM d WHERE doc_id = rep),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y FROM g a JOIN g b ON a.shingle = b.shingle AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+roots AS (SELECT x, min(y) AS low FROM reach GROUP BY x)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, least(rep, coalesce(low, rep)) AS component_id,
+       doc_id = least(rep, coalesce(low, rep)) AS kept
+FROM d LEFT JOIN roots ON rep = x
+"""
+
+ORACLE = {"op2_minhash": NEAR, "op5_warc": WARC, "op8_mixing": MIXING, "op9_exact_dedup": EXACT}
