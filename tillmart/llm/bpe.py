@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,10 @@ from tillmart.llm.frames import add_columns
 
 #: The pattern that splits a text into words, as the vocabulary file has it.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-case ASCII text.
+ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+"
+#: Distinct words whose ids a task keeps between batches.
+KEPT_WORDS = 250_000
 _NONE = np.int64(1 << 40)
 
 
@@ -67,6 +73,7 @@ class Bpe:
         self.merged = np.array([ids[a + b] for a, b in pairs])  # by rank
         self.special = regex.compile("|".join(map(regex.escape, self.specials)) or "(?!)")
         self.words = regex.compile(WORDS)
+        self.ascii_words = re.compile(ASCII_WORDS)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; ``_NONE`` where it doesn't merge or a side is missing (-1)."""
@@ -86,8 +93,9 @@ class Bpe:
         return out + self._words(text[at:])
 
     def _words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
+        if text.isascii():
+            return self.ascii_words.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
         return self.words.findall(text.lower())
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
@@ -214,16 +222,25 @@ def digests(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         bpe = load(vocabulary)
+        seen: dict[str, int] = {}  # words of this and earlier batches, in the order of the lists
+        ids: list[str] = []
+        decoded: list[str] = []
+        sizes: list[int] = []
         for column in columns:
-            docs, words = bpe.encode_distinct(column.to_pylist())
-            sizes = np.array([len(w) for w in words] + [0])
-            ids = [" ".join([bpe.id_texts[i] for i in w]) for w in words]
-            decoded = [bpe.decode(w) for w in words]
+            docs = [[seen.setdefault(w, len(seen)) for w in bpe.split(t)] if t else [] for t in column.to_pylist()]
+            for word in bpe.encode_words(list(islice(seen, len(ids), None))):
+                own = word.tolist()
+                sizes.append(len(own))
+                ids.append(" ".join([bpe.id_texts[i] for i in own]))
+                decoded.append(bpe.decode(own))
             yield [
-                pa.array([int(sizes[d].sum()) if d else 0 for d in docs], pa.int64()),
+                pa.array([sum([sizes[k] for k in d]) for d in docs], pa.int64()),
                 pa.array([sha([ids[k] for k in d]) for d in docs]),
                 pa.array([sha([decoded[k] for k in d]) for d in docs]),
             ]
+            if len(seen) > KEPT_WORDS:
+                for kept in (seen, ids, decoded, sizes):
+                    kept.clear()
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType())]
     return add_columns(df, text, [*fields, T.StructField("decoded_sha256", T.StringType())], run)
