@@ -302,6 +302,7 @@ def classify(blocks: DataFrame, core: Core, n_shards: int) -> DataFrame:
             yield from _table(_PIECE, rows).to_batches()
 
     def decide(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")  # sums of floats in one order, whatever arrives first
         hashes = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
         counts, places, times = ([_unpack(x, np.uint32) for x in table[c].to_pylist()] for c in ("counts", "places", "times"))
         codes = np.concatenate([_unpack(x, np.uint8) for x in table["codes"].to_pylist()])
