@@ -319,19 +319,49 @@ def mutated(rng, text, n):
     return "".join(chars)
 
 
+def links_of(df, workspace, tau):
+    found = lines.near_links(lines.with_keys(df, tau), lambda wanted: df.join(wanted, "id", "left_semi"), workspace, tau)
+    return {tuple(r) for r in found.collect()}
+
+
 @pytest.mark.parametrize("tau", [1, 2, 3])
-def test_near_lines_equal_all_pairs(spark, tau):
+def test_near_lines_equal_all_pairs(spark, tau, workspace):
     rng = random.Random(tau)
     texts = [prose(rng, rng.randint(4, 8)) for _ in range(25)]
     texts = [t for t in texts if len(t) >= lines.SHORTEST]
     texts += [mutated(rng, t, rng.randint(1, tau + 1)) for t in texts for _ in range(3)]
     texts = [t for t in dict.fromkeys(texts) if len(t) >= lines.SHORTEST]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, line string")
-    found = {tuple(r) for r in lines.verify(lines.near_links(df, tau), df, tau).collect()}
+    found = links_of(df, workspace, tau)
     wanted = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(texts), 2) if distance(a, b) <= tau}
     assert found == wanted and wanted
 
 
+@pytest.mark.parametrize("crowd", [0, 3, 100])
+def test_crowds_are_joined_like_all_pairs(spark, workspace, monkeypatch, crowd):
+    monkeypatch.setattr(lines, "CROWD", crowd)
+    rng = random.Random(crowd)
+    base = prose(rng, 12)
+    texts = {base}
+    for _ in range(120):
+        texts.add(mutated(rng, rng.choice(sorted(texts)), 1))
+        texts.add(edited(rng, base, 2))
+    texts = [t for t in sorted(texts) if len(t) >= lines.SHORTEST] + ["0123456789abcdef", "0123456789abcdefg", "0123456789abcde!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, line string")
+    found = links_of(df, workspace, 1)
+    wanted = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(texts), 2) if distance(a, b) <= 1}
+    assert found <= wanted and (found == wanted if crowd == 100 and len(wanted) < 50 else True)
+
+    def classes(pairs):
+        label = list(range(len(texts)))
+        for _ in texts:
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    assert classes(found) == classes(wanted)
+
+
 def test_banded_distance_on_short_arrays(spark):
     words = ["".join(w) for n in range(4) for w in itertools.product("ab", repeat=n)]
     df = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
