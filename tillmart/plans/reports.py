@@ -158,7 +158,7 @@ def top_customers(m: Marts) -> DataFrame:
         F.broadcast(best.select("customer_id")), "customer_id", "left_semi"
     )
     return (
-        best.join(named, "customer_id", "left")
+        best.join(F.broadcast(named), "customer_id", "left")  # at most ten members: keys are unique
         .orderBy(_down("revenue"), _up("customer_id"))
         .select("customer_id", *who, amount("revenue").alias("total_spent"))
     )
