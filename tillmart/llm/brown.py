@@ -42,7 +42,7 @@ CORE = 1024
 CLASSES = 32
 SWEEPS = 10
 BLEND = 50.0
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 SHARD_ENTRIES = 400_000
 END = np.uint64(0x6A09E667F3BCC908)
 END_CLASS, OTHER = CLASSES, CLASSES + 1  # numbers of the two extra classes
@@ -310,11 +310,12 @@ def classify(blocks: DataFrame, core: Core, n_shards: int) -> DataFrame:
         starts = np.cumsum([0, *map(len, hashes)])
         total = np.bincount(at, np.concatenate(counts), len(words)).astype(np.int64)
         entry = np.concatenate([at[s + p] for s, p in zip(starts, places, strict=False)])
-        order = np.argsort(entry, kind="stable")
-        entry, codes, weight = entry[order], codes[order], np.concatenate(times)[order]
+        pairs, place = np.unique(entry * len(core.evidence) + codes, return_inverse=True)
+        weight = np.bincount(place, np.concatenate(times), len(pairs))
+        entry, codes = pairs // len(core.evidence), pairs % len(core.evidence)
         classes = np.full(len(words), OTHER)
-        for low in range(0, len(words), 50_000):  # bounds the memory of the class scores
-            span = slice(*np.searchsorted(entry, [low, low + 50_000]))
+        for low in range(0, len(words), 4096):  # bounds the memory of the class scores
+            span = slice(*np.searchsorted(entry, [low, low + 4096]))
             if span.start < span.stop:
                 own, first = np.unique(entry[span], return_index=True)
                 scores = core.evidence[codes[span]] * weight[span][:, None]
