@@ -75,6 +75,7 @@ def numbered_sales(
         rows = find_key(rows, dim, numbered[name], how="left")
         rows = rows.drop(*[c for c in dim.sources if c not in (*LEADS, SALE_DAY)])
     customer = dims["customer"]
+    rows = workspace.store("looked_up_sales", rows)  # else the range shuffle's sampling repeats the lookups
     return number_rows(rows, customer.match, customer.key, workspace, "numbered_sales")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,8 +34,11 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, workspace: Worksp
     stored = workspace.store(name, placed)
     counts = stored.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("_n"), F.max(_ROW).alias("_last"))
     before = F.sum("_n").over(W.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1))  # over slices, not rows
-    starts = workspace.store(f"{name}_starts", counts.withColumn("_before", F.coalesce(before, F.lit(0))))
-    if not starts.where("_last + 1 != _n").isEmpty():
+    starts = counts.withColumn("_before", F.coalesce(before, F.lit(0)))
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    torn = F.coalesce(F.sum((F.col("_last") + 1 != F.col("_n")).cast("int")), F.lit(0))
+    starts = workspace.store(f"{name}_starts", starts.observe(seen, torn.alias("torn")))
+    if seen.get["torn"]:
         raise ValueError(f"a slice of {name} has more than 2**{_ROW_BITS} rows; use more shuffle partitions")
     # One row per slice: as small as the list of a scan's files, whatever the rows.
     placed_at = stored.join(F.broadcast(starts.select(_SLICE, "_before")), _SLICE)

@@ -82,12 +82,12 @@ def converted(column: str, kind: T.DataType) -> Column:
     """The text as ``kind``; NULL if it doesn't fit. Whole numbers may have decimals that are zero."""
     if isinstance(kind, T.StringType):
         return F.col(column)
-    if isinstance(kind, T.DoubleType):
-        return _value(column).try_cast(kind)
-    exact = _value(column).try_cast(_EXACT)
-    if isinstance(kind, T.IntegralType):
-        return F.when(exact == F.floor(exact), exact.try_cast(kind))
-    return exact.try_cast(kind)
+    value = _value(column)
+    direct = value.try_cast(kind)  # a decimal is rounded here, which ``rejected_values`` tells
+    if not isinstance(kind, T.IntegralType):
+        return direct
+    exact = value.try_cast(_EXACT)
+    return F.coalesce(direct, F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def rejected_values(kinds: dict[str, T.DataType]) -> Column:
@@ -99,7 +99,10 @@ def rejected_values(kinds: dict[str, T.DataType]) -> Column:
         value, taken = _value(column), converted(column, kind)
         reason = F.when(value.isNotNull() & taken.isNull(), UNREADABLE)
         if isinstance(kind, T.DecimalType):
-            reason = reason.when(value.try_cast(_EXACT) != taken, ROUNDED)
+            point = F.instr(value, ".")
+            fine = (point == 0) | (F.length(value) - point <= kind.scale)
+            plain = fine & ~F.lower(value).contains("e")
+            reason = reason.when(~plain & (value.try_cast(_EXACT) != taken), ROUNDED)
         found.append(F.when(reason.isNotNull(), _reject(F.lit(column), F.col(column), reason)))
     found.append(F.when(F.col(CORRUPT).isNotNull(), _reject(F.lit(CORRUPT), F.col(CORRUPT), F.lit(MALFORMED))))
     return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(REJECT)
