@@ -126,6 +126,21 @@ def test_chains_and_crowds_of_near_copies(docs):
     check_near(docs([(7 * i, t, "en", "s", None) for i, t in enumerate(texts)], clashing=True))
 
 
+def test_pairs_in_a_crowd_below_the_threshold(docs):
+    """Any two of the crowd are at 0.70 to 0.74 by their template; a few pairs share more."""
+    rng = random.Random(11)
+    template = prose(rng, 85)
+    tails = [prose(rng, rng.randint(15, 17)) for _ in range(1500)]
+    for k in range(0, 40, 2):
+        shared = 3 + k % 4
+        tails[k + 1] = " ".join(tails[k].split()[:shared] + tails[k + 1].split()[shared:])
+    texts = [f"{template} {t}" for t in tails]
+    rng.shuffle(texts)
+    wanted, _ = components(dict(enumerate(texts)))
+    assert 15 <= sum(i != c for i, c in wanted.items()) <= 20
+    check_near(docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]))
+
+
 def test_near_edge_cases(docs, workspace, spark):
     rows = minhash.groups(docs(ODD, clashing=True), workspace).collect()
     assert len(rows) == len(ODD)

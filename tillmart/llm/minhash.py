@@ -8,6 +8,13 @@ node and the next ``NEAR`` ones, as long as they share a prefix of ``LEAST`` val
 the region: where few signatures agree the neighbour is the one that shares three values, in a crowd it
 is the one that shares most.
 
+Where more than ``NEAR`` + 1 nodes share a prefix of ``LEAST`` values in some tree, or a task border cuts
+their run, neighbours don't cover all pairs. Nodes of such runs that still hold several groups after the
+rounds are joined exactly: a set's shingles are put in one order, rare ones first, and two sets that reach
+the threshold share one of the first |x| - o + 1 and |y| - o + 1, o being the overlap they need at their
+sizes. Prefixes are told apart by classes of the smaller set's size, so they stay shorter than what a
+template below the threshold leaves to each text, and keys that meet one group only end there.
+
 Trees are read in two rounds, two trees and the others. A round keeps only candidates whose nodes are in different
 groups so far, so a large group of copies, joined in the first round, costs one row per node and tree
 later on, never pairs. Candidates whose full signatures agree in fewer than ``SURE`` values (over six
@@ -15,8 +22,7 @@ standard deviations below the threshold) are left out; all others are confirmed
 alternating stars on written tables.
 
 A pair of similarity s shares LEAST values in one tree with probability s**LEAST; over all trees a pair
-at 0.75 is missed by all with probability (1 - 0.75**3)**TREES, 2 in a million. A pair that a task
-border cuts in one tree remains in the others.
+at 0.75 is missed by all with probability (1 - 0.75**3)**TREES, 2 in a million, in crowds as elsewhere.
 
 Defined cases: null, empty and wordless texts have an empty set, size 0, and are linked with nothing.
 Rows that repeat an id and text are one node and all ``kept``; an id with several texts is a node per
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +54,12 @@ ROUNDS = (0, 2, TREES)
 SURE = 60
 PERCENT = 75
 FILTER_BITS = 1 << 24
+#: Counts of shingles by the upper bits of their hash; they order shingles, and only speed depends on them.
+COUNT_BITS = 20
+#: Least set size of each size class: single sizes first, then 5 % apart.
+SIZES = [1]
+while SIZES[-1] < 1 << 40:
+    SIZES.append(max(SIZES[-1] + 1, SIZES[-1] * 21 // 20))
 
 _RNG = np.random.default_rng(75)
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
@@ -109,7 +122,8 @@ def with_sets(df: DataFrame, text: str = "text") -> DataFrame:
 
 def forest(nodes: DataFrame, first: int, last: int) -> DataFrame:
     """Neighbours (a, b) in the orders of trees ``first`` to ``last`` - 1; nodes: node, signature, label.
-    Pairs of one label are left out."""
+    Pairs of one label are left out. Rows with a ``run`` and no b tell that node a is in a run of nodes
+    too long for neighbours to cover all its pairs, or at a task's border."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,27 +140,127 @@ def forest(nodes: DataFrame, first: int, last: int) -> DataFrame:
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail: pa.Table | None = None
+        seen, wide = 0, NEAR + 1
+
+        def found(a: np.ndarray, b: np.ndarray | None, run: np.ndarray | None) -> pa.RecordBatch:
+            none = pa.nulls(len(a), pa.int64())
+            columns = [pa.array(a), none if b is None else pa.array(b), none if run is None else pa.array(run)]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "run"])
+
         for batch in batches:
+            if not batch.num_rows:
+                continue
             table = pa.Table.from_batches([batch])
             if tail is not None:
                 table = pa.concat_tables([tail, table])
             n, old = table.num_rows, 0 if tail is None else tail.num_rows
-            trees, nodes_, labels = (table[c].to_numpy() for c in ("tree", "node", "label"))
-            keys = np.frombuffer(b"".join(table["prefix"].to_pylist()), np.uint8).reshape(n, 2 * DEPTH)
+            nodes_, labels = (table[c].to_numpy() for c in ("node", "label"))
+            runs = _runs(table)
             for gap in range(1, NEAR + 1):
                 if n <= gap:
                     break
                 low, high = slice(0, n - gap), slice(gap, n)
-                near = (trees[low] == trees[high]) & (labels[low] != labels[high]) & (np.arange(gap, n) >= old)
-                at = np.flatnonzero(near)
-                at = at[(keys[at, : 2 * LEAST] == keys[at + gap, : 2 * LEAST]).all(1)]
+                at = np.flatnonzero((runs[low] == runs[high]) & (labels[low] != labels[high]) & (np.arange(gap, n) >= old))
                 a, b = nodes_[at], nodes_[at + gap]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-            tail = table.slice(max(0, n - NEAR))
+                yield found(np.minimum(a, b), np.maximum(a, b), None)
+            crowded = np.zeros(n, bool)
+            crowded[old : old + max(0, wide - seen)] = True
+            if n > wide:
+                at = np.flatnonzero(runs[:-wide] == runs[wide:])
+                for more in range(wide + 1):
+                    crowded[at + more] = True
+            yield found(nodes_[crowded], None, runs[crowded])
+            seen += n - old
+            tail = table.slice(max(0, n - wide))
+        if tail is not None:
+            yield found(tail["node"].to_numpy(), None, _runs(tail))
 
     placed = nodes.select("node", "signature", "label").mapInArrow(rows, "tree int, prefix binary, node bigint, label bigint")
     in_order = placed.repartitionByRange("tree", "prefix", "node").sortWithinPartitions("tree", "prefix", "node")
-    return in_order.mapInArrow(neighbours, "a bigint, b bigint").where("a < b").distinct()
+    return in_order.mapInArrow(neighbours, "a bigint, b bigint, run bigint").where("a < b OR b IS NULL").distinct()
+
+
+def _runs(table: pa.Table) -> np.ndarray:
+    """Per row its tree and the first LEAST values, as one number."""
+    keys = np.frombuffer(b"".join(table["prefix"].to_pylist()), np.uint8).reshape(table.num_rows, 2 * DEPTH)
+    out = table["tree"].to_numpy().astype(np.int64)
+    for k in range(2 * LEAST):
+        out = out << 8 | keys[:, k]
+    return out
+
+
+def crowded(runs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes with labels (node, label) of those runs (node, run) that hold several labels."""
+    marked = runs.join(labels, "node")
+    mixed = marked.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return marked.join(mixed.select("run"), "run", "left_semi").select("node", "label").distinct()
+
+
+def _overlap(x: int, y: int) -> int:
+    """Least common shingles of sets of these sizes at the threshold."""
+    return -(-PERCENT * (x + y) // (100 + PERCENT))
+
+
+def _prefixes(size: int) -> list[tuple[int, int, bool]]:
+    """Under which size classes a set's first shingles are keys, how many, and whether the set is there as
+    the larger one of a pair."""
+    own, least = bisect_right(SIZES, size) - 1, -(-PERCENT * size // 100)
+    out = [(own, size - _overlap(size, size) + 1, False)]
+    for k in range(bisect_right(SIZES, least) - 1, own + 1):
+        out.append((k, size - _overlap(size, max(least, SIZES[k])) + 1, True))
+    return out
+
+
+def crowd_pairs(sets: DataFrame, workspace: Workspace) -> DataFrame:
+    """Pairs (a, b) of different labels among which are all that reach the threshold; sets: node, label,
+    shingles."""
+    shift = np.uint64(64 - COUNT_BITS)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                held += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> shift).astype(np.int64), minlength=len(held))
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
+
+    sums = sets.select("shingles").mapInArrow(tally, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+    held = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = held.value
+        for batch in batches:
+            for part in slices(batch):
+                found, sizes, sides = [np.zeros(0, np.uint64)], [], []
+                for x in part.column(2):
+                    x = np.frombuffer(x.as_buffer(), np.uint64)
+                    cuts = _prefixes(len(x))
+                    first = x[np.lexsort((x, counts[(x >> shift).astype(np.int64)]))[: max(n for _, n, _ in cuts)]]
+                    found += [first[:n] ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64) for k, n, _ in cuts]
+                    sizes.append(sum(n for _, n, _ in cuts))
+                    sides += [np.full(n, larger) for _, n, larger in cuts]
+                of = np.repeat(np.arange(part.num_rows), sizes)
+                columns = [
+                    pa.array(mix(np.concatenate(found)).view(np.int64)), part.column(0).take(pa.array(of)),
+                    part.column(1).take(pa.array(of)), pa.array(np.concatenate(sides)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "label", "larger"])
+
+    placed = sets.select("node", "label", "shingles").mapInArrow(keys, "key bigint, node bigint, label bigint, larger boolean")
+    placed = workspace.store("crowd_keys", placed)
+    several = placed.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("larger").alias("no"), F.max("larger").alias("yes")
+    )
+    several = workspace.store("crowd_meetings", several.where("low < high AND NOT no AND yes").select("key"))
+    met = maybe_among(placed, "key", several).join(several, "key", "left_semi")
+    met = met.groupBy("key", "label", "larger").agg(F.collect_set("node").alias("nodes"))
+    side = [met.where(f"larger = {i}").select("key", F.col("label").alias(f"{c}_label"), F.col("nodes").alias(c)) for i, c in (("false", "x"), ("true", "y"))]
+    # Nodes of one label stay together, so a large group never meets itself.
+    both = side[0].join(side[1], "key").where("x_label != y_label").select(F.explode("x").alias("x"), "y")
+    both = both.select("x", F.explode("y").alias("y"))
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -224,16 +338,29 @@ def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFra
     node = workspace.store("nodes", node)
     named = node.where("node IS NOT NULL")
     labels = named.select("node", F.col("node").alias("label")).distinct()
-    for k, (first, last) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:], strict=True)):
-        labelled = named.withColumn("label", F.col("node")) if k == 0 else named.join(labels, "node")
-        pairs = workspace.store(f"pairs{k}", forest(labelled, first, last))
+
+    def linked(k: str, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         near = workspace.store(f"near{k}", likely(pairs, named))
         if not workspace.rows[f"near{k}"]:
-            continue
-        wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = workspace.store(f"sets{k}", _sets_of(source, wanted))
+            return labels
+        if sets is None:
+            wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            sets = workspace.store(f"sets{k}", _sets_of(source, wanted))
         links = workspace.store(f"links{k}", confirm(near, sets).distinct())
-        labels = unite(labels, links, workspace, f"unite{k}")
+        return unite(labels, links, workspace, f"unite{k}")
+
+    runs = []
+    for k, (first, last) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:], strict=True)):
+        labelled = named.withColumn("label", F.col("node")) if k == 0 else named.join(labels, "node")
+        pairs = workspace.store(f"pairs{k}", forest(labelled, first, last))
+        runs.append(pairs.where("b IS NULL").select(F.col("a").alias("node"), "run"))
+        labels = linked(str(k), pairs.where("b IS NOT NULL").select("a", "b"))
+    crowd = workspace.store("crowd", crowded(runs[0].unionAll(runs[1]), labels))
+    if workspace.rows["crowd"]:
+        sets = _sets_of(source, crowd.select("node")).join(crowd, "node")
+        sets = workspace.store("sets_crowd", sets.select("node", "label", "shingles"))
+        pairs = workspace.store("pairs_crowd", crowd_pairs(sets, workspace))
+        labels = linked("_crowd", pairs, sets)
     group = node.drop("signature").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     joined = marked.drop("signature").join(group, "digest", "left")
     component = F.coalesce("component", "doc_id")
