@@ -9,7 +9,7 @@ next stage's ``docs``. All but the last return the columns of ``docs``.
 | exact_dedup | of equal texts the longest, then the smallest id |
 | near_dedup | of every group of near copies the document with the smallest id |
 | mixing | every document as often as the mix takes it: complete epochs, then the fractional part |
-| tokens | n_tokens, ids and digests of the ids and of the decoded text beside each document's id |
+| tokens | ids, n_tokens, the decoded text and digests of the ids and of that text beside each document's id |
 
 Empty tables pass through all stages. Rows that repeat an id and a text are one document after exact
 dedup. An id stays with all its texts if one of them stays. Documents without an id are treated as one

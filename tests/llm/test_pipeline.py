@@ -43,6 +43,20 @@ def test_run_equals_the_library_on_what_is_left(spark, folder, documents):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_the_last_stage_returns_the_encoded_corpus(spark, docs, folder):
+    library = Tokenizer.from_file(VOCABULARY)
+    rows = staged(spark, docs(ODD), folder, "tokens").orderBy("doc_id").collect()
+    texts = {r[0]: r[1] for r in ODD if r[0] is not None}
+    assert len(rows) == len(ODD)
+    for r in rows:
+        assert r["n_tokens"] == len(r["ids"])
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
+        if r["doc_id"] is not None:
+            assert r["ids"] == library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+            assert r["decoded"] == library.decode(r["ids"], skip_special_tokens=False)
+
+
 def test_every_stage_takes_odd_and_empty_tables(spark, docs, folder):
     odd = docs(ODD, clashing=True)
     for name, _ in corpus_pipeline.STAGES:

@@ -19,18 +19,19 @@ differ.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.llm.frames import add_columns
@@ -62,7 +63,6 @@ class Bpe:
         self.tokens = [""] * (max([*ids.values(), *self.specials.values()]) + 1)
         for token, i in [*ids.items(), *self.specials.items()]:
             self.tokens[i] = token
-        self.id_texts = [str(i) for i in range(len(self.tokens))]
         shown = byte_characters()
         self.inner = np.array([ids[c] for c in shown])
         self.final = np.array([ids[c + suffix] for c in shown])
@@ -194,9 +194,22 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         bpe = load(vocabulary)
+        seen: dict[str, int] = {}  # words of this and earlier batches, in the order of the lists
+        flat, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)  # their ids in a row
         for column in columns:
-            ids = bpe.encode(column.to_pylist())
-            yield [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+            docs = [[seen.setdefault(w, len(seen)) for w in bpe.split(t)] if t else [] for t in column.to_pylist()]
+            new = bpe.encode_words(list(islice(seen, len(sizes), None)))
+            flat = np.concatenate([flat, *new]).astype(np.int32)
+            sizes = np.concatenate([sizes, np.array([len(w) for w in new], np.int64)])
+            starts = np.cumsum(sizes) - sizes
+            words = np.fromiter(chain.from_iterable(docs), np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes[words])]).astype(np.int64)
+            ids = flat[np.repeat(starts[words] - ends[:-1], sizes[words]) + np.arange(ends[-1])]
+            offsets = ends[np.cumsum([0, *map(len, docs)])]
+            yield [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), pa.array(np.diff(offsets))]
+            if len(seen) > KEPT_WORDS:
+                seen.clear()
+                flat, sizes = flat[:0], sizes[:0]
 
     ids = T.StructField("ids", T.ArrayType(T.IntegerType(), False))
     return add_columns(df, text, [ids, T.StructField("n_tokens", T.LongType())], run)
@@ -206,41 +219,18 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``; null ids decode to an empty text."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        bpe = load(vocabulary)
+        tokens = pa.array(load(vocabulary).tokens, pa.large_string())
         for column in columns:
-            yield [pa.array([bpe.decode(x or []) for x in column.to_pylist()], pa.string())]
+            offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())])
+            parts = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), tokens.take(column.flatten()))
+            yield [pc.binary_join(parts, pa.scalar(" ", pa.large_string()))]
 
     return add_columns(df, ids, [T.StructField("decoded", T.StringType())], run)
 
 
 def digests(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens`` and SHA-256 of the ids' and the decoded text, in one pass: the ids
-    needn't leave the task."""
-
-    def sha(parts: list[str]) -> str:
-        return hashlib.sha256(" ".join(parts).encode()).hexdigest()
-
-    def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        bpe = load(vocabulary)
-        seen: dict[str, int] = {}  # words of this and earlier batches, in the order of the lists
-        ids: list[str] = []
-        decoded: list[str] = []
-        sizes: list[int] = []
-        for column in columns:
-            docs = [[seen.setdefault(w, len(seen)) for w in bpe.split(t)] if t else [] for t in column.to_pylist()]
-            for word in bpe.encode_words(list(islice(seen, len(ids), None))):
-                own = word.tolist()
-                sizes.append(len(own))
-                ids.append(" ".join([bpe.id_texts[i] for i in own]))
-                decoded.append(bpe.decode(own))
-            yield [
-                pa.array([sum([sizes[k] for k in d]) for d in docs], pa.int64()),
-                pa.array([sha([ids[k] for k in d]) for d in docs]),
-                pa.array([sha([decoded[k] for k in d]) for d in docs]),
-            ]
-            if len(seen) > KEPT_WORDS:
-                for kept in (seen, ids, decoded, sizes):
-                    kept.clear()
-
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType())]
-    return add_columns(df, text, [*fields, T.StructField("decoded_sha256", T.StringType())], run)
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded`` by ``encode`` and ``decode``, and SHA-256 of the
+    ids', joined by blanks, and of the decoded text."""
+    both = decode(encode(df, vocabulary, text), vocabulary)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.withColumns({"ids_sha256": F.sha2(ids, 256), "decoded_sha256": F.sha2("decoded", 256)})

@@ -37,7 +37,7 @@ def near_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(docs, VOCABULARY).drop("text")
+    return bpe.digests(docs, VOCABULARY).drop("text", "ids", "decoded")
 
 
 def model_scores(spark: SparkSession, folder: str) -> DataFrame:
