@@ -180,6 +180,26 @@ def test_exchange_finds_two_kinds_of_words():
     assert not set(classes[0 : n - 1 : 2]) & set(classes[1 : n - 1 : 2])
 
 
+def test_rare_words_are_exchanged_too(docs, workspace, monkeypatch):
+    """Words whose neighbours are outside the core as well get the class of their kind."""
+    monkeypatch.setattr(brown, "CORE", 2)
+    rng = np.random.default_rng(4)
+    kinds = [[f"{k}{i}" for i in range(30)] for k in "abcd"]
+    rows = []
+    for i in range(300):
+        words = [w for _ in range(10) for w in (rng.choice(kinds[0]), rng.choice(kinds[1]), rng.choice(kinds[2]), rng.choice(kinds[3]))]
+        rows.append((i, " ".join(words), None, None, None))
+    df = docs(rows).select("doc_id", "text", (F.col("doc_id") % 5 != 0).alias("train"))
+
+    def held_out():
+        found = brown.score(df, workspace).where("NOT train")
+        return found.agg(F.sum("score") / F.sum("n_tokens")).first()[0]
+
+    after = held_out()
+    monkeypatch.setattr(brown, "sweeps", lambda blocks, replies, *rest: replies)
+    assert after > held_out() + 0.05
+
+
 def test_model_edge_cases(docs, spark):
     from tillmart.workspace import Workspace
 

@@ -2,9 +2,12 @@
 
 P(w | previous) = P(class(w) | class(previous)) * P(w | class(w)). Classes come from exchange
 clustering: the ``CORE`` most frequent training words are moved between ``CLASSES`` classes as long as
-that raises the likelihood of their bigrams; then every other training word, of all training
-documents, goes to the class that its neighbours in the whole training text make most likely. The end
-of a text is a class of its own; words without a clustered neighbour, and unseen words, form one more.
+that raises the likelihood of their bigrams, and every other training word goes to the class that its
+neighbours make most likely. From this start sweeps exchange all words of all training documents: the
+neighbours' classes of every word are counted, sharded by hash, each word moves to its best class under
+the class bigrams so far, and the bigrams are counted anew, until a sweep gains less than ``GAIN`` a
+token; one that loses likelihood is undone. The end of a text is a class of its own; unseen words, and
+before the sweeps words without a clustered neighbour, form one more.
 
 A token is a word ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, known by its 64-bit hash, or the end.
 
@@ -41,6 +44,8 @@ from tillmart.workspace import Workspace
 CORE = 1024
 CLASSES = 32
 SWEEPS = 10
+#: Of log-likelihood (natural) per training token.
+GAIN = 0.002
 BLEND = 50.0
 BLOCK_TOKENS = 1 << 19
 SHARD_ENTRIES = 400_000
@@ -247,6 +252,18 @@ class Core:
     evidence: np.ndarray  # log-likelihood of a class given one neighbour: 2 * (CLASSES + 1) x CLASSES
 
 
+#: Classes that words can move to; unseen words are like those of OTHER.
+_OPEN = np.array([*range(CLASSES), OTHER])
+
+
+def evidence(table: np.ndarray) -> np.ndarray:
+    """Log-likelihood of a class given the class before, then given the one after, from class bigrams."""
+    table, to = table + 0.1, _OPEN[_OPEN < len(table)]
+    left = np.log(table / table.sum(1, keepdims=True) / table.sum(0))[:, to]
+    right = np.log(table / table.sum(1, keepdims=True)).T[:, to]
+    return np.concatenate([left, right])
+
+
 def cluster(bigrams: DataFrame, core: np.ndarray) -> Core:
     """Exchange clustering of at most CORE**2 counts, in one task."""
     size, end = len(core), int(np.searchsorted(core, END))
@@ -257,10 +274,8 @@ def cluster(bigrams: DataFrame, core: np.ndarray) -> Core:
             counts[f["i"], f["j"]] = f["n"]
         classes = exchange(counts, end)
         member = np.eye(CLASSES + 1)[classes]
-        table = member.T @ counts @ member + 0.1
-        left = np.log(table / table.sum(1, keepdims=True) / table.sum(0))[:, :CLASSES]
-        right = np.log(table / table.sum(1, keepdims=True)).T[:, :CLASSES]
-        yield pd.DataFrame({"classes": [classes.astype(np.int64).tobytes()], "evidence": [np.concatenate([left, right]).tobytes()]})
+        found = evidence(member.T @ counts @ member)
+        yield pd.DataFrame({"classes": [classes.astype(np.int64).tobytes()], "evidence": [found.tobytes()]})
 
     row = bigrams.repartition(1).mapInPandas(run, "classes binary, evidence binary").first()
     if row is None:  # no training text
@@ -292,14 +307,25 @@ def classify(blocks: DataFrame, core: Core, n_shards: int) -> DataFrame:
                 codes.append(b.tokens[use].astype(np.int64) * (2 * contexts) + side + context[use])
             pairs, times = np.unique(np.concatenate(codes), return_counts=True)
             word, code = pairs // (2 * contexts), (pairs % (2 * contexts)).astype(np.uint8)
-            bounds = _shards(b.vocabulary, n_shards)
-            cuts = np.searchsorted(word, bounds)
-            rows = []
-            for k in np.flatnonzero(np.diff(bounds)):
-                own, pair = slice(bounds[k], bounds[k + 1]), slice(cuts[k], cuts[k + 1])
-                packed = [_pack(x) for x in (counts[own].astype(np.uint32), (word[pair] - bounds[k]).astype(np.uint32), code[pair], times[pair].astype(np.uint32))]
-                rows.append((int(k), b.number, b.vocabulary[own].tobytes(), *packed))
-            yield from _table(_PIECE, rows).to_batches()
+            yield from _table(_PIECE, _pieces(b, counts, word, code, times, n_shards)).to_batches()
+
+    return decided(blocks.mapInArrow(cut, _PIECE), core)
+
+
+def _pieces(b: Block, counts: np.ndarray, word: np.ndarray, code: np.ndarray, times: np.ndarray, n_shards: int) -> list[tuple]:
+    """A block's rows, one per shard: its words with counts, and how often each has which neighbour."""
+    bounds = _shards(b.vocabulary, n_shards)
+    cuts = np.searchsorted(word, bounds)
+    rows = []
+    for k in np.flatnonzero(np.diff(bounds)):
+        own, pair = slice(bounds[k], bounds[k + 1]), slice(cuts[k], cuts[k + 1])
+        packed = [_pack(x) for x in (counts[own].astype(np.uint32), (word[pair] - bounds[k]).astype(np.uint32), code[pair], times[pair].astype(np.uint32))]
+        rows.append((int(k), b.number, b.vocabulary[own].tobytes(), *packed))
+    return rows
+
+
+def decided(pieces: DataFrame, core: Core) -> DataFrame:
+    """The replies to pieces: core words have the core's classes, others the class of most evidence."""
 
     def decide(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")  # sums of floats in one order, whatever arrives first
@@ -314,12 +340,12 @@ def classify(blocks: DataFrame, core: Core, n_shards: int) -> DataFrame:
         weight = np.bincount(place, np.concatenate(times), len(pairs))
         entry, codes = pairs // len(core.evidence), pairs % len(core.evidence)
         classes = np.full(len(words), OTHER)
-        for low in range(0, len(words), 4096):  # bounds the memory of the class scores
-            span = slice(*np.searchsorted(entry, [low, low + 4096]))
+        for low in range(0, len(words), 512):  # bounds the memory of the class scores
+            span = slice(*np.searchsorted(entry, [low, low + 512]))
             if span.start < span.stop:
                 own, first = np.unique(entry[span], return_index=True)
                 scores = core.evidence[codes[span]] * weight[span][:, None]
-                classes[own] = np.add.reduceat(scores, first).argmax(1)
+                classes[own] = _OPEN[np.add.reduceat(scores, first).argmax(1)]
         inside = _places(core.words, words)
         classes = np.where(inside >= 0, core.classes[inside], classes)
         totals = np.concatenate([np.bincount(classes, total, KINDS), np.bincount(classes, total > 0, KINDS)])
@@ -330,7 +356,51 @@ def classify(blocks: DataFrame, core: Core, n_shards: int) -> DataFrame:
             rows.append((number, shard, _pack(total[own]), _pack(classes[own].astype(np.uint8)), None))
         return _table(_REPLY, rows)
 
-    return blocks.mapInArrow(cut, _PIECE).groupBy("shard").applyInArrow(decide, _REPLY)
+    return pieces.groupBy("shard").applyInArrow(decide, _REPLY)
+
+
+def neighbours(blocks: DataFrame, replies: DataFrame, n_shards: int) -> DataFrame:
+    """Pieces of all training words but the end, with the neighbours' classes in ``replies``. Rows of shard
+    -1 hold a block's class bigrams."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table(_PIECE, [])
+        b = Block.of(left.to_pylist()[0])
+        answers = sorted(right.to_pylist(), key=lambda r: r["shard"])
+        kinds = np.concatenate([_unpack(r["classes"], np.uint8) for r in answers]).astype(np.int64)[b.tokens]
+        learned = b.learned()
+        last, following = b.before(kinds, END_CLASS), np.append(kinds[1:], END_CLASS)
+        bigrams = np.bincount((last * KINDS + kinds)[learned], minlength=KINDS * KINDS)
+        use = learned & (b.vocabulary != END)[b.tokens]
+        codes = [b.tokens[use].astype(np.int64) * (2 * KINDS) + side + context[use] for side, context in ((0, last), (KINDS, following))]
+        pairs, times = np.unique(np.concatenate(codes), return_counts=True)
+        counts = np.bincount(b.tokens[learned], minlength=len(b.vocabulary))
+        rows = _pieces(b, counts, pairs // (2 * KINDS), (pairs % (2 * KINDS)).astype(np.uint8), times, n_shards)
+        return _table(_PIECE, [*rows, (-1, b.number, b"", bigrams.astype(np.int64).tobytes(), b"", b"", b"")])
+
+    return blocks.groupBy("block").cogroup(replies.where("block >= 0").drop("totals").groupBy("block")).applyInArrow(run, _PIECE)
+
+
+def sweeps(blocks: DataFrame, replies: DataFrame, workspace: Workspace, n_shards: int) -> DataFrame:
+    """Replies after exchanging all training words, starting from ``replies``."""
+    before, last = None, -np.inf
+    for k in range(SWEEPS + 1):
+        pieces = workspace.store(f"pieces{k}", neighbours(blocks, replies, n_shards))
+        table = _bigrams(pieces.where("shard = -1").select("counts"))
+        n = table.sum()
+        value = _xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum()
+        if before is not None and value < last:
+            return before
+        if not n or value - last < GAIN * n or k == SWEEPS:
+            return replies
+        if k > 1:
+            workspace.drop(f"replies{k - 1}")
+        before, last = replies, value
+        every = Core(np.array([END]), np.array([END_CLASS]), evidence(table))
+        replies = workspace.store(f"replies{k + 1}", decided(pieces.where("shard >= 0"), every))
+        workspace.drop(f"pieces{k}")
+    return replies
 
 
 _SCORED = "doc_ids array<bigint>, train array<boolean>, offsets binary, known binary, base binary, emission binary, classes binary, pairs binary"
@@ -362,7 +432,14 @@ def emit(blocks: DataFrame, replies: DataFrame, totals: np.ndarray) -> DataFrame
 
 
 def transitions(scored: DataFrame) -> np.ndarray:
-    """log10 P(class | class before) from all training pairs; KINDS**2 sums reach the driver."""
+    """log10 P(class | class before) from all training pairs."""
+    table = _bigrams(scored.select("pairs"))
+    share = (table.sum(0) + 0.5) / (table.sum() + 0.5 * KINDS)
+    return np.log10((table + BLEND * share) / (table.sum(1, keepdims=True) + BLEND))
+
+
+def _bigrams(counts: DataFrame) -> np.ndarray:
+    """Class bigrams added up over the blocks; KINDS**2 sums reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(KINDS * KINDS, np.int64)
@@ -372,13 +449,11 @@ def transitions(scored: DataFrame) -> np.ndarray:
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["pair", "n"])
 
-    sums = scored.select("pairs").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n")).collect()
+    sums = counts.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n")).collect()
     table = np.zeros(KINDS * KINDS)
     for pair, n in sums:
         table[pair] = n
-    table = table.reshape(KINDS, KINDS)
-    share = (table.sum(0) + 0.5) / (table.sum() + 0.5 * KINDS)
-    return np.log10((table + BLEND * share) / (table.sum(1, keepdims=True) + BLEND))
+    return table.reshape(KINDS, KINDS)
 
 
 _RESULT = "doc_id bigint, train boolean, n_tokens bigint, n_known bigint, base_score double, score double, perplexity double"
@@ -399,6 +474,7 @@ def score(docs: DataFrame, workspace: Workspace) -> DataFrame:
     words = np.unique(np.append(words, END))
     core = cluster(core_bigrams(blocks, words), words)
     replies = workspace.store("replies", classify(blocks, core, n_shards))
+    replies = sweeps(blocks, replies, workspace, 8 * n_shards)  # words have more neighbours there than in ``classify``
     sums = replies.where("block = -1").select(F.posexplode("totals").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
     totals = np.zeros(2 * KINDS, np.int64)
     for row in sums.collect():  # two numbers per class

@@ -62,6 +62,12 @@ class Workspace:
 
     def discard(self) -> None:
         """Delete the tables of this run; call it once nothing reads them any more."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.location)
+        self._delete(self.location)
+
+    def drop(self, name: str) -> None:
+        """Delete the latest attempt's table ``name``; call it once nothing reads it any more."""
+        self._delete(self.path(name))
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
