@@ -56,6 +56,15 @@ def test_quality_edge_cases(spark, docs):
     assert {r["score"] for r in quality.predict(df, nothing).collect()} == {0.5}
 
 
+def test_sample_holds_training_documents_only(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 30)
+    df = docs([(i, "good words here" if i % 2 else "BAD !!! 123", None, None, None) for i in range(30)])
+    labels = spark.range(3000).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    weights = quality.train(df, labels)
+    assert weights.any()
+    assert np.array_equal(weights, quality.train(df, labels.where("doc_id < 30")))
+
+
 def test_ftrl_learns_a_sparse_separator():
     model = quality.Ftrl(10)
     for _ in range(200):

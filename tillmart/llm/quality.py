@@ -111,7 +111,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     turn = F.xxhash64(F.lit(17), "doc_id")
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     sample = (
-        marked.groupBy("doc_id")
+        marked.join(docs.select("doc_id"), "doc_id", "left_semi")  # ids that can't train take no place
+        .groupBy("doc_id")
         .agg((F.avg(label) >= 0.5).cast("int").alias("label"))
         .select("doc_id", "label", turn.alias("turn"))
         .orderBy("turn", "doc_id")
