@@ -136,6 +136,13 @@ def test_odd_texts_equal_the_library(docs, library):
     assert bpe.digests(df.limit(0), VOCABULARY).collect() == []
 
 
+def test_sentinel_stays_above_all_ranks_in_long_words():
+    model = bpe.load(VOCABULARY)
+    assert len(model.merged) <= bpe._NONE
+    for width in (2, 1 << 23, 1 << 31):  # 2**23: words above 4 MiB
+        assert int(bpe._NONE) * width + width < 2**63
+
+
 def test_segment_tree_merges_like_a_plain_scan():
     model = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
     ranks = dict(zip(model.keys.tolist(), model.ranks.tolist(), strict=True))

@@ -42,7 +42,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+"
 #: Distinct words whose ids a task keeps between batches.
 KEPT_WORDS = 250_000
-_NONE = np.int64(1 << 40)
+#: Above all ranks (ids, and so merges, have 20 bits); times a row's width it stays below 2**63.
+_NONE = np.int64(1 << 20)
 
 
 def byte_characters() -> list[str]:
