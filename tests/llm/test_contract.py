@@ -19,13 +19,16 @@ COLUMNS = {
     "op8_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_exact_dedup": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
     "op10_spotsigs": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
+    "op11_merkle": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op12_conversations": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
+    "op13_toxicity": {"doc_id", "held_out", "score", "predicted"},
 }
 
 
 @pytest.fixture(scope="module")
 def llm_duck(folder):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     return connection
 
@@ -42,8 +45,9 @@ def test_query_equals_sql(spark, llm_duck, folder, name):
 def test_one_row_per_input_row(spark, folder, name):
     df = registry()[name](spark, folder)
     assert COLUMNS[name] <= set(df.columns)
-    key, table = ("page_id", "pages") if name == "op5_warc" else ("doc_id", "documents")
+    key, table = {"op5_warc": ("page_id", "pages"), "op12_conversations": ("conv_id", "conversations")}.get(name, ("doc_id", "documents"))
     wanted = spark.read.parquet(f"{folder}/{table}.parquet").select(key)
+    wanted = wanted.distinct() if key == "conv_id" else wanted
     assert sorted(r[0] for r in df.select(key).collect()) == sorted(r[0] for r in wanted.collect())
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, brown, exact, language, lines, minhash, mixing, quality, spots, warc
+from tillmart.llm import bpe, brown, exact, factors, language, lines, merkle, minhash, mixing, quality, spots, turns, warc
 from tillmart.llm.frames import fold
 from tillmart.llm.oracle import ORACLE
 from tillmart.workspace import Workspace
@@ -96,6 +96,40 @@ def text_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spots.fingerprints(table(spark, folder, "documents"), Workspace(spark))
 
 
+def manifest_proofs(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = F.coalesce(fold("doc_id", 7) == 0, F.lit(False))
+    return merkle.audit(table(spark, folder, "documents"), Workspace(spark), columns, {"n_chars": F.col("n_chars") + 1}, changed)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` dropped, emptied, cut, repeated or given another role by their checksum."""
+    names = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = (F.crc32(F.concat_ws(":", *names)) % 20).alias("kind")
+    role, text = (F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text"))
+    rows = conversations.select("conv_id", "turn", role, text, kind).where("kind != 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def repaired_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    found = turns.summary(turns.repair(damaged(conversations), Workspace(spark))).withColumnRenamed("conv_id", "conv_")
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].eqNullSafe(found["conv_"]), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = table(spark, folder, "documents").select("doc_id", "text"), fold("doc_id", 5) == 0
+    model = factors.train(docs.where(~held_out), table(spark, folder, "labels"), Workspace(spark))
+    return factors.predict(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def registry() -> dict[str, Query]:
     named: dict[str, Query] = {
         "op1_quality": quality_scores,
@@ -108,6 +142,9 @@ def registry() -> dict[str, Query]:
         "op8_mixing": mixture,
         "op9_exact_dedup": exact_groups,
         "op10_spotsigs": text_fingerprints,
+        "op11_merkle": manifest_proofs,
+        "op12_conversations": repaired_conversations,
+        "op13_toxicity": toxicity_scores,
     }
     return {name: _shipping(query) for name, query in named.items()}
 
