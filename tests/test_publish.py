@@ -1,16 +1,21 @@
+import os
+import time
+
 import pytest
 from frames import sales
 from pyspark.sql import functions as F
 
 from tillmart.jobs import load_star as load_job
 from tillmart.jobs import publish_marts as publish_job
-from tillmart.operators.checks import duplicate_keys, orphan_keys
-from tillmart.plans.integrity import violations
-from tillmart.plans.publish import BrokenStar, failures, load_star, publish, store_star
+from tillmart.operators.checks import duplicate_keys, key_extent, orphan_keys
+from tillmart.plans import integrity
+from tillmart.plans.integrity import dense_members, foreign_key_violations, keys_within, primary_key_violations, violations
+from tillmart.plans.publish import FAIL, BrokenStar, failures, load_star, publish, store_star
 from tillmart.plans.reports import ADDITIONS, REPORTS, Marts, Report
 from tillmart.plans.star import StarPlan
 from tillmart.schema import DIMENSIONS, TABLES
 from tillmart.sources.tables import Target
+from tillmart.sources.versions import LeaseLost, Superseded, Versions
 from tillmart.workspace import Workspace
 
 
@@ -79,7 +84,86 @@ def test_failed_reload_leaves_the_old_star(spark, star, tmp_path):
     with pytest.raises(BrokenStar, match="1 keys"):
         store_star(orphaned, target, check=True)
     assert target.current(spark) == before
-    assert len([p for p in (tmp_path / "versions").iterdir() if p.is_dir()]) == 1
+    assert len(folders(tmp_path)) == 1
+
+
+def folders(path):
+    return sorted(p.name for p in (path / "versions").iterdir() if p.is_dir() and p.name != "log")
+
+
+def interleaved(star, target, spark, **second):
+    """The star's tables, whose fact is written only after another load has published."""
+    other = {}
+
+    class Tables(dict):
+        def __getitem__(self, name):
+            if name == "dim_seller" and not other:  # in the middle of the first load
+                other.update(store_star(star.tables(), target, **second))
+            return dict.__getitem__(self, name)
+
+    return Tables(star.tables()), other
+
+
+def test_two_loads_end_whole(spark, star, tmp_path):
+    target = Target(str(tmp_path))
+    store_star(star.tables(), target)
+    tables, other = interleaved(star, target, spark, check=True)
+    written = store_star(tables, target, check=True)
+    assert other == written
+    versions = Versions(spark, str(tmp_path))
+    assert versions.number() == 3 and len(folders(tmp_path)) == 2
+    for number in (2, 3):  # the second load published first, the first one on top of it
+        tables = {t: target.version(versions.named(number)).read(spark, t) for t in TABLES}
+        assert {t: df.count() for t, df in tables.items()} == written and violations(tables) == 0
+
+
+def test_a_superseded_load_can_fail(spark, star, tmp_path):
+    target = Target(str(tmp_path))
+    tables, other = interleaved(star, target, spark)
+    with pytest.raises(Superseded):
+        store_star(tables, target, superseded=FAIL)
+    assert {t: df.count() for t, df in load_star(spark, target).items()} == other
+    assert Versions(spark, str(tmp_path)).number() == 1 and len(folders(tmp_path)) == 1
+
+
+def test_one_of_two_commits_wins(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path))
+    a, b = versions.stage(), versions.stage()
+    look = versions.number
+    versions.number = lambda: 0  # the second commit looks before the first one renames
+    assert versions.commit(a, 0) == 1
+    with pytest.raises(Superseded):
+        versions.commit(b, 0)
+    versions.number = look
+    assert versions.current() == a and versions.commit(b, 1) == 2 and versions.current() == b
+
+
+def test_only_expired_leases_are_cleaned(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path), lease_seconds=3600)
+    published, running, crashed = (versions.stage() for _ in range(3))
+    versions.commit(published, 0)
+    lease = tmp_path / "versions" / crashed / "_lease"
+    os.utime(lease, (lease.stat().st_mtime - 4000,) * 2)
+    assert versions.clean() == [crashed]
+    assert folders(tmp_path) == sorted([published, running])
+    with pytest.raises(LeaseLost):
+        versions.commit(crashed, 1)
+    with versions.leased(running, every=0.05):
+        before = (tmp_path / "versions" / running / "_lease").stat().st_mtime_ns
+        time.sleep(0.5)
+        assert (tmp_path / "versions" / running / "_lease").stat().st_mtime_ns > before
+    assert versions.commit(running, 1) == 2
+
+
+def test_a_star_from_before_the_log_is_still_found(spark, star, tmp_path):
+    old = Target(str(tmp_path)).version("old")
+    for name, df in star.tables().items():
+        old.write(df, name)
+    (tmp_path / "versions" / "current").write_text("old")
+    target = Target(str(tmp_path))
+    assert load_star(spark, target)["fact_sales"].count() == 40
+    store_star(star.tables(), target)
+    assert "old" in folders(tmp_path) and target.current(spark) != old
 
 
 def test_readers_keep_their_version(spark, star, tmp_path):
@@ -89,7 +173,7 @@ def test_readers_keep_their_version(spark, star, tmp_path):
     store_star(star.tables(), target, check=True)
     assert reading["fact_sales"].count() == 40  # the version before stays for one more load
     store_star(star.tables(), target)
-    assert len([p for p in (tmp_path / "versions").iterdir() if p.is_dir()]) == 2
+    assert len(folders(tmp_path)) == 2
 
 
 def test_workspace_retries_in_a_fresh_folder(spark, tmp_path):
@@ -139,6 +223,46 @@ def test_violations_of_a_whole_star(star):
     assert violations(broken) == 3
 
 
+def test_good_stars_are_proven_without_joins(spark, star, monkeypatch):
+    tables = star.tables()
+    sizes = {t: tables[t].count() for t in tables if t != "fact_sales"}
+    assert dense_members(tables) == sizes
+    assert len(keys_within(tables["fact_sales"], sizes)) == 6
+    plans = [primary_key_violations(tables), foreign_key_violations(tables)]
+    assert [r["bad_keys"] for df in plans for r in df.collect()] == [0] * 12
+    assert not any("Join" in df._jdf.queryExecution().executedPlan().toString() for df in plans)
+
+    def never(*_):
+        raise AssertionError("counted key by key")
+
+    for name in ("duplicate_keys", "orphan_keys"):
+        monkeypatch.setattr(integrity, name, never)
+    assert violations(tables) == 0
+
+
+@pytest.mark.parametrize(("keys", "dense"), [
+    ([1, 2, 3], True), ([1, 2, 2], False), ([2, 3, 4], False), ([1, 2, 4], False), ([1, None, 2], False), ([0, 1, 2], False),
+    ([1, 1, 3], False), ([], True), (list(range(1, 70_001)), True), ([*range(1, 70_000), 69_999], False), ([-5, 1, 2], False),
+])
+def test_what_proves_keys_dense(spark, star, keys, dense):
+    products = spark.createDataFrame([(k,) for k in keys], "product_id bigint")
+    extent = key_extent(products, "product_id").first()
+    known = [k for k in keys if k is not None]
+    assert tuple(extent) == (len(keys), len(known), len(set(known)), min(known, default=None), max(known, default=None))
+    assert ("dim_product" in dense_members({"dim_product": products})) == dense
+
+
+def test_an_unproven_key_is_counted_exactly(spark, star):
+    tables = star.tables()
+    gap = {**tables, "dim_product": tables["dim_product"].withColumn("product_id", F.expr("IF(product_id = 4, 9, product_id)"))}
+    assert primary_key_violations(gap).agg(F.sum("bad_keys")).first()[0] == 0  # a gap is no fault of the table
+    found = {r["foreign_key"]: (r["bad_keys"], r["bad_rows"]) for r in foreign_key_violations(gap).collect()}
+    assert found.pop("product_id") == (1, 10) and set(found.values()) == {(0, 0)}
+    high = {**tables, "fact_sales": tables["fact_sales"].withColumn("store_id", F.lit(7).cast("long"))}
+    found = {r["foreign_key"]: (r["bad_keys"], r["bad_rows"]) for r in foreign_key_violations(high).collect()}
+    assert found["store_id"] == (1, 40)
+
+
 def test_workspace_counts_and_discards(spark, tmp_path):
     workspace = Workspace(spark, str(tmp_path / "run"))
     assert workspace.store("t", spark.range(7)).count() == 7

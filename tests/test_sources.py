@@ -1,9 +1,10 @@
 import pytest
 from frames import sales
+from pyspark.sql import functions as F
 
 from tillmart.schema import SALES, SALES_COLUMNS, jdbc_column_types
-from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, reject_rows, scan_csv_folder
-from tillmart.sources.tables import Target, split_options
+from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, decimals, reject_rows, scan_csv_folder
+from tillmart.sources.tables import Target
 
 COLUMNS = list(SALES_COLUMNS)
 
@@ -86,6 +87,39 @@ def test_values_that_fit_are_taken_and_others_told(spark, tmp_path, row, mixed):
     }
 
 
+@pytest.mark.parametrize(("text", "needed"), [
+    ("1.25", 2), ("1.250", 2), ("125e-2", 2), ("0.0125E2", 2), ("34.0", 0), ("34.", 0), ("5e3", 0), ("100e-4", 2), ("-1.00000000001", 11),
+    ("1e-11", 11), ("0e-30", 0), ("0.000", 0), (".5", 1), ("+7", 0), ("10", 0), ("x", None), ("1e", None), ("1.2.3", None), ("1" * 30 + ".5", 1),
+    ("12345.678e3", 0), ("12345.6789e3", 1), ("1e99999999999", 0),
+])
+def test_decimals_of_a_text(spark, text, needed):
+    assert spark.range(1).select(decimals(F.lit(text)).alias("d")).first()["d"] == needed
+
+
+def test_every_rounded_value_is_told(spark, tmp_path, row):
+    texts = ["1.00000000001", "1.005", "1e-11", "1.000000000000", "100e-4", "2.50"]
+    whole = ["3.00000000001", "3.0", "30e-1", "3", "3.000000000000", "35e-1"]
+    for n, (money, count) in enumerate(zip(texts, whole, strict=True)):
+        write_csv(tmp_path, f"{n}.csv", COLUMNS, {**row, "id": n, "sale_total_price": money, "sale_quantity": count})
+    read = scan_csv_folder(spark, str(tmp_path), source_file=True, rejects=True).cache()
+    told = {(r["id"], r["column_name"], r["reason"]) for r in reject_rows(read).collect()}
+    assert told == {(n, "sale_total_price", "rounded") for n in (0, 1, 2)} | {(n, "sale_quantity", "unreadable") for n in (0, 5)}
+    taken = {r["id"]: (str(r["sale_total_price"]), r["sale_quantity"]) for r in read.collect()}
+    assert taken == {0: ("1.00", None), 1: ("1.01", 3), 2: ("0.00", 3), 3: ("1.00", 3), 4: ("0.01", 3), 5: ("2.50", None)}
+
+
+def test_reading_first_lines_leaves_the_session_alone(spark, tmp_path, row, monkeypatch):
+    write_csv(tmp_path, "a.csv", COLUMNS, row)
+    write_csv(tmp_path, "b.csv", COLUMNS[::-1], {**row, "id": 2})
+    touched = []
+    kind, put, drop = type(spark.conf), type(spark.conf).set, type(spark.conf).unset
+    monkeypatch.setattr(kind, "set", lambda conf, key, value: (touched.append((conf, key)), put(conf, key, value))[1])
+    monkeypatch.setattr(kind, "unset", lambda conf, key: (touched.append((conf, key)), drop(conf, key))[1])
+    before = dict(spark.conf.getAll)
+    assert scan_csv_folder(spark, str(tmp_path), mixed=True).count() == 2
+    assert dict(spark.conf.getAll) == before and touched and all(conf is not spark.conf for conf, _ in touched)
+
+
 def test_types_are_inferred_over_all_layouts(spark, tmp_path, row):
     write_csv(tmp_path, "a.csv", COLUMNS, {**row, "customer_postal_code": "123", "sale_quantity": "1"})
     write_csv(tmp_path, "b.csv", COLUMNS[::-1], {**row, "id": 2**40, "customer_postal_code": "AB-1", "sale_quantity": "1.5"})
@@ -113,14 +147,6 @@ def test_empty_folder_gives_no_rows(spark, tmp_path, mixed):
     assert read.columns == [*COLUMNS, SOURCE_FILE] and read.count() == 0
 
 
-def test_jdbc_split():
-    assert split_options("k", 1, 100, 8) == {
-        "partitionColumn": "k", "lowerBound": "1", "upperBound": "101", "numPartitions": "8",
-    }
-    assert split_options("k", 1, 3, 8)["numPartitions"] == "3"
-    assert split_options("k", None, None, 8) == {}
-
-
 def test_jdbc_options():
     target = Target("jdbc:x", "jdbc", {"createTableOptions": "ENGINE = E()", "driver": "d"}, "star_schema.")
     options = target.write_options("dim_seller")

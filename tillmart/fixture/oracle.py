@@ -294,6 +294,8 @@ def oracle(showcases: dict[str, str]) -> dict[str, str]:
             CAST(sum(id) AS BIGINT) AS ids FROM sales_raw WHERE id % 7 = 0 HAVING count(*) > 0
             UNION ALL SELECT 'sale_total_price', 'rounded', '1.005', count(*), CAST(sum(id) AS BIGINT) FROM sales_raw
             WHERE id % 13 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'sale_total_price', 'rounded', '1.00000000001', count(*), CAST(sum(id) AS BIGINT) FROM sales_raw
+            WHERE id % 19 = 0 AND id % 13 <> 0 HAVING count(*) > 0
             UNION ALL SELECT 'sale_quantity', 'unreadable', '2.5', count(*), CAST(sum(id) AS BIGINT) FROM sales_raw
             WHERE id % 17 = 0 HAVING count(*) > 0
             UNION ALL SELECT 'row', 'kept', NULL, count(CASE WHEN id % 7 <> 0 THEN customer_age END),

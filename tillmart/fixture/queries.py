@@ -129,7 +129,7 @@ def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
         {
             "customer_age": F.when(every(7), "old").otherwise(F.concat(text["customer_age"], F.lit(".0"))),
             "product_price": F.when(every(11), "123456789.00").otherwise(text["product_price"]),
-            "sale_total_price": F.when(every(13), "1.005").otherwise(text["sale_total_price"]),
+            "sale_total_price": F.when(every(13), "1.005").when(every(19), "1.00000000001").otherwise(text["sale_total_price"]),
             "sale_quantity": F.when(every(17), "2.5").otherwise(text["sale_quantity"]),
         }
     )

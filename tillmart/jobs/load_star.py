@@ -13,10 +13,11 @@ import sys
 from tillmart.jobs.options import add_target, session, size_partitions, target
 from tillmart.operators.lookup import BUSINESS_KEY, LOOKUPS
 from tillmart.plans.ingest import Ingest
-from tillmart.plans.publish import BrokenStar, store_star
+from tillmart.plans.publish import FAIL, REPLACE, BrokenStar, store_star
 from tillmart.plans.star import StarPlan
 from tillmart.schema import CUSTOMER_GRAINS
 from tillmart.sources.csv_feed import SOURCE_FILE, scan_csv_folder
+from tillmart.sources.versions import Superseded
 from tillmart.workspace import Workspace
 
 
@@ -32,13 +33,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--check", action="store_true", help="publish the tables only if their keys are right")
     p.add_argument("--rejects", metavar="FOLDER", help="where values that don't fit are told (default: STAR_rejects)")
     p.add_argument("--accept-rejects", action="store_true", help="end with 0 although values didn't fit")
+    p.add_argument("--superseded", choices=[REPLACE, FAIL], default=REPLACE, help="if another load published meanwhile")
     add_target(p, "star", "where the star tables go")
     return p
 
 
 def main(arguments: list[str] | None = None) -> int:
     """0 if all went well; 1 if the keys are wrong (then the old star stays); 2 if values were rejected
-    and that was not accepted (the star is loaded, the rejects are stored)."""
+    and that was not accepted (the star is loaded); 3 if another load published first and this one was
+    to fail then. Rejects are stored whatever becomes of the star."""
     options = parser().parse_args(arguments)
     spark = session("load star schema")
     size_partitions(spark, options.feed, options.input_bytes)
@@ -47,25 +50,28 @@ def main(arguments: list[str] | None = None) -> int:
     )
     workspace = Workspace(spark)
     goal = target(options, "star")
+    versions = goal.versions(spark)
+    started = versions.number() if versions else None
+    place = options.rejects or f"{workspace.location if goal.is_jdbc else goal.location}_rejects"
     try:
         ingest = Ingest(scan)
         star = StarPlan(ingest.rows, workspace, [SOURCE_FILE], options.lookup, options.grain)
         tables = star.tables(write_fact=options.sale_id)
         if options.sale_id:
             tables["fact_sale_id"] = star.fact_with_sale_id.drop("id")
-        written = store_star(tables, goal, check=options.check)
+        if ingest.rejected:  # stored before the star: they may be why its keys are wrong
+            print(f"{ingest.store_rejects(place)} values did not fit, see {place}")
+        written = store_star(tables, goal, check=options.check, superseded=options.superseded, started=started)
         print(f"loaded: {ingest.loaded} rows, clean: {workspace.rows['clean_sales']} rows")
         for table, rows in written.items():
             print(f"{table}: {rows} rows")
-        if not ingest.rejected:
-            return 0
-        place = options.rejects or f"{workspace.location if goal.is_jdbc else goal.location}_rejects"
-        told = ingest.store_rejects(place)
-        print(f"{told} values did not fit, see {place}")
-        return 0 if options.accept_rejects else 2
+        return 2 if ingest.rejected and not options.accept_rejects else 0
     except BrokenStar as broken:
         print(broken)
         return 1
+    except Superseded as other:
+        print(other)
+        return 3
     finally:
         workspace.discard()
 

@@ -20,12 +20,13 @@ def add_target(parser: argparse.ArgumentParser, name: str, text: str) -> None:
     parser.add_argument(
         f"--{name}-option", action="append", default=[], metavar="KEY=VALUE", help="passed to Spark, repeatable"
     )
+    parser.add_argument(f"--{name}-swap", action="store_true", help="write database tables beside the old ones, then swap them")
 
 
 def target(options: argparse.Namespace, name: str) -> Target:
     given = vars(options)
     pairs = dict(text.split("=", 1) for text in given[f"{name}_option"])
-    return Target(given[name], given[f"{name}_format"], pairs, given[f"{name}_prefix"])
+    return Target(given[name], given[f"{name}_format"], pairs, given[f"{name}_prefix"], given[f"{name}_swap"])
 
 
 def session(app: str) -> SparkSession:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tillmart.plans.integrity import violations
 from tillmart.plans.reports import REPORTS, Marts, Report
 from tillmart.schema import TABLES, conform
+from tillmart.sources.swap import staged
 from tillmart.sources.tables import Target
+from tillmart.sources.versions import Superseded
 
 MANIFEST = "showcase string, table_name string, rows bigint, status string, error string"
 WRITTEN = "written"
@@ -46,32 +48,75 @@ class BrokenStar(ValueError):
     """A staged star whose keys are repeated or refer to nothing."""
 
 
-def store_star(tables: dict[str, DataFrame], target: Target, at_once: int = 4, check: bool = False) -> dict[str, int]:
+FAIL, REPLACE = "fail", "replace"
+
+
+def store_star(
+    tables: dict[str, DataFrame], target: Target, at_once: int = 4, check: bool = False, superseded: str = REPLACE, started: int | None = None
+) -> dict[str, int]:
     """Replace the star tables; returns the rows written to each. May be repeated.
 
-    All tables go to a new version, with ``check`` their keys are tested there, and then one rename
-    makes the version the current one: a load that fails leaves the star as it was. Tables in a
-    database are replaced one by one, so there a failed load can leave a mixed star; load again.
+    All tables go to a new version under a lease, with ``check`` their keys are tested there, and then one
+    commit makes the version the current one: a load that fails leaves the star as it was. If another
+    load published a version since this one began (since version ``started``, if given), ``superseded`` decides:
+    ``replace`` publishes on top of it, as a full reload depends on no earlier version, ``fail`` raises
+    :class:`Superseded` and leaves the other's star. Tables in a database have no versions: with
+    ``target.swap`` all of them are written beside the old ones and swapped at the end, otherwise they
+    are replaced one by one, and a failed load can leave a mixed star; load again.
     """
     spark = tables["fact_sales"].sparkSession
-    staged = target.staged()
-
-    def write(name: str) -> int:
-        return staged.write(conform(tables[name], name), name)
-
+    versions = target.versions(spark)
+    if versions is None:
+        return _swapped(tables, target, at_once, check) if target.swap else _stored(tables, target, at_once, check)
+    started = versions.number() if started is None else started
+    name = versions.stage()
     try:
-        with ThreadPoolExecutor(at_once) as pool:
-            written = dict(zip(tables, pool.map(inheritable_thread_target(spark)(write), tables)))
-        bad = violations({name: staged.read(spark, name) for name in TABLES}) if check else 0
-        if bad:
-            raise BrokenStar(f"{bad} keys are repeated or refer to nothing")
+        with versions.leased(name):
+            written = _stored(tables, target.version(name), at_once, check)
+            while True:
+                try:
+                    versions.commit(name, started)
+                    break
+                except Superseded:
+                    if superseded == FAIL:
+                        raise
+                    started = versions.number()
     except BaseException:
-        staged.discard(spark)
+        versions.discard(name)
         raise
-    target.publish(spark, staged)
+    versions.clean()
     return written
 
 
+def _stored(tables: dict[str, DataFrame], target: Target, at_once: int, check: bool) -> dict[str, int]:
+    written = _each(tables, at_once, lambda name: target.write(conform(tables[name], name), name))
+    if check:
+        _check({name: target.read(tables[name].sparkSession, name) for name in TABLES})
+    return written
+
+
+def _swapped(tables: dict[str, DataFrame], target: Target, at_once: int, check: bool) -> dict[str, int]:
+    spark = tables["fact_sales"].sparkSession
+    with staged(target, spark) as fresh:
+        written = _each(tables, at_once, lambda name: fresh.write(conform(tables[name], name), name, target.write_as))
+        if check:
+            _check({name: target.read(spark, name, stored_as=fresh.written[name]) for name in TABLES})
+        fresh.publish()
+    return written
+
+
+def _each(tables: dict[str, DataFrame], at_once: int, write: Callable[[str], int]) -> dict[str, int]:
+    spark = tables["fact_sales"].sparkSession
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(inheritable_thread_target(spark)(write), tables)))
+
+
+def _check(tables: dict[str, DataFrame]) -> None:
+    bad = violations(tables)
+    if bad:
+        raise BrokenStar(f"{bad} keys are repeated or refer to nothing")
+
+
 def load_star(
     spark: SparkSession, target: Target, partitions: int | None = None, names: Iterable[str] = tuple(TABLES)
 ) -> dict[str, DataFrame]:

@@ -29,6 +29,7 @@ ROUNDED = "rounded"  # the value had more decimals than its type
 MALFORMED = "malformed"  # the line has too many or too few values
 
 _EXACT = T.DecimalType(38, 10)
+_NUMBER = r"^[+-]?([0-9]*)[.]?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
 _WIDE_OPEN = 1 << 40
 
 
@@ -86,8 +87,21 @@ def converted(column: str, kind: T.DataType) -> Column:
     direct = value.try_cast(kind)  # a decimal is rounded here, which ``rejected_values`` tells
     if not isinstance(kind, T.IntegralType):
         return direct
-    exact = value.try_cast(_EXACT)
-    return F.coalesce(direct, F.when(exact == F.floor(exact), exact.try_cast(kind)))
+    return F.coalesce(direct, F.when(decimals(value) <= 0, value.try_cast(_EXACT).try_cast(kind)))
+
+
+def decimals(value: Column) -> Column:
+    """How many decimals a number's text needs, however it is written: 2 for ``1.250``, ``125e-2`` and
+    ``0.0125e2``, none for ``34.0`` and ``5e3``. NULL if it isn't a number. The text decides, as every
+    type that it could be read as rounds somewhere."""
+    part = lambda i: F.regexp_extract(value, _NUMBER, i)
+    whole, fraction = part(1), F.rtrim(part(2), F.lit("0"))
+    digits = F.concat(whole, fraction)
+    # Without a fraction zeros at the end of the whole part take the exponent's place: 100e-4 is 0.01.
+    zeros = F.when(fraction == "", F.length(whole) - F.length(F.rtrim(whole, F.lit("0")))).otherwise(0)
+    exponent = F.coalesce(F.when(part(3) != "", part(3)).otherwise("0").try_cast(T.IntegerType()), F.lit(0))
+    needed = F.when(F.rtrim(digits, F.lit("0")) == "", 0).otherwise(F.length(fraction) - zeros - exponent)
+    return F.when(value.rlike(_NUMBER), F.greatest(needed, F.lit(0)))
 
 
 def rejected_values(kinds: dict[str, T.DataType]) -> Column:
@@ -99,10 +113,7 @@ def rejected_values(kinds: dict[str, T.DataType]) -> Column:
         value, taken = _value(column), converted(column, kind)
         reason = F.when(value.isNotNull() & taken.isNull(), UNREADABLE)
         if isinstance(kind, T.DecimalType):
-            point = F.instr(value, ".")
-            fine = (point == 0) | (F.length(value) - point <= kind.scale)
-            plain = fine & ~F.lower(value).contains("e")
-            reason = reason.when(~plain & (value.try_cast(_EXACT) != taken), ROUNDED)
+            reason = reason.when(decimals(value) > kind.scale, ROUNDED)
         found.append(F.when(reason.isNotNull(), _reject(F.lit(column), F.col(column), reason)))
     found.append(F.when(F.col(CORRUPT).isNotNull(), _reject(F.lit(CORRUPT), F.col(CORRUPT), F.lit(MALFORMED))))
     return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(REJECT)
@@ -161,17 +172,13 @@ def _files_by_header(spark: SparkSession, folder: str) -> list[tuple[tuple[str,
                     yield batch.slice(0, 1).select([0, 1])
                 return
 
-    lines = spark.read.option("pathGlobFilter", PATTERN)
-    names = {"spark.sql.files.openCostInBytes": str(_WIDE_OPEN), "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():  # a split of its own for every task
-            spark.conf.set(k, v)
-        scan = lines.text(folder).select("_metadata.file_path", "value", "_metadata.file_block_start")
-        firsts = scan.mapInArrow(first_line, "file_path string, value string").collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    reading = _session_like(spark)
+    # A split of its own for every task, and rows one by one. The caller's session keeps its settings: other
+    # threads may be planning with them.
+    reading.conf.set("spark.sql.files.openCostInBytes", str(_WIDE_OPEN))
+    reading.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    scan = reading.read.option("pathGlobFilter", PATTERN).text(folder).select("_metadata.file_path", "value", "_metadata.file_block_start")
+    firsts = scan.mapInArrow(first_line, "file_path string, value string").collect()
     by_line: dict[str, list[str]] = defaultdict(list)
     for path, line in sorted(map(tuple, firsts)):
         by_line[line].append(path)
@@ -181,6 +188,15 @@ def _files_by_header(spark: SparkSession, folder: str) -> list[tuple[tuple[str,
     return list(groups.items())
 
 
+def _session_like(spark: SparkSession) -> SparkSession:
+    """A session of its own with the settings of ``spark``."""
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if not name.startswith("spark.") or spark.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def _text_scan(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
     """The files' columns as text, the file's path, and the text of lines that don't fit the header."""
     fields = [T.StructField(c, TEXT) for c in header]

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.schema import EXTRA_TABLES, PRIMARY_KEYS, TABLES, jdbc_column_types
+from tillmart.sources.ranges import bounds, ends_query, histogram, range_predicates
+from tillmart.sources.swap import staged
+from tillmart.sources.versions import VERSIONS, Versions
 
 FACT_SPLIT = "customer_id"  # dense, and with one customer per sale as good as a key
-VERSIONS, POINTER = "versions", "current"
 
 
 @dataclass(frozen=True)
@@ -20,60 +21,32 @@ class Target:
 
     ``location`` is a folder, or the URL for format ``jdbc``; ``options`` go to Spark as
     they are (driver, user, ``createTableOptions``, ``batchsize``, ``numPartitions`` …);
-    ``prefix`` is put before each table name, for instance a database schema.
+    ``prefix`` is put before each table name, for instance a database schema. With ``swap`` database
+    tables are written beside the old ones, counted, and swapped, see :mod:`tillmart.sources.swap`.
     """
 
     location: str
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     prefix: str = ""
+    swap: bool = False
 
     @property
     def is_jdbc(self) -> bool:
         return self.format == "jdbc"
 
-    def staged(self) -> Target:
-        """Where a new version is prepared: a fresh folder of its own. A database has no versions."""
-        return self if self.is_jdbc else replace(self, location=f"{self.location}/{VERSIONS}/{uuid.uuid4().hex}")
+    def versions(self, spark: SparkSession) -> Versions | None:
+        """The versions of the tables below ``location``; a database has none."""
+        return None if self.is_jdbc else Versions(spark, self.location)
 
-    def publish(self, spark: SparkSession, staged: Target) -> None:
-        """Make a staged version the one that readers find, by renaming one small file over the last
-        one, and delete all versions but this one and the one before."""
-        if self.is_jdbc:
-            return
-        jvm, files = spark._jvm, _files(spark, self.location)
-        before = self.version(spark)
-        name = staged.location.rsplit("/", 1)[1]
-        fresh = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{name}.pointer")
-        out = files.create(fresh, True)
-        out.write(bytearray(name.encode()))
-        out.close()
-        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{POINTER}")
-        context.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
-        for old in files.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}")):
-            if old.isDirectory() and old.getPath().getName() not in (name, before):
-                files.delete(old.getPath(), True)
-
-    def version(self, spark: SparkSession) -> str | None:
-        """Name of the published version; None if the location has no versions."""
-        files = _files(spark, self.location)
-        pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{VERSIONS}/{POINTER}")
-        if self.is_jdbc or not files.exists(pointer):
-            return None
-        return spark.read.text(pointer.toString()).first()[0]
+    def version(self, name: str) -> Target:
+        """The tables of one version."""
+        return replace(self, location=f"{self.location}/{VERSIONS}/{name}")
 
     def current(self, spark: SparkSession) -> Target:
         """The published version: tables read from it belong together, also while a new one is loaded."""
-        name = None if self.is_jdbc else self.version(spark)
-        return replace(self, location=f"{self.location}/{VERSIONS}/{name}") if name else self
-
-    def discard(self, spark: SparkSession) -> None:
-        """Delete a staged version that was not published."""
-        if not self.is_jdbc:
-            _files(spark, self.location).delete(spark._jvm.org.apache.hadoop.fs.Path(self.location), True)
+        name = None if self.is_jdbc else Versions(spark, self.location).current()
+        return self.version(name) if name else self
 
     def write_options(self, table: str) -> dict[str, str]:
         if not self.is_jdbc:
@@ -83,17 +56,30 @@ class Target:
         return {"url": self.location, "dbtable": f"{self.prefix}{table}", **columns, **self.options}
 
     def write(self, df: DataFrame, table: str) -> int:
-        """Replace the table and return the number of rows written, without a second pass."""
+        """Replace the table and return the number of rows written, without a second pass over ``df``."""
+        if not (self.is_jdbc and self.swap):
+            return self._save(df, table)
+        with staged(self, df.sparkSession) as tables:
+            rows = tables.write(df, table, self.write_as)
+            tables.publish()
+        return rows
+
+    def write_as(self, df: DataFrame, table: str, name: str) -> int:
+        """Write the table under another name."""
+        return self._save(df, table, {"dbtable": name})
+
+    def _save(self, df: DataFrame, table: str, more: dict[str, str] | None = None) -> int:
         seen = Observation()
         observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.format(self.format).mode("overwrite").options(**self.write_options(table)).save()
+        observed.write.format(self.format).mode("overwrite").options(**{**self.write_options(table), **(more or {})}).save()
         return seen.get["rows"]
 
-    def read(self, spark: SparkSession, table: str, partitions: int | None = None) -> DataFrame:
-        """Scan a table; star tables come over JDBC in ``partitions`` ranges of a key."""
+    def read(self, spark: SparkSession, table: str, partitions: int | None = None, stored_as: str | None = None) -> DataFrame:
+        """Scan a table; star tables come over JDBC in ``partitions`` ranges of a key, and may be stored
+        under another name there."""
         if self.is_jdbc:
             split = PRIMARY_KEYS.get(table, FACT_SPLIT if table in TABLES else None)
-            return scan_jdbc(spark, self.location, f"{self.prefix}{table}", self.options, split, partitions)
+            return scan_jdbc(spark, self.location, stored_as or f"{self.prefix}{table}", self.options, split, partitions)
         reader = spark.read.format(self.format).options(**self.options)
         known = {**TABLES, **EXTRA_TABLES}
         if table in known:  # a known table needs no look into its files
@@ -101,11 +87,6 @@ class Target:
         return reader.load(f"{self.location}/{self.prefix}{table}")
 
 
-def _files(spark: SparkSession, location: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
 def scan_jdbc(
     spark: SparkSession,
     url: str,
@@ -116,28 +97,19 @@ def scan_jdbc(
 ) -> DataFrame:
     """Read a database table, in parallel if a numeric ``split`` column is named.
 
-    Keys are dense, so equal ranges between the smallest and largest key hold about equally
-    many rows; the database answers that question, one row comes back.
+    The ranges of ``split`` hold about equally many rows, see :mod:`tillmart.sources.ranges`. Only counts
+    of key intervals come back from the database before the rows do.
     """
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     if split is None:
         return reader.option("dbtable", table).load()
-    ends = reader.option("query", f"SELECT MIN({split}) AS low, MAX({split}) AS high FROM {table}").load().first()
-    return (
-        spark.read.format("jdbc").option("url", url).options(**options).option("dbtable", table)
-        .options(**split_options(split, ends["low"], ends["high"], partitions or spark.sparkContext.defaultParallelism))
-        .load()
-    )
-
-
-def split_options(split: str, low: int | None, high: int | None, partitions: int) -> dict[str, str]:
-    """JDBC options that cut a key range; none for a table without rows."""
-    if low is None or high is None:
-        return {}
-    count = max(1, min(partitions, high - low + 1))
-    return {
-        "partitionColumn": split,
-        "lowerBound": str(low),
-        "upperBound": str(high + 1),
-        "numPartitions": str(count),
-    }
+
+    def ask(query: str) -> list[tuple[int, int]]:
+        return [tuple(r) for r in reader.option("query", query).load().collect()]
+
+    low, high = ask(ends_query(table, split))[0]
+    if low is None:
+        return reader.option("dbtable", table).load()
+    tasks = partitions or spark.sparkContext.defaultParallelism
+    cuts = bounds(histogram(ask, table, split, int(low), int(high), tasks), tasks)
+    return spark.read.jdbc(url, table, predicates=range_predicates(split, cuts), properties=options)
