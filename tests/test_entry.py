@@ -1,0 +1,28 @@
+"""The entry keeps the retail queries when the training-data ones can't be imported."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+
+from tillmart.fixture.queries import registry
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SCRIPT = """
+import sys, warnings
+for name in sys.argv[1:]:
+    sys.modules[name] = None
+with warnings.catch_warnings(record=True) as told:
+    warnings.simplefilter("always")
+    import __spark_entry__ as entry
+print(len(entry.queries()), len(entry.oracle_sql()), [str(w.message) for w in told])
+"""
+
+
+@pytest.mark.parametrize("missing", ["zstandard", "regex", "public_tokenizers", "tillmart.llm", "corpus_pipeline"])
+def test_a_missing_package_takes_no_other_query_away(missing):
+    done = subprocess.run([sys.executable, "-c", SCRIPT, missing], cwd=ROOT, capture_output=True, text=True, check=True)
+    queries, sql, *told = done.stdout.split(maxsplit=2)
+    assert int(queries) == len(registry()) and int(sql) == len(registry())
+    assert "without the training-data queries" in told[0]
