@@ -101,6 +101,19 @@ def _match(name: str, lookup: str) -> str:
     return " AND ".join(tests)
 
 
+def _kept(name: str) -> str:
+    """Members of two loads: those of the first keep their keys, the second's new ones are numbered after them."""
+    order, columns = _DIMS[name]
+    ranked = ", ".join(f"{c} NULLS FIRST" for c in order.split(", "))
+    ident = "id, " if name == "customer" else ""
+    parts = f", {_PARTS}" if name == "time" else ""
+    number = f"row_number() OVER (ORDER BY {ranked})"
+    return f"""first_{name} AS (SELECT {number} AS {name}_id, * FROM (SELECT DISTINCT {ident}{columns} FROM clean WHERE id // 10 % 3 <> 0)),
+  new_{name} AS (SELECT DISTINCT {ident}{columns} FROM clean WHERE id // 10 % 5 <> 0 EXCEPT SELECT * EXCLUDE ({name}_id) FROM first_{name}),
+  kept_{name} AS (SELECT *{parts} FROM (SELECT * FROM first_{name} UNION ALL
+    SELECT (SELECT count(*) FROM first_{name}) + {number}, * FROM new_{name}))"""
+
+
 def _fact(lookup: str) -> str:
     joins = "\n    ".join(f"JOIN dim_{n} ON {_match(n, lookup)}" for n in _DIMS)
     return f"""fact AS (SELECT c.id, customer_id, product_id, seller_id, store_id, supplier_id, time_id,
@@ -343,7 +356,13 @@ def oracle(showcases: dict[str, str]) -> dict[str, str]:
             customer_email AS email, customer_country AS country, customer_postal_code AS postal_code
             FROM (SELECT DISTINCT {person} FROM clean)""",
     }
+    kept = f"""WITH {_RAW}, {_DEDUP}, {_CLEAN}, {", ".join(_kept(n) for n in _DIMS)}"""
+    joins = " ".join(f"JOIN kept_{n} AS dim_{n} ON {_match(n, 'business_key')}" for n in _DIMS)
     result = {name: _with(text) for name, text in texts.items()}
+    result |= {f"dim_{n}_kept": f"{kept} {_stored(n).replace(f'dim_{n}', f'kept_{n}')}" for n in _DIMS}
+    result["fact_sales_kept"] = f"""{kept}, fact AS (SELECT c.id, customer_id, product_id, seller_id, store_id, supplier_id, time_id,
+        sale_quantity AS quantity, sale_total_price AS total_price, sale_day AS sale_date FROM clean c {joins} WHERE c.id // 10 % 5 <> 0)
+        SELECT {_publish(_FACT)} FROM fact"""
     result["fact_sales_fanout"] = _with(
         "SELECT count(*) AS fact_rows, CAST(sum(quantity) AS BIGINT) AS quantity, "
         "CAST(sum(total_price) AS DOUBLE) AS total_price, "

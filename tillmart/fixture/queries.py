@@ -19,7 +19,7 @@ from tillmart.operators.lookup import fanout_totals, find_key
 from tillmart.operators.numbering import number_rows
 from tillmart.plans.ingest import Ingest
 from tillmart.plans.integrity import foreign_key_violations, primary_key_violations
-from tillmart.plans.publish import load_star, publish, store_star
+from tillmart.plans.publish import load_keys, load_star, publish, store_star
 from tillmart.plans.reports import ADDITIONS, REPORTS, Marts
 from tillmart.plans.star import StarPlan
 from tillmart.schema import DIMENSIONS, SALE_DAY, SALES_COLUMNS, TABLES
@@ -238,6 +238,10 @@ def _dimension(name: str) -> Query:
     return lambda spark, folder: _published(star_plan(spark, folder).dimension(name))
 
 
+def _kept_dimension(name: str) -> Query:
+    return lambda spark, folder: _published(kept_star(spark, folder).dimension(name))
+
+
 def _lookup(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         star = star_plan(spark, folder)
@@ -246,6 +250,23 @@ def _lookup(name: str) -> Query:
     return query
 
 
+_KEPT: dict[tuple, StarPlan] = {}
+
+
+def kept_star(spark: SparkSession, folder: str) -> StarPlan:
+    """The second of two loads, whose members keep the keys of the first. The first one brings two thirds
+    of the orders, the second four fifths: some members are new, some have gone."""
+    slot = (spark.sparkContext.applicationId, folder, _state(spark, folder))
+    if slot not in _KEPT:
+        raw, order = sales_raw(spark, folder), F.floor(F.col("id") / 10)
+        workspace = Workspace(spark)
+        first = StarPlan(raw.where(order % 3 != 0), workspace, ORDER)
+        target = Target(workspace.path("star"))
+        store_star({**first.tables(), **first.key_maps()}, target)
+        _KEPT[slot] = StarPlan(raw.where(order % 5 != 0), Workspace(spark), ORDER, known=load_keys(spark, target, DIMENSIONS))
+    return _KEPT[slot]
+
+
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _published(star_plan(spark, folder).fact)
 
@@ -299,6 +320,8 @@ def registry() -> dict[str, Query]:
         **{f"dim_{name}": _dimension(name) for name in DIMENSIONS},
         **{f"lookup_{name}": _lookup(name) for name in DIMENSIONS},
         "fact_sales": fact_sales,
+        **{f"dim_{name}_kept": _kept_dimension(name) for name in DIMENSIONS},
+        "fact_sales_kept": lambda s, d: _published(kept_star(s, d).fact),
         "fact_sales_fanout": fact_sales_fanout,
         "sales_enriched": sales_enriched,
         **{name: _mart(name) for name in REPORTS},

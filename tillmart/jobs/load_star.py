@@ -13,9 +13,9 @@ import sys
 from tillmart.jobs.options import add_target, session, size_partitions, target
 from tillmart.operators.lookup import BUSINESS_KEY, LOOKUPS
 from tillmart.plans.ingest import Ingest
-from tillmart.plans.publish import FAIL, REPLACE, BrokenStar, store_star
+from tillmart.plans.publish import FAIL, REPLACE, BrokenStar, load_keys, store_star
 from tillmart.plans.star import StarPlan
-from tillmart.schema import CUSTOMER_GRAINS
+from tillmart.schema import CUSTOMER_GRAINS, DIMENSIONS
 from tillmart.sources.csv_feed import SOURCE_FILE, scan_csv_folder
 from tillmart.sources.versions import Superseded
 from tillmart.workspace import Workspace
@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--check", action="store_true", help="publish the tables only if their keys are right")
     p.add_argument("--rejects", metavar="FOLDER", help="where values that don't fit are told (default: STAR_rejects)")
     p.add_argument("--accept-rejects", action="store_true", help="end with 0 although values didn't fit")
+    p.add_argument("--keep-keys", action="store_true", help="members of the star's current version keep their keys; implies --superseded fail")
     p.add_argument("--superseded", choices=[REPLACE, FAIL], default=REPLACE, help="if another load published meanwhile")
     add_target(p, "star", "where the star tables go")
     return p
@@ -50,18 +51,23 @@ def main(arguments: list[str] | None = None) -> int:
     )
     workspace = Workspace(spark)
     goal = target(options, "star")
+    if options.keep_keys and goal.is_jdbc:
+        raise SystemExit("--keep-keys needs a star in files: its versions hold the key maps")
     versions = goal.versions(spark)
     started = versions.number() if versions else None
     place = options.rejects or f"{workspace.location if goal.is_jdbc else goal.location}_rejects"
     try:
         ingest = Ingest(scan)
-        star = StarPlan(ingest.rows, workspace, [SOURCE_FILE], options.lookup, options.grain)
+        known = load_keys(spark, goal, DIMENSIONS) if options.keep_keys else {}
+        star = StarPlan(ingest.rows, workspace, [SOURCE_FILE], options.lookup, options.grain, known)
         tables = star.tables(write_fact=options.sale_id)
+        if options.keep_keys:
+            tables |= star.key_maps()
         if options.sale_id:
             tables["fact_sale_id"] = star.fact_with_sale_id.drop("id")
         if ingest.rejected:  # stored before the star: they may be why its keys are wrong
             print(f"{ingest.store_rejects(place)} values did not fit, see {place}")
-        written = store_star(tables, goal, check=options.check, superseded=options.superseded, started=started)
+        written = store_star(tables, goal, check=options.check, superseded=FAIL if options.keep_keys else options.superseded, started=started)
         print(f"loaded: {ingest.loaded} rows, clean: {workspace.rows['clean_sales']} rows")
         for table, rows in written.items():
             print(f"{table}: {rows} rows")

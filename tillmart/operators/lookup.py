@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.operators.numbering import number_rows
+from tillmart.operators.numbering import number_onto, number_rows
 from tillmart.schema import DIMENSIONS, SALE_DAY, Dimension, conform
 from tillmart.workspace import Workspace
 
@@ -65,10 +65,11 @@ def keyed_sales(
 
 
 def numbered_sales(
-    clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], workspace: Workspace
+    clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], workspace: Workspace, known: DataFrame | None = None
 ) -> DataFrame:
     """All clean sales with the keys of the other dimensions and, as one sale is one customer, a customer
-    key by rank of the sale's id. Both the customer dimension and the fact are read from this table."""
+    key by rank of the sale's id, after the customers that are ``known``. Both the customer dimension and
+    the fact are read from this table."""
     rows = clean
     for name in JOIN_ORDER[:-1]:
         dim = dims[name]
@@ -76,6 +77,8 @@ def numbered_sales(
         rows = rows.drop(*[c for c in dim.sources if c not in (*LEADS, SALE_DAY)])
     customer = dims["customer"]
     rows = workspace.store("looked_up_sales", rows)  # else the range shuffle's sampling repeats the lookups
+    if known is not None:
+        return number_onto(rows, known, customer.match, customer.key, workspace, "numbered_sales")
     return number_rows(rows, customer.match, customer.key, workspace, "numbered_sales")
 
 

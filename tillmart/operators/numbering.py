@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,3 +44,24 @@ def number_rows(df: DataFrame, order: Sequence[str], key: str, workspace: Worksp
     # One row per slice: as small as the list of a scan's files, whatever the rows.
     placed_at = stored.join(F.broadcast(starts.select(_SLICE, "_before")), _SLICE)
     return placed_at.select(*df.columns, (F.col("_before") + F.col(_ROW) + 1).alias(key))
+
+
+def same_values(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str = "_known_") -> Column:
+    """Whether rows agree in ``columns``, NULLs included; on the right they carry ``prefix``."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[prefix + c]) for c in columns])
+
+
+def number_onto(df: DataFrame, known: DataFrame, order: Sequence[str], key: str, workspace: Workspace, name: str) -> DataFrame:
+    """Add ``key``: rows that agree with a row of ``known`` (key and ``order`` columns) in ``order`` get its
+    key, the others the numbers after the largest known one, in ascending ``order``.
+
+    ``order`` must be total in both. Only rows without a known key are numbered, so a load that brings
+    few new members sorts few.
+    """
+    held = known.select(F.col(key), *[F.col(c).alias(f"_known_{c}") for c in order])
+    found = df.join(held, same_values(df, held, order), "left").select(*df.columns, key)
+    found = workspace.store(f"{name}_found", found)
+    last = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))  # one row
+    fresh = number_rows(found.where(F.col(key).isNull()).drop(key), order, key, workspace, name)
+    fresh = fresh.join(F.broadcast(last)).select(*df.columns, (F.col(key) + F.col("_last")).alias(key))
+    return found.where(F.col(key).isNotNull()).unionAll(fresh)

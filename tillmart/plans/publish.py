@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.plans.integrity import violations
 from tillmart.plans.reports import REPORTS, Marts, Report
-from tillmart.schema import TABLES, conform
+from tillmart.plans.star import key_map
+from tillmart.schema import EXTRA_TABLES, TABLES, conform
 from tillmart.sources.swap import staged
 from tillmart.sources.tables import Target
 from tillmart.sources.versions import Superseded
@@ -89,7 +90,7 @@ def store_star(
 
 
 def _stored(tables: dict[str, DataFrame], target: Target, at_once: int, check: bool) -> dict[str, int]:
-    written = _each(tables, at_once, lambda name: target.write(conform(tables[name], name), name))
+    written = _each(tables, at_once, lambda name: target.write(_stored_form(tables[name], name), name))
     if check:
         _check({name: target.read(tables[name].sparkSession, name) for name in TABLES})
     return written
@@ -98,13 +99,18 @@ def _stored(tables: dict[str, DataFrame], target: Target, at_once: int, check: b
 def _swapped(tables: dict[str, DataFrame], target: Target, at_once: int, check: bool) -> dict[str, int]:
     spark = tables["fact_sales"].sparkSession
     with staged(target, spark) as fresh:
-        written = _each(tables, at_once, lambda name: fresh.write(conform(tables[name], name), name, target.write_as))
+        written = _each(tables, at_once, lambda name: fresh.write(_stored_form(tables[name], name), name, target.write_as))
         if check:
             _check({name: target.read(spark, name, stored_as=fresh.written[name]) for name in TABLES})
         fresh.publish()
     return written
 
 
+def _stored_form(df: DataFrame, name: str) -> DataFrame:
+    """Tables of the model get its columns and types, key maps stay as they are."""
+    return conform(df, name) if name in TABLES or name in EXTRA_TABLES else df
+
+
 def _each(tables: dict[str, DataFrame], at_once: int, write: Callable[[str], int]) -> dict[str, int]:
     spark = tables["fact_sales"].sparkSession
     with ThreadPoolExecutor(at_once) as pool:
@@ -123,3 +129,13 @@ def load_star(
     """Star tables of a target, all of one version."""
     current = target.current(spark)
     return {name: current.read(spark, name, partitions) for name in names}
+
+
+def load_keys(spark: SparkSession, target: Target, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Members of the target's current version by dimension, if it was stored with key maps; else none."""
+    name = target.versions(spark).current() if not target.is_jdbc else None
+    if name is None:
+        return {}
+    stored = target.version(name)
+    found = [n for n in names if target.versions(spark).holds(name, f"{target.prefix}{key_map(n)}")]
+    return {n: stored.read(spark, key_map(n)) for n in found}

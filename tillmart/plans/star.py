@@ -6,7 +6,7 @@ later reads those rows and columns, nothing is computed twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
@@ -14,18 +14,24 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tillmart.operators.clean import clean_sales
-from tillmart.operators.dimensions import members, stored_form
+from tillmart.operators.dimensions import members, stored_form, with_former
 from tillmart.operators.lookup import BUSINESS_KEY, fact_sales, keyed_columns, keyed_sales, leads_known, numbered_sales
 from tillmart.operators.numbering import number_rows
 from tillmart.schema import dimensions
 from tillmart.workspace import Workspace
 
 
+def key_map(name: str) -> str:
+    """Table of a dimension's members and keys, kept for the next load."""
+    return f"keys_{name}"
+
+
 class StarPlan:
     """One star schema over ``raw`` sales rows.
 
     ``order`` decides which of several rows with one id survives. ``lookup`` and ``grain``
-    select the fact's key lookup and the customer dimension, see the README.
+    select the fact's key lookup and the customer dimension, see the README. ``known`` are the
+    members of an earlier load by dimension, as :meth:`key_maps` gives them: they keep their keys.
     """
 
     def __init__(
@@ -35,6 +41,7 @@ class StarPlan:
         order: Sequence[str] = (),
         lookup: str = BUSINESS_KEY,
         grain: str = "sale",
+        known: Mapping[str, DataFrame] | None = None,
     ):
         self.raw = raw
         self.workspace = workspace
@@ -42,14 +49,16 @@ class StarPlan:
         self.lookup = lookup
         self.grain = grain
         self.dims = dimensions(grain)
+        self.known = dict(known or {})
         self._built: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in ("clean", "keyed", "numbered", "sale_ids", *self.dims)}
 
     def variant(self, lookup: str | None = None, grain: str | None = None) -> StarPlan:
         """The same clean rows with another lookup or customer grain; what agrees is shared."""
+        known = {n: df for n, df in self.known.items() if n != "customer" or (grain or self.grain) == self.grain}
         other = StarPlan(self.raw, Workspace(self.workspace.spark), self.order, lookup or self.lookup,
-                         grain or self.grain)
+                         grain or self.grain, known)
         self.clean  # noqa: B018  (written before it is shared)
         shared = [n for n in ("clean", *self.dims) if n == "clean" or self.dims[n] == other.dims[n]]
         shared += ["numbered"] if self.dims == other.dims else []
@@ -74,14 +83,20 @@ class StarPlan:
     def numbered(self) -> DataFrame:
         """Clean sales with all six keys, where one sale is one customer."""
         others = {n: self.members(n) for n in self.dims if n != "customer"}
-        return self._once("numbered", lambda: numbered_sales(self.clean, self.dims, others, self.workspace))
+        return self._once("numbered", lambda: numbered_sales(self.clean, self.dims, others, self.workspace, self.known.get("customer")))
 
     def members(self, name: str) -> DataFrame:
         """Key and source columns of a dimension."""
         if name == "customer" and self.one_customer_per_sale:
             customer = self.dims[name]
-            return self.numbered.select(customer.key, *customer.sources)
-        return self._once(name, lambda: members(self.clean, self.dims[name], self.workspace))
+            now = self.numbered.select(customer.key, *customer.sources)
+            return with_former(now, self.known[name], customer) if name in self.known else now
+        return self._once(name, lambda: self._members(name))
+
+    def _members(self, name: str) -> DataFrame:
+        found = members(self.clean, self.dims[name], self.workspace, self.known.get(name))
+        # What is known already comes from a join; without it members are read from the numbered table.
+        return self.workspace.store(f"members_{name}", found) if name in self.known else found
 
     def dimension(self, name: str) -> DataFrame:
         """A dimension in its stored form."""
@@ -127,5 +142,10 @@ class StarPlan:
         fact = self.fact if write_fact else fact_sales(self.keyed_plan())
         return {**{d.table: self.dimension(name) for name, d in self.dims.items()}, "fact_sales": fact}
 
+    def key_maps(self) -> dict[str, DataFrame]:
+        """Members with all columns that tell them apart, by table name: what a later load needs to keep
+        their keys. Dimension tables lack some of these columns."""
+        return {key_map(name): self.members(name) for name in self.dims}
+
     def dimension_tables(self) -> dict[str, DataFrame]:
         return {name: self.dimension(name) for name in self.dims}

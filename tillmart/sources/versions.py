@@ -82,6 +82,10 @@ class Versions:
         """Name of the current version's folder; None if none was published."""
         return self.named(self.number())
 
+    def holds(self, name: str, table: str) -> bool:
+        """Whether the version has the table."""
+        return self._files.exists(self._path(name, table))
+
     def commit(self, name: str, started: int) -> int:
         """Publish the staged folder ``name`` as the version after ``started`` and return its number."""
         if not self._files.exists(self._path(name, LEASE)):
