@@ -115,6 +115,25 @@ def library():
     return Tokenizer.from_file(VOCABULARY)
 
 
+def test_kept_words_are_bounded_by_bytes(library, monkeypatch):
+    """Ids don't depend on what is kept; what is kept stays below the bound."""
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 4000)
+    encoder = bpe.Encoder(bpe.parsed(bpe.read(VOCABULARY)))
+    texts = [f"word{i} and {'x' * i} again word{i % 7} {'Ünïcode ' * (i % 5)}" for i in range(300)]
+    for start in range(0, len(texts), 16):
+        part = texts[start : start + 16]
+        ids, offsets = encoder(pa.array(part))
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert encoder.held <= 4000 and encoder.held >= sum(map(len, encoder.seen)) + 4 * len(encoder.flat)
+
+
+def test_batches_are_cut_by_bytes():
+    texts = ["a" * n for n in (1, 5000, 10, 10, 9000, 0, 1, 1, 3000)] * 20
+    parts = list(hashing.pieces(pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"]), 10_000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert all(p.nbytes <= 10_000 or p.num_rows == 1 for p in parts) and len(parts) < 90
+
+
 def test_tokens_equal_the_library(spark, documents, library):
     got = {r["doc_id"]: r for r in bpe.digests(documents, VOCABULARY).collect()}
     for r in documents.collect():
@@ -137,14 +156,14 @@ def test_odd_texts_equal_the_library(docs, library):
 
 
 def test_sentinel_stays_above_all_ranks_in_long_words():
-    model = bpe.load(VOCABULARY)
+    model = bpe.parsed(bpe.read(VOCABULARY))
     assert len(model.merged) <= bpe._NONE
     for width in (2, 1 << 23, 1 << 31):  # 2**23: words above 4 MiB
         assert int(bpe._NONE) * width + width < 2**63
 
 
 def test_segment_tree_merges_like_a_plain_scan():
-    model = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    model = bpe.parsed(bpe.read(public_tokenizers.path("word_bpe_49k.json")))
     ranks = dict(zip(model.keys.tolist(), model.ranks.tolist(), strict=True))
     rng = np.random.default_rng(5)
     for word in ["".join(rng.choice(list("aeinorst"), rng.integers(1, 70))) for _ in range(300)]:

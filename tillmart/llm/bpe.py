@@ -40,8 +40,10 @@ from tillmart.llm.frames import add_columns
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same for lower-case ASCII text.
 ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+"
-#: Distinct words whose ids a task keeps between batches.
-KEPT_WORDS = 250_000
+#: Bytes of distinct words and their ids that a task keeps between batches, with what Python adds to each.
+KEPT_BYTES, WORD_BYTES = 24 << 20, 160
+#: Bytes of a batch of texts that are encoded at a time.
+BATCH_BYTES = 2 << 20
 #: Above all ranks (ids, and so merges, have 20 bits); times a row's width it stays below 2**63.
 _NONE = np.int64(1 << 20)
 
@@ -54,9 +56,8 @@ def byte_characters() -> list[str]:
 
 
 class Bpe:
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+    def __init__(self, vocabulary: str):
+        spec = json.loads(vocabulary)
         model = spec["model"]
         ids: dict[str, int] = model["vocab"]
         suffix = model["end_of_word_suffix"]
@@ -111,7 +112,7 @@ class Bpe:
         width = 2
         while (sizes > width // 2).any() or width == 2:
             rows = np.flatnonzero((sizes > (width // 2 if width > 2 else 0)) & (sizes <= width))
-            step = max(1, (1 << 20) // width)
+            step = max(1, (1 << 18) // width)
             for start in range(0, len(rows), step):
                 part = rows[start : start + step]
                 symbols, kept = self._merge([raw[k] for k in part], sizes[part], width)
@@ -184,54 +185,104 @@ class Bpe:
         return " ".join([self.tokens[i] for i in ids])
 
 
-@lru_cache(2)
-def load(path: str) -> Bpe:
-    return Bpe(path)
+@lru_cache(1)
+def parsed(vocabulary: str) -> Bpe:
+    return Bpe(vocabulary)
+
+
+def read(path: str) -> str:
+    """The text of a vocabulary file, which only the driver has to see; executors get it by broadcast."""
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+class Encoder:
+    """Ids of one batch of texts after the other; words that came before are looked up."""
+
+    def __init__(self, bpe: Bpe):
+        self.bpe = bpe
+        self.clear()
+
+    def clear(self) -> None:
+        self.seen: dict[str, int] = {}  # words of this and earlier batches, in the order of the lists
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)  # their ids in a row
+        self.held = 0
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and per text the offset of its first."""
+        seen = self.seen
+        docs = [[seen.setdefault(w, len(seen)) for w in self.bpe.split(t)] if t else [] for t in texts.to_pylist()]
+        fresh = list(islice(seen, len(self.sizes), None))
+        new = self.bpe.encode_words(fresh)
+        self.flat = np.concatenate([self.flat, *new]).astype(np.int32)
+        self.sizes = np.concatenate([self.sizes, np.array([len(w) for w in new], np.int64)])
+        starts = np.cumsum(self.sizes) - self.sizes
+        words = np.fromiter(chain.from_iterable(docs), np.int64)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[words])]).astype(np.int64)
+        ids = self.flat[np.repeat(starts[words] - ends[:-1], self.sizes[words]) + np.arange(ends[-1])]
+        offsets = ends[np.cumsum([0, *map(len, docs)])]
+        self.held += sum(map(len, fresh)) + sum(w.nbytes for w in new) + WORD_BYTES * len(fresh)
+        if self.held > KEPT_BYTES:
+            self.clear()
+        return ids, offsets
+
+
+def _lists(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), pa.array(np.diff(offsets))]
+
+
+def _joined(tokens: pa.Array, ids: pa.Array, offsets: np.ndarray) -> pa.Array:
+    parts = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), tokens.take(ids))
+    return pc.binary_join(parts, pa.scalar(" ", pa.large_string()))
+
+
+_IDS = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType())]
+_DECODED = T.StructField("decoded", T.StringType())
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``df`` with ``ids`` (array of int) and ``n_tokens``. ``vocabulary`` is a path that every
-    executor can open."""
+    """``df`` with ``ids`` (array of int) and ``n_tokens``; ``vocabulary`` is a file of the driver's."""
+    held = df.sparkSession.sparkContext.broadcast(read(vocabulary))
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        bpe = load(vocabulary)
-        seen: dict[str, int] = {}  # words of this and earlier batches, in the order of the lists
-        flat, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)  # their ids in a row
+        encoder = Encoder(parsed(held.value))
         for column in columns:
-            docs = [[seen.setdefault(w, len(seen)) for w in bpe.split(t)] if t else [] for t in column.to_pylist()]
-            new = bpe.encode_words(list(islice(seen, len(sizes), None)))
-            flat = np.concatenate([flat, *new]).astype(np.int32)
-            sizes = np.concatenate([sizes, np.array([len(w) for w in new], np.int64)])
-            starts = np.cumsum(sizes) - sizes
-            words = np.fromiter(chain.from_iterable(docs), np.int64)
-            ends = np.concatenate([[0], np.cumsum(sizes[words])]).astype(np.int64)
-            ids = flat[np.repeat(starts[words] - ends[:-1], sizes[words]) + np.arange(ends[-1])]
-            offsets = ends[np.cumsum([0, *map(len, docs)])]
-            yield [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), pa.array(np.diff(offsets))]
-            if len(seen) > KEPT_WORDS:
-                seen.clear()
-                flat, sizes = flat[:0], sizes[:0]
-
-    ids = T.StructField("ids", T.ArrayType(T.IntegerType(), False))
-    return add_columns(df, text, [ids, T.StructField("n_tokens", T.LongType())], run)
+            yield _lists(*encoder(column))
+
+    return add_columns(df, text, _IDS, run, BATCH_BYTES)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``; null ids decode to an empty text."""
+    held = df.sparkSession.sparkContext.broadcast(read(vocabulary))
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        tokens = pa.array(load(vocabulary).tokens, pa.large_string())
+        tokens = pa.array(parsed(held.value).tokens, pa.large_string())
         for column in columns:
             offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())])
-            parts = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), tokens.take(column.flatten()))
-            yield [pc.binary_join(parts, pa.scalar(" ", pa.large_string()))]
+            yield [_joined(tokens, column.flatten(), offsets)]
+
+    return add_columns(df, ids, [_DECODED], run, BATCH_BYTES)
+
+
+def encode_decode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded``: both ways in one Python stage, so that a core has one
+    worker, and one vocabulary, at a time."""
+    held = df.sparkSession.sparkContext.broadcast(read(vocabulary))
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
+        bpe = parsed(held.value)
+        encoder, tokens = Encoder(bpe), pa.array(bpe.tokens, pa.large_string())
+        for column in columns:
+            ids, offsets = encoder(column)
+            yield [*_lists(ids, offsets), _joined(tokens, pa.array(ids), offsets)]
 
-    return add_columns(df, ids, [T.StructField("decoded", T.StringType())], run)
+    return add_columns(df, text, [*_IDS, _DECODED], run, BATCH_BYTES)
 
 
 def digests(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``df`` with ``ids``, ``n_tokens`` and ``decoded`` by ``encode`` and ``decode``, and SHA-256 of the
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded`` by ``encode_decode``, and SHA-256 of the
     ids', joined by blanks, and of the decoded text."""
-    both = decode(encode(df, vocabulary, text), vocabulary)
+    both = encode_decode(df, vocabulary, text)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.withColumns({"ids_sha256": F.sha2(ids, 256), "decoded_sha256": F.sha2("decoded", 256)})

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tillmart.llm.hashing import slices
+from tillmart.llm.hashing import pieces, slices
 
 #: Per Arrow batch of texts: an iterator of the columns to add, in the order of the fields.
 Scorer = Callable[[Iterator[pa.Array]], Iterator[list[pa.Array]]]
 
 
-def add_columns(df: DataFrame, text: str, fields: list[T.StructField], scorer: Scorer) -> DataFrame:
-    """``df`` with ``fields`` computed from its text column; columns of those names are replaced."""
+def add_columns(df: DataFrame, text: str, fields: list[T.StructField], scorer: Scorer, most_bytes: int | None = None) -> DataFrame:
+    """``df`` with ``fields`` computed from its text column; columns of those names are replaced. Batches are
+    cut by rows, or with ``most_bytes`` by their size."""
     names = {f.name for f in fields}
     df = df.select([F.col(f"`{c}`") for c in df.columns if c not in names])
     schema = T.StructType([*df.schema.fields, *fields])
@@ -29,7 +30,7 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField], scorer: S
 
         def texts() -> Iterator[pa.Array]:
             for batch in batches:
-                for part in slices(batch):
+                for part in pieces(batch, most_bytes) if most_bytes else slices(batch):
                     waiting.append(part)
                     yield part.column(at)
 

@@ -100,3 +100,13 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def pieces(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``most_bytes``, single rows apart that are larger."""
+    if batch.num_rows > 1 and batch.nbytes > most_bytes:
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half), most_bytes)
+        yield from pieces(batch.slice(half), most_bytes)
+    elif batch.num_rows:
+        yield batch
