@@ -7,12 +7,14 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from llm.conftest import LONG, ODD
 from pyspark.sql import functions as F
 
 from tillmart.llm import exact, lines, minhash, mixing, spots, warc
 from tillmart.workspace import Workspace
 
+SPACE = " \t\n\x0b\x0c\r"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -398,9 +400,83 @@ def test_first_occurrences_stay(docs, workspace, spark):
     assert cleaned == {1: f"{near}\nx", 2: "", 3: "own three is here\n"}
 
 
+def cut(text):
+    return [(k, line.strip(SPACE)) for k, line in enumerate((text or "").split("\n"))]
+
+
+def expected_lines(rows):
+    """Report and cleaned texts by comparing all pairs of lines; rows: (id, text), which may repeat."""
+    distinct = sorted({line for _, t in rows for _, line in cut(t) if line})
+    label = {line: line for line in distinct}
+
+    def find(line):
+        while label[line] != line:
+            line = label[line]
+        return line
+
+    long = sorted((line for line in distinct if len(line) >= lines.SHORTEST), key=len)
+    for i, a in enumerate(long):
+        for b in itertools.takewhile(lambda x: len(x) <= len(a) + lines.TAU, long[i + 1 :]):
+            if distance(a, b) <= lines.TAU:
+                x, y = sorted((find(a), find(b)))
+                label[y] = x
+    size = Counter(find(line) for line in distinct)
+    first = {}
+    for i, t in rows:
+        for k, line in cut(t):
+            if line:
+                at = (i is not None, i or 0, k, xxh(t))
+                first[find(line)] = min(first.get(find(line), at), at)
+    report, cleaned = Counter(), Counter()
+    for (i, t), n in Counter(rows).items():
+        own = [(k, line, (i is not None, i or 0, k, xxh(t)) != first[find(line)]) for k, line in cut(t) if line]
+        report[i, n * len(own), n * sum(size[find(x)] > 1 for _, x, _ in own), n * sum(d for *_, d in own)] += 1
+        gone = {k for k, _, d in own if d}
+        cleaned[i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone) if gone else t] += n
+    return report, cleaned
+
+
+def xxh(text):
+    """Spark's 64-bit hash of a text as a signed number."""
+    return int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=True)
+
+
+def check_lines(df):
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    report, cleaned = expected_lines(rows)
+    found = lines.report(df, Workspace(df.sparkSession)).collect()
+    assert Counter((r["doc_id"], r["n_lines"], r["n_near"], r["n_dropped"]) for r in found) == report
+    assert Counter((r["doc_id"], r["text"]) for r in lines.clean(df, Workspace(df.sparkSession)).collect()) == cleaned
+
+
+def test_report_and_clean_equal_all_pairs(documents):
+    check_lines(documents)
+
+
+def test_lines_of_repeated_and_missing_ids(docs):
+    """An id with several texts, many rows without id, repeated rows: no line is lost that stands nowhere else."""
+    rng = random.Random(8)
+    pool = [prose(rng, 6) for _ in range(30)]
+    pool += [mutated(rng, line, 1) for line in pool]
+    rows = [(1, "first text own opening line\n" + pool[0]), (1, pool[0] + "\nsecond text own closing line")]
+    rows += [(rng.choice([None, None, 1, 2, 3, *range(10, 40)]), "\n".join(rng.choices(pool, k=rng.randint(1, 5)))) for _ in range(120)]
+    rows += rows[:20] + [rows[30]] * 5
+    check_lines(docs([(i, t, "en", "s", None) for i, t in rows], clashing=True))
+
+
+@pytest.mark.parametrize("n", [200, 400, 800])
+def test_a_shared_beginning_ends_in_the_first_step(spark, workspace, n):
+    """Lines that share their beginning and nothing else: at most eight rows each, none of which goes on."""
+    rng = random.Random(n)
+    opening = prose(rng, 9)
+    df = spark.createDataFrame([(i, f"{opening} {prose(rng, 8)}") for i in range(n)], "id bigint, line string")
+    assert links_of(df, workspace, 1) == set()
+    assert n <= workspace.rows["line_parts1"] <= 8 * n and workspace.rows["line_left1"] == 0
+
+
 def test_line_edge_cases(docs, workspace, spark):
     rows = lines.report(docs(ODD, clashing=True), workspace).collect()
-    assert sorted(str(r["doc_id"]) for r in rows) == sorted({str(r[0]) for r in ODD})
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(i) for i, _ in {r[:2] for r in ODD})
     by_id = {r["doc_id"]: r for r in rows}
     assert by_id[5]["n_dropped"] == 0 and by_id[6]["n_dropped"] == 2 and len(LONG) > 100_000
     assert lines.report(docs(ODD).limit(0), Workspace(spark)).collect() == []
