@@ -143,6 +143,100 @@ def test_pairs_in_a_crowd_below_the_threshold(docs):
     check_near(docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]))
 
 
+def linked_rows(rows):
+    """Per row (id, text) its component and whether it is kept, by comparing all pairs of texts."""
+    texts = sorted({t or "" for _, t in rows})
+    sets = {t: shingles(t) for t in texts}
+    label = {t: t for t in texts}
+
+    def find(t):
+        while label[t] != t:
+            t = label[t]
+        return t
+
+    def join(a, b):
+        a, b = sorted((find(a), find(b)))
+        label[b] = a
+
+    full = [t for t in texts if sets[t]]
+    for a, b in itertools.combinations(full, 2):
+        same = len(sets[a] & sets[b])
+        if same and 100 * same >= 75 * len(sets[a] | sets[b]):
+            join(a, b)
+    first = {}
+    for i, t in rows:
+        if i is not None and sets[t or ""]:
+            join(first.setdefault(i, t), t)
+    name, keeper = {}, {}
+    for i, t in rows:
+        t = t or ""
+        if sets[t] and i is not None:
+            name[find(t)] = min(name.get(find(t), i), i)
+        if sets[t]:
+            keeper[find(t)] = min(keeper.get(find(t), xxh(t)), xxh(t))
+    out = []
+    for i, t in rows:
+        t = t or ""
+        if not sets[t]:
+            out.append((i, 0, i, True))
+        else:
+            named = name.get(find(t))
+            out.append((i, len(sets[t]), named, i == named if named is not None else xxh(t) == keeper[find(t)]))
+    return Counter(out)
+
+
+def test_links_through_rows_without_id_and_ids_with_several_texts(docs):
+    rng = random.Random(21)
+    rows = []
+    for _ in range(40):
+        text = prose(rng, 50)
+        rows += [(rng.choice([None, None, *range(300)]), edited(rng, text, rng.randint(0, 3))) for _ in range(rng.randint(1, 5))]
+    a, b = prose(rng, 40), prose(rng, 40)
+    rows += [(500, a), (300, a), (500, b), (900, b), (None, None), (901, ""), (None, prose(rng, 3)), (None, prose(rng, 30))]
+    rows += rows[::9]
+    found = minhash.groups(docs([(i, t, "en", "s", None) for i, t in rows], clashing=True), Workspace(docs([]).sparkSession)).collect()
+    assert Counter(tuple(r)[:4] for r in found) == linked_rows(rows)
+    assert {r["component_id"] for r in found if r["doc_id"] in (500, 900)} == {300}
+
+
+def test_a_chain_through_a_row_without_id(docs, workspace):
+    """1 and 2 are near copies of a row without id, but not of each other."""
+    rng = random.Random(1)
+    text = prose(rng, 100)
+    cut = text.split()
+    rows = [(1, " ".join(["x"] + cut[12:])), (None, text), (2, " ".join(cut[:-12] + ["y"]))]
+    found = {r["doc_id"]: (r["component_id"], r["kept"]) for r in minhash.groups(docs([(i, t, None, None, None) for i, t in rows]), workspace).collect()}
+    assert not linked_rows([rows[0], rows[2]])[(2, len(shingles(rows[2][1])), 1, False)]
+    assert found == {1: (1, True), None: (1, False), 2: (1, False)}
+
+
+@pytest.mark.parametrize("n", [500, 1000, 2000])
+def test_templates_with_slots_meet_only_where_they_agree(docs, workspace, n):
+    """Four paragraphs of 30 variants each between fixed ones: texts of one crowd that hardly ever link. What
+    the crowd's join makes grows with the texts, not with their pairs."""
+    rng = random.Random(6)
+    fixed = prose(rng, 60)
+    variants = [[prose(rng, 40) for _ in range(30)] for _ in range(4)]
+    texts = [" ".join([fixed, *(rng.choice(v) for v in variants)]) for _ in range(n)]
+    found = minhash.groups(docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]), workspace).collect()
+    wanted, _ = components({i: t for i, t in enumerate(texts)}) if n <= 500 else ({}, None)
+    assert all(r["component_id"] == wanted[r["doc_id"]] for r in found if wanted)
+    assert workspace.rows["crowd"] > n / 2
+    assert workspace.rows["pairs1"] <= 130 * n and workspace.rows["crowd_met"] <= 8 * n and workspace.rows["crowd_chunks"] <= 4 * n
+    assert workspace.rows["pairs_crowd"] <= n / 10
+
+
+def test_chunks_are_compared_like_all_pairs(docs, workspace, monkeypatch):
+    """Copies of one text with edits of their own, many of them near the threshold, cut into many chunks."""
+    monkeypatch.setattr(minhash, "CHUNK", 2000)
+    rng = random.Random(12)
+    base = prose(rng, 150)
+    texts = [edited(rng, base, rng.randint(2, 6)) for _ in range(250)]
+    check_near(docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]))
+    minhash.groups(docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]), workspace)
+    assert workspace.rows["crowd_chunks"] > 3 * workspace.rows["crowd_meetings"] > 0
+
+
 def test_near_edge_cases(docs, workspace, spark):
     rows = minhash.groups(docs(ODD, clashing=True), workspace).collect()
     assert len(rows) == len(ODD)

@@ -1,6 +1,7 @@
 """MinHash near-dedup with an LSH forest.
 
-A text's set is its distinct word shingles. Texts with equal sets are one node. A node's signature has
+A text's set is its distinct word shingles. Texts with equal sets are one node, named by 64 bits of a digest
+of the set. A node's signature has
 ``TREES * STEP`` MinHash values; tree t is the order of all signatures that starts at value t * STEP and
 goes on for ``DEPTH`` values. Each tree is sorted as a whole, over many tasks, with the node as last
 key, so an often repeated prefix is spread like any other. Candidates are neighbours in an order: a
@@ -10,14 +11,11 @@ is the one that shares most.
 
 Where more than ``NEAR`` + 1 nodes share a prefix of ``LEAST`` values in some tree, or a task border cuts
 their run, neighbours don't cover all pairs. Nodes of such runs that still hold several groups after the
-rounds are joined exactly: a set's shingles are put in one order, rare ones first, and two sets that reach
-the threshold share one of the first |x| - o + 1 and |y| - o + 1, o being the overlap they need at their
-sizes. Prefixes are told apart by classes of the smaller set's size, so they stay shorter than what a
-template below the threshold leaves to each text, and keys that meet one group only end there.
+rounds are joined exactly, see :func:`crowd_links`.
 
 Trees are read in two rounds, two trees and the others. A round keeps only candidates whose nodes are in different
 groups so far, so a large group of copies, joined in the first round, costs one row per node and tree
-later on, never pairs. Candidates whose full signatures agree in fewer than ``SURE`` values (over six
+later on, never pairs; in the second round a node of a crowd meets the next one only, as the exact join comes after. Candidates whose full signatures agree in fewer than ``SURE`` values (over six
 standard deviations below the threshold) are left out; all others are confirmed on the full sets. Links are united by
 alternating stars on written tables.
 
@@ -25,8 +23,10 @@ A pair of similarity s shares LEAST values in one tree with probability s**LEAST
 at 0.75 is missed by all with probability (1 - 0.75**3)**TREES, 2 in a million, in crowds as elsewhere.
 
 Defined cases: null, empty and wordless texts have an empty set, size 0, and are linked with nothing.
-Rows that repeat an id and text are one node and all ``kept``; an id with several texts is a node per
-text, and a link of one is a link of the id. Null ids are never a group's name unless alone.
+Rows that repeat an id and text are one node and all ``kept``. An id with several texts links them: what one is
+linked with, all of them are. Rows without id are linked by their texts like others, but give a group no
+name and don't link each other; a group with ids is named by the smallest, and its rows without id
+aren't ``kept``. A group of rows without id only has no name, and one text of it is ``kept``.
 """
 
 from __future__ import annotations
@@ -35,10 +35,12 @@ import hashlib
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,12 +56,12 @@ ROUNDS = (0, 2, TREES)
 SURE = 60
 PERCENT = 75
 FILTER_BITS = 1 << 24
-#: Counts of shingles by the upper bits of their hash; they order shingles, and only speed depends on them.
-COUNT_BITS = 20
-#: Least set size of each size class: single sizes first, then 5 % apart.
+#: Least set size of each size class: single sizes first, then 10 % apart.
 SIZES = [1]
 while SIZES[-1] < 1 << 40:
-    SIZES.append(max(SIZES[-1] + 1, SIZES[-1] * 21 // 20))
+    SIZES.append(max(SIZES[-1] + 1, SIZES[-1] * 11 // 10))
+#: Shingles of the sets that are compared with as many others at a time, and blocks that one step of it looks at.
+CHUNK, SLAB = 1 << 16, 4096
 
 _RNG = np.random.default_rng(75)
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
@@ -102,8 +104,13 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def node_of(shingles: np.ndarray) -> int | None:
+    """Name of a set; an empty one has none."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "big", signed=True) if len(shingles) else None
+
+
 def with_sets(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with n_shingles, digest (of the set; null if it is empty) and signature (two bytes a value)."""
+    """``df`` with n_shingles, node (null if the set is empty) and signature (two bytes a value)."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         for column in columns:
@@ -112,17 +119,17 @@ def with_sets(df: DataFrame, text: str = "text") -> DataFrame:
             marks = iter(((signatures(full) * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(">u2")) if full else iter(())
             yield [
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                pa.array([node_of(s) for s in sets], pa.int64()),
                 pa.array([next(marks).tobytes() if len(s) else None for s in sets], pa.binary()),
             ]
 
-    kinds = {"n_shingles": T.LongType(), "digest": T.BinaryType(), "signature": T.BinaryType()}
+    kinds = {"n_shingles": T.LongType(), "node": T.LongType(), "signature": T.BinaryType()}
     return add_columns(df, text, [T.StructField(n, k) for n, k in kinds.items()], run)
 
 
-def forest(nodes: DataFrame, first: int, last: int) -> DataFrame:
+def forest(nodes: DataFrame, first: int, last: int, in_runs: int = NEAR) -> DataFrame:
     """Neighbours (a, b) in the orders of trees ``first`` to ``last`` - 1; nodes: node, signature, label.
-    Pairs of one label are left out. Rows with a ``run`` and no b tell that node a is in a run of nodes
+    Pairs of one label are left out. In runs too long for neighbours a node meets the next ``in_runs``. Rows with a ``run`` and no b tell that node a is in a run of nodes
     too long for neighbours to cover all its pairs, or at a task's border."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,19 +163,20 @@ def forest(nodes: DataFrame, first: int, last: int) -> DataFrame:
             n, old = table.num_rows, 0 if tail is None else tail.num_rows
             nodes_, labels = (table[c].to_numpy() for c in ("node", "label"))
             runs = _runs(table)
-            for gap in range(1, NEAR + 1):
-                if n <= gap:
-                    break
-                low, high = slice(0, n - gap), slice(gap, n)
-                at = np.flatnonzero((runs[low] == runs[high]) & (labels[low] != labels[high]) & (np.arange(gap, n) >= old))
-                a, b = nodes_[at], nodes_[at + gap]
-                yield found(np.minimum(a, b), np.maximum(a, b), None)
             crowded = np.zeros(n, bool)
             crowded[old : old + max(0, wide - seen)] = True
             if n > wide:
                 at = np.flatnonzero(runs[:-wide] == runs[wide:])
                 for more in range(wide + 1):
                     crowded[at + more] = True
+            for gap in range(1, NEAR + 1):
+                if n <= gap:
+                    break
+                low, high = slice(0, n - gap), slice(gap, n)
+                meets = (runs[low] == runs[high]) & (labels[low] != labels[high]) & (np.arange(gap, n) >= old)
+                at = np.flatnonzero(meets & ~(crowded[low] & crowded[high]) if gap > in_runs else meets)
+                a, b = nodes_[at], nodes_[at + gap]
+                yield found(np.minimum(a, b), np.maximum(a, b), None)
             yield found(nodes_[crowded], None, runs[crowded])
             seen += n - old
             tail = table.slice(max(0, n - wide))
@@ -201,66 +209,165 @@ def _overlap(x: int, y: int) -> int:
     return -(-PERCENT * (x + y) // (100 + PERCENT))
 
 
-def _prefixes(size: int) -> list[tuple[int, int, bool]]:
-    """Under which size classes a set's first shingles are keys, how many, and whether the set is there as
-    the larger one of a pair."""
-    own, least = bisect_right(SIZES, size) - 1, -(-PERCENT * size // 100)
-    out = [(own, size - _overlap(size, size) + 1, False)]
-    for k in range(bisect_right(SIZES, least) - 1, own + 1):
-        out.append((k, size - _overlap(size, max(least, SIZES[k])) + 1, True))
-    return out
+def _class(size: int) -> int:
+    return bisect_right(SIZES, size) - 1
+
+
+def _meetings(size: int) -> Iterator[tuple[int, int, bool, int]]:
+    """Under which classes (of the smaller and the larger set of a pair) a set of this size meets others,
+    whether as the larger one, and how many of its shingles may be missing from the other."""
+    own, least = _class(size), -(-PERCENT * size // 100)
+    for large in range(own, _class(100 * size // PERCENT) + 1):
+        yield own, large, False, size - _overlap(size, max(size, SIZES[large]))
+    for small in range(_class(least), own + 1):
+        yield small, own, True, size - _overlap(max(SIZES[small], least), size)
+
 
+@lru_cache(4096)
+def _most_missing(small: int, large: int) -> int:
+    """Bound of what may be missing on either side, whatever the sizes in these classes."""
+    x, y = SIZES[small + 1] - 1, SIZES[large + 1] - 1
+    return 1 + max(x - _overlap(x, max(x, SIZES[large])), y - _overlap(max(SIZES[small], -(-PERCENT * y // 100)), y))
 
-def crowd_pairs(sets: DataFrame, workspace: Workspace) -> DataFrame:
-    """Pairs (a, b) of different labels among which are all that reach the threshold; sets: node, label,
-    shingles."""
-    shift = np.uint64(64 - COUNT_BITS)
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(1 << COUNT_BITS, np.int64)
+def _keys(size: int, weights: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+    """Keys of a set, given its shared blocks in order, and whether it has them as the larger one of a pair."""
+    before = size - weights.sum() + np.cumsum(weights) - weights  # what is missing if a block is the first common one
+    for small, large, larger, missing in _meetings(size):
+        first = blocks[before <= missing]
+        if len(first):
+            heavy = blocks[weights > _most_missing(small, large)]
+            mark = mix(np.array([heavy.sum(dtype=np.uint64) + np.uint64(small * 65536 + large)], np.uint64))
+            yield mix((first ^ mark) * np.uint64(0x9E3779B97F4A7C15)), larger
+
+
+def blocks_of(sets: DataFrame, workspace: Workspace) -> DataFrame:
+    """Per node its shared blocks (n, block, weight), rare ones first; sets: node, shingles. Shingles that are in
+    the same sets are one block, so a block is in a set as a whole or not at all; its weight is the
+    number of its shingles. Shingles of one set only are in no block."""
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x in batch.column(0):
-                held += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> shift).astype(np.int64), minlength=len(held))
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
+            for part in slices(batch):
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                of = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in own])))
+                yield pa.RecordBatch.from_arrays([of, pa.array(np.concatenate(own))], names=["node", "shingle"])
+
+    flat_ = sets.select("node", "shingles").mapInArrow(flat, "node bigint, shingle bigint")
+    # Which sets a shingle is in, as two hashes that don't depend on the order.
+    where = [F.bit_xor(F.xxhash64(F.lit(i), "node")) for i in (1, 2)]
+    shared = flat_.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.xxhash64(*where).alias("in_")).where("n > 1")
+    shared = workspace.store("crowd_shingles", shared.select("shingle", "n", F.xxhash64("n", "in_").alias("block")))
+    weighed = flat_.join(shared, "shingle").groupBy("node", "n", "block").agg(F.count(F.lit(1)).alias("weight"))
+    return weighed.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "block", "weight"))).alias("blocks"))
 
-    sums = sets.select("shingles").mapInArrow(tally, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[sums["slot"].to_numpy()] = sums["n"].to_numpy()
-    held = sets.sparkSession.sparkContext.broadcast(counts)
+
+def crowd_links(sets: DataFrame, workspace: Workspace) -> DataFrame:
+    """Links (a, b) that join all groups of a crowd that are linked; sets: node, label, shingles.
+
+    Two sets that reach the threshold have few shingles that the other lacks; how few follows from their sizes,
+    told apart by classes. So a set with more shingles of its own than that meets nobody; all blocks
+    heavier than that are common, or they can't link; and the rarest common block is among the first ones,
+    rare ones first, that could be missing together. Keys are such a first block with all heavy blocks of the
+    set: texts made from a template meet only where they agree in all its larger parts.
+
+    Sets that meet are not paired: under a key they are cut into chunks, by group, and a chunk is compared with
+    another as a whole, blocks by sets, which gives the sizes of all intersections. Chunks of one group are not
+    compared with each other, so a large group meets the other sets only. Of all links between two
+    chunks those stay that join their groups."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = held.value
         for batch in batches:
             for part in slices(batch):
-                found, sizes, sides = [np.zeros(0, np.uint64)], [], []
-                for x in part.column(2):
-                    x = np.frombuffer(x.as_buffer(), np.uint64)
-                    cuts = _prefixes(len(x))
-                    first = x[np.lexsort((x, counts[(x >> shift).astype(np.int64)]))[: max(n for _, n, _ in cuts)]]
-                    found += [first[:n] ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64) for k, n, _ in cuts]
-                    sizes.append(sum(n for _, n, _ in cuts))
-                    sides += [np.full(n, larger) for _, n, larger in cuts]
-                of = np.repeat(np.arange(part.num_rows), sizes)
-                columns = [
-                    pa.array(mix(np.concatenate(found)).view(np.int64)), part.column(0).take(pa.array(of)),
-                    part.column(1).take(pa.array(of)), pa.array(np.concatenate(sides)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "label", "larger"])
-
-    placed = sets.select("node", "label", "shingles").mapInArrow(keys, "key bigint, node bigint, label bigint, larger boolean")
+                rows, found, sides = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+                offsets, flat = part.column(3).offsets.to_numpy(), part.column(3).values
+                block, weight = (flat.field(k).to_numpy() for k in (1, 2))
+                for row, size in enumerate(part.column(2).to_pylist()):
+                    own = slice(offsets[row], offsets[row + 1])
+                    for key, larger in _keys(size, weight[own], block[own].view(np.uint64)):
+                        rows.append(np.full(len(key), row))
+                        found.append(key)
+                        sides.append(np.full(len(key), larger))
+                of = pa.array(np.concatenate(rows))
+                columns = [pa.array(np.concatenate(found).view(np.int64)), *(part.column(k).take(of) for k in range(3)), pa.array(np.concatenate(sides))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "label", "size", "larger"])
+
+    sized = sets.select("node", "label", F.expr("octet_length(shingles) div 8").alias("size"))
+    listed = workspace.store("crowd_blocks", sized.join(blocks_of(sets, workspace), "node").select("node", "label", "size", "blocks"))
+    placed = listed.mapInArrow(keys, "key bigint, node bigint, label bigint, size bigint, larger boolean")
     placed = workspace.store("crowd_keys", placed)
     several = placed.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.min("larger").alias("no"), F.max("larger").alias("yes")
-    )
-    several = workspace.store("crowd_meetings", several.where("low < high AND NOT no AND yes").select("key"))
-    met = maybe_among(placed, "key", several).join(several, "key", "left_semi")
-    met = met.groupBy("key", "label", "larger").agg(F.collect_set("node").alias("nodes"))
-    side = [met.where(f"larger = {i}").select("key", F.col("label").alias(f"{c}_label"), F.col("nodes").alias(c)) for i, c in (("false", "x"), ("true", "y"))]
-    # Nodes of one label stay together, so a large group never meets itself.
-    both = side[0].join(side[1], "key").where("x_label != y_label").select(F.explode("x").alias("x"), "y")
-    both = both.select("x", F.explode("y").alias("y"))
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("larger").alias("no"), F.max("larger").alias("yes"),
+        F.sum("size").alias("shingles"), F.count(F.lit(1)).alias("rows"),
+    ).where("low < high AND NOT no AND yes")
+    several = several.select("key", F.expr(f"shingles div {CHUNK} + 1").alias("n"), "rows")
+    several = workspace.store("crowd_meetings", several)
+    met = maybe_among(placed, "key", several.select("key")).select("key", "node", "label").distinct().join(several, "key")
+    met = workspace.store("crowd_met", met)
+    # Groups share chunks, but one that would fill a chunk is dealt over chunks of its own.
+    own = met.where("n > 1").groupBy("key", "label").agg(F.count(F.lit(1)).alias("own"))
+    full = met.drop("label").join(listed, "node").join(own, ["key", "label"], "left")
+    fills = F.ceil(F.col("own") * F.col("n") / F.col("rows"))
+    shared = F.xxhash64(F.lit(0), F.pmod(F.xxhash64("label"), F.col("n")))
+    chunk = F.when(fills > 1, F.xxhash64("label", F.pmod(F.xxhash64("node"), fills))).otherwise(shared).alias("chunk")
+    chunks = full.groupBy("key", chunk).agg(
+        F.collect_list(F.struct("node", "label", "size", F.expr("blocks.block").alias("block"), F.expr("blocks.weight").alias("weight"))).alias("members"),
+        F.min("label").alias("low"), F.max("label").alias("high"),
+    )
+    chunks = workspace.store("crowd_chunks", chunks)
+    other = chunks.select("key", F.col("chunk").alias("chunk_"), F.col("members").alias("others"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    several_groups = F.least("low", "low_") < F.greatest("high", "high_")
+    both = chunks.join(other, "key").where((F.col("chunk") <= F.col("chunk_")) & several_groups)
+    return both.select("members", "others").mapInArrow(_compared, "a bigint, b bigint").distinct()
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between two chunks of sets, as few as join their groups."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            (a, a_labels, a_sizes, x), (b, b_labels, b_sizes, y) = (_members(batch.column(k), row) for k in (0, 1))
+            known = np.intersect1d(x[0], y[0])
+            common = np.zeros((len(a), len(b)))
+            for low in range(0, len(known), SLAB):
+                some = known[low : low + SLAB]
+                left, right = (np.zeros((n, len(some)), np.float32) for n in (len(a), len(b)))
+                for side, (block, of, weight) in ((left, x), (right, y)):
+                    at = np.minimum(np.searchsorted(some, block), len(some) - 1)
+                    there = some[at] == block
+                    side[of[there], at[there]] = weight[there] if side is left else 1
+                common += left @ right.T
+            near = 100 * common >= PERCENT * (a_sizes[:, None] + b_sizes - common)
+            i, j = np.nonzero(near & (a_labels[:, None] != b_labels) & (common > 0))
+            keep = _spanning(a_labels[i], b_labels[j])
+            i, j = a[i[keep]], b[j[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+
+
+def _members(column: pa.Array, row: int) -> tuple:
+    """Nodes, labels and sizes of a chunk, and of all their blocks in a row: block, member, weight."""
+    own = column.slice(row, 1).flatten()
+    node, label, size, block, weight = own.flatten()
+    of = np.repeat(np.arange(len(own)), pc.list_value_length(block).to_numpy())
+    flat = block.flatten().to_numpy(), of, weight.flatten().to_numpy()
+    return node.to_numpy(), label.to_numpy(), size.to_numpy(), flat
+
+
+def _spanning(left: np.ndarray, right: np.ndarray) -> list[int]:
+    """Places of edges that are enough to join what all of them join."""
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while root.setdefault(v, v) != v:
+            root[v] = v = root[root[v]]
+        return v
+
+    out = []
+    for k, (u, v) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
+        u, v = find(u), find(v)
+        if u != v:
+            root[u] = v
+            out.append(k)
+    return out
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -329,54 +436,69 @@ def unite(labels: DataFrame, links: DataFrame, workspace: Workspace, name: str)
     return workspace.store(f"{name}_labels", hung.select("node", F.coalesce("v", "label").alias("label")))
 
 
+def text_hash(text: str = "text") -> Column:
+    """Tells the texts of rows apart that have one id or none."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def groups(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept, and own (``text_hash``)."""
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"), text_hash(text).alias("own"))
     marked = workspace.store("signatures", with_sets(source).drop("text"))
-    full = marked.where("digest IS NOT NULL")
-    node = full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    node = workspace.store("nodes", node)
-    named = node.where("node IS NOT NULL")
-    labels = named.select("node", F.col("node").alias("label")).distinct()
-
-    def linked(k: str, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-        near = workspace.store(f"near{k}", likely(pairs, named))
-        if not workspace.rows[f"near{k}"]:
-            return labels
-        if sets is None:
-            wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            sets = workspace.store(f"sets{k}", _sets_of(source, wanted))
-        links = workspace.store(f"links{k}", confirm(near, sets).distinct())
-        return unite(labels, links, workspace, f"unite{k}")
-
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "own")  # ids before none, then the smallest
+    nodes = marked.where("node IS NOT NULL").groupBy("node").agg(F.min(first).alias("first"), F.first("signature").alias("signature"))
+    nodes = workspace.store("nodes", nodes)
+    labels = nodes.select("node", F.col("node").alias("label"))
+
+    def linked(k: str, pairs: DataFrame, sets: DataFrame | None = None, more: DataFrame | None = None) -> DataFrame:
+        near = workspace.store(f"near{k}", likely(pairs, nodes))
+        links = more
+        if workspace.rows[f"near{k}"]:
+            if sets is None:
+                wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                sets = workspace.store(f"sets{k}", _sets_of(source, nodes, wanted))
+            links = workspace.store(f"links{k}", confirm(near, sets).distinct())
+            links = links.unionAll(more) if more is not None else links
+        return labels if links is None else unite(labels, links, workspace, f"unite{k}")
+
+    ids = marked.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    several = workspace.store("several_texts", ids.where("a < b").select("doc_id", "a"))
+    of_one_id = None
+    if workspace.rows["several_texts"]:
+        own = marked.join(several, "doc_id").where("node != a")
+        of_one_id = workspace.store("id_links", own.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
     runs = []
-    for k, (first, last) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:], strict=True)):
-        labelled = named.withColumn("label", F.col("node")) if k == 0 else named.join(labels, "node")
-        pairs = workspace.store(f"pairs{k}", forest(labelled, first, last))
+    for k, (low, high) in enumerate(zip(ROUNDS[:-1], ROUNDS[1:], strict=True)):
+        labelled = nodes.withColumn("label", F.col("node")) if k == 0 else nodes.join(labels, "node")
+        pairs = workspace.store(f"pairs{k}", forest(labelled, low, high, NEAR if k == 0 else 1))
         runs.append(pairs.where("b IS NULL").select(F.col("a").alias("node"), "run"))
-        labels = linked(str(k), pairs.where("b IS NOT NULL").select("a", "b"))
+        labels = linked(str(k), pairs.where("b IS NOT NULL").select("a", "b"), more=of_one_id if k == 0 else None)
     crowd = workspace.store("crowd", crowded(runs[0].unionAll(runs[1]), labels))
     if workspace.rows["crowd"]:
-        sets = _sets_of(source, crowd.select("node")).join(crowd, "node")
+        sets = _sets_of(source, nodes, crowd.select("node")).join(crowd, "node")
         sets = workspace.store("sets_crowd", sets.select("node", "label", "shingles"))
-        pairs = workspace.store("pairs_crowd", crowd_pairs(sets, workspace))
+        pairs = workspace.store("pairs_crowd", crowd_links(sets, workspace))
         labels = linked("_crowd", pairs, sets)
-    group = node.drop("signature").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
-    joined = marked.drop("signature").join(group, "digest", "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
-
-
-def _sets_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of at least the wanted nodes' texts.
-
-    No text is shuffled: a bitmap of ``FILTER_BITS`` bits, one per hash value of a wanted node, goes to
-    all tasks, and a text is cut into shingles where it stands if its bit is set. The bitmap's size is
+    named = nodes.select("node", "first").join(labels, "node").select("node", "label", "first")
+    least = named.groupBy("label").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = workspace.store("components", least.drop("n"))  # groups of several nodes only
+    group = named.join(least, "label", "left").select("node", F.coalesce("least", "first").alias("least"))
+    joined = marked.drop("signature").join(group, "node", "left")
+    alone = F.col("node").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id"))
+    kept = F.when(alone, True).when(component.isNull(), F.col("own") == F.col("least.own")).otherwise(F.col("doc_id").eqNullSafe(component))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "own")
+
+
+def _sets_of(source: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Shingle sets (node, shingles) of at least the wanted nodes, one row per node.
+
+    No text is shuffled: a bitmap of ``FILTER_BITS`` bits, one per hash value of a wanted node's text, goes
+    to all tasks, and a text is cut into shingles where it stands if its bit is set. The bitmap's size is
     fixed; with more nodes it lets more other texts through, which meet no pair later on."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    set_bits = wanted.select(slot.alias("s")).groupBy(F.expr("s div 64").alias("at"))
+    slot = F.pmod(F.xxhash64("own"), F.lit(FILTER_BITS))
+    owns = nodes.join(wanted, "node", "left_semi").select(F.col("first.own").alias("own"))
+    set_bits = owns.select(slot.alias("s")).groupBy(F.expr("s div 64").alias("at"))
     words = set_bits.agg(F.bit_or(F.expr("shiftleft(1L, CAST(s % 64 AS INT))")).alias("bits")).toArrow()
     bitmap = np.zeros(FILTER_BITS // 64, np.int64)
     bitmap[words["at"].to_numpy()] = words["bits"].to_numpy()
@@ -385,11 +507,12 @@ def _sets_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value.view(np.uint64)
         for batch in batches:
-            at = batch.column(1).to_numpy()
+            at = batch.column(0).to_numpy()
             hit = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
             for part in slices(batch.take(pa.array(hit))):
-                sets = pa.array([s.tobytes() for s in shingle_sets(part.column(2))], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["node", "shingles"])
+                sets = [s for s in shingle_sets(part.column(1)) if len(s)]
+                columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "shingles"])
 
-    texts = source.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "node").select("node", slot.alias("slot"), "text")
-    return texts.mapInArrow(run, "node bigint, shingles binary")
+    found = source.select(slot.alias("slot"), "text").mapInArrow(run, "node bigint, shingles binary")
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))

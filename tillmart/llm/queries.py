@@ -32,7 +32,7 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.groups(table(spark, folder, "documents"), Workspace(spark))
+    return minhash.groups(table(spark, folder, "documents"), Workspace(spark)).drop("own")
 
 
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
