@@ -535,6 +535,30 @@ def xxh(text):
     return int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=True)
 
 
+def test_rows_without_id_are_sampled(docs, workspace):
+    """Rows without id draw by their texts: those taken are not the shortest, and equal ones fare alike."""
+    rng = random.Random(5)
+    rows = [(None, prose(rng, rng.randint(20, 200)), "en", s, None) for s in "abt" for _ in range(300)]
+    rows += [(None, prose(rng, 2000), "en", "b", None) for _ in range(40)]
+    found = mixing.mix(docs(rows), workspace).where("source IN ('a', 't')").collect()
+    sizes = {True: [], False: []}
+    for r in found:
+        sizes[r["copies"] > min(x["copies"] for x in found if x["source"] == r["source"])].append(r["size"])
+    assert sizes[True] and sizes[False]
+    mean = {k: sum(v) / len(v) for k, v in sizes.items()}
+    assert 0.8 < mean[True] / mean[False] < 1.25
+
+
+def test_weights_by_name(docs, workspace, spark):
+    """Of documents alike, those of a larger weight are taken more often; odd weights are the least ones."""
+    rows = [(i, f"{i} word word word", "en", "a" if i % 2 else "b", None) for i in range(2000)]
+    df = docs(rows).withColumn("worth", F.expr("CASE WHEN doc_id % 4 < 2 THEN 0.9 WHEN doc_id % 8 = 2 THEN NULL WHEN doc_id % 8 = 3 THEN -1.0 ELSE 0.1 END"))
+    found = mixing.mix(df, workspace, weight="worth").collect()
+    taken = Counter((r["doc_id"] % 4 < 2) for r in found if r["source"] == "a" and r["copies"] > 0)
+    assert taken[True] > 2 * taken[False] > 0
+    assert sum(r["taken"] for r in found) == pytest.approx(8000, abs=20)
+
+
 def check_lines(df):
     rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
     report, cleaned = expected_lines(rows)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -115,6 +116,48 @@ def library():
     return Tokenizer.from_file(VOCABULARY)
 
 
+def test_quality_sample_bounds_repeated_ids(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 10)
+    rows = [(5, f"text {i % 40}", "en", "s", None) for i in range(2000)] + [(i, "other", "en", "s", None) for i in range(100, 130)]
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, quality int")
+    found = quality.training_rows(docs(rows, clashing=True), labels).collect()
+    assert len(found) == 10 and len({(r["doc_id"], r["text"]) for r in found}) == 10
+
+
+def test_quality_equals_plain_ftrl(spark, docs, monkeypatch):
+    """The trained weights against the update written term by term over a dictionary, per shard, then averaged."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["good", "Fine", "bad", "spam", "12", "click!"], k=rng.randint(0, 9))), "en", "s", None) for i in range(60)]
+    labels = spark.createDataFrame([(r[0], int("spam" not in r[1])) for r in rows], "doc_id long, quality int")
+    weights = quality.train(docs(rows), labels)
+    shards = quality.training_rows(docs(rows), labels).selectExpr("*", f"pmod(xxhash64(turn, own), {quality.SHARDS}) AS shard").collect()
+    total = Counter()
+    for k in {r["shard"] for r in shards}:
+        own = sorted((r for r in shards if r["shard"] == k), key=lambda r: (r["turn"], r["doc_id"], r["own"]))
+        z, n = Counter(), Counter()
+
+        def weight(i):
+            free = abs(z[i]) - quality.L1  # noqa: B023
+            return -math.copysign(free, z[i]) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2) if free > 0 else 0.0  # noqa: B023
+
+        for _ in range(quality.EPOCHS):
+            for r in own:
+                grams = quality.features(pa.array([r["text"]]))[0].tolist()
+                x = {i: c * quality.SCALE / max(1, len(grams)) for i, c in Counter(grams).items()} | {"bias": 1.0}
+                w = {i: weight(i) for i in x}
+                error = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - r["label"]
+                for i, v in x.items():
+                    g = error * v
+                    z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+                    n[i] += g * g
+        for i in z:
+            total[i] += weight(i) * len(own) / len(shards)
+    bias = total.pop("bias")
+    assert weights[-1] == pytest.approx(bias, abs=1e-5)
+    assert np.flatnonzero(weights[:-1]).tolist() == sorted(i for i, w in total.items() if w)
+    assert all(weights[i] == pytest.approx(w, abs=1e-5) for i, w in total.items())
+
+
 def test_kept_words_are_bounded_by_bytes(library, monkeypatch):
     """Ids don't depend on what is kept; what is kept stays below the bound."""
     monkeypatch.setattr(bpe, "KEPT_BYTES", 4000)

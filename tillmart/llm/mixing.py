@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling, in DataFrame functions only.
 
-Every document draws an exponential key, -ln(u) / weight: u comes from a digest of its id, the weight
-from its text's quality. A source whose target is e times its size gives floor(e) complete epochs and
+Every document draws an exponential key, -ln(u) / weight: u comes from a digest of its id, or of its text if it
+has none; the weight is a column that the caller names (a classifier's score, say), or the share of letters
+in the text. A source whose target is e times its size gives floor(e) complete epochs and
 then the documents of smallest keys whose sizes, summed in key order, reach the rest of the target;
 the document that crosses it is taken if that brings the sum nearer.
 
@@ -16,8 +17,9 @@ is the level L at which min(cap, L * weight) adds up to the whole, found by runn
 ordered by cap / weight (one row per source).
 
 Defined cases: null and empty texts have size 0 and are taken 0 words; a source without words has
-target 0; repeated rows are documents of their own; a null id draws the key of the empty id. Ties of
-keys go by id, size and digest of the text, then row.
+target 0; repeated rows are documents of their own; a null or negative weight counts as 0, and 0 as the
+least weight, a hundredth. Rows without id draw by their texts, so equal ones draw alike. Ties of keys go by
+id, size and digest of the text, then row.
 """
 
 from __future__ import annotations
@@ -52,9 +54,15 @@ def tie_of(text: str = "text") -> Column:
     return F.substring(F.md5(F.coalesce(F.col(text), F.lit(""))), 1, 16)
 
 
-def sampling_key(weight: Column, row: str = "doc_id") -> Column:
-    """-ln(u) / weight with u in (0, 1) from 48 bits of a digest of the id."""
-    digest = F.md5(F.concat(F.lit(_SEED + ":"), F.coalesce(F.col(row).cast("string"), F.lit(""))))
+def weight_of(column: str) -> Column:
+    """Weight in hundredths, at least 1, from a column of shares from 0 to 1."""
+    return F.greatest(F.lit(1.0), F.coalesce(F.col(f"`{column}`").cast("double"), F.lit(0.0)) * 100)
+
+
+def sampling_key(weight: Column, row: str = "doc_id", text: str = "text") -> Column:
+    """-ln(u) / weight with u in (0, 1) from 48 bits of a digest of the id; without id, of the text's digest."""
+    drawn = F.coalesce(F.col(row).cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce(text, F.lit("")))))
+    digest = F.md5(F.concat(F.lit(_SEED + ":"), drawn))
     u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") + 0.5) / float(1 << 48)
     return -F.log(u) / weight
 
@@ -84,11 +92,12 @@ def _reached(sums: DataFrame, keys: list[str], bin_name: str) -> DataFrame:
     return passed.groupBy(*keys).agg(first.alias("found"))
 
 
-def mix(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, workspace: Workspace, text: str = "text", weight: str | None = None) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies (epochs it is in), taken (words,
-    repeats counted)."""
+    repeats counted). ``weight`` names a column of shares from 0 to 1."""
+    weights = weight_of(weight) if weight else quality_of(text)
     measured = docs.select(
-        "doc_id", "source", size_of(text).alias("size"), sampling_key(quality_of(text)).alias("key"),
+        "doc_id", "source", size_of(text).alias("size"), sampling_key(weights, text=text).alias("key"),
         tie_of(text).alias("tie"), F.monotonically_increasing_id().alias("row"),
     )
     # Keys are exponential: 1 - exp(-key * mean weight) spreads them over the unit interval, in order.

@@ -34,11 +34,11 @@ FROM d
 
 MIXING = rf"""
 WITH t AS (
-  SELECT doc_id, source, CAST({_WORDS} AS BIGINT) AS size, substr(md5(coalesce(text, '')), 1, 16) AS tie,
+  SELECT doc_id, source, CAST({_WORDS} AS BIGINT) AS size, md5(coalesce(text, '')) AS digest, substr(digest, 1, 16) AS tie,
          greatest(20, coalesce(length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) * 100 // greatest(length(text), 1), 20)) AS quality
   FROM documents),
 k AS (
-  SELECT *, -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5::DOUBLE)
+  SELECT *, -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '#' || digest)), 1, 12) AS BIGINT) + 0.5::DOUBLE)
       / 281474976710656.0::DOUBLE) / quality AS key FROM t),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM k GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),

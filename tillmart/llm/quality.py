@@ -3,13 +3,14 @@
 Features of a text are its word unigrams and bigrams and the unigrams and bigrams of word shapes
 (letter case, digits, signs, whether the word repeats the one before), hashed into a fixed number of
 buckets; a feature's value is its share of the text's n-grams. Training takes a bounded sample of
-labelled rows (``SAMPLE``, smallest hash of the id first), dealt over ``SHARDS`` tasks; each runs the
+labelled rows (``SAMPLE`` pairs of id and text, smallest hash of the id first), dealt over ``SHARDS`` tasks; each runs the
 per-coordinate FTRL-proximal update document by document, and the shards' weights are averaged.
 Scoring is a sparse dot product per document in numpy with the broadcast weights.
 
 Defined cases: null and empty texts have the score of the bias alone. Labels other than 0 and 1 and
-rows without id are left out; of several labels of one id the mean decides, 0.5 counts as 1. Without
-training rows every score is 0.5.
+rows without id are left out; of several labels of one id the mean decides, 0.5 counts as 1. Rows that
+repeat an id and a text train once, an id with several texts once a text, and the bound holds for all of
+them. Without training rows every score is 0.5.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ class Ftrl:
 
 
 def _fit(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values(["turn", "doc_id"])
+    frame = frame.sort_values(["turn", "doc_id", "own"])
     model = Ftrl(BUCKETS)
     for _ in range(EPOCHS):
         for start in range(0, len(frame), 256):
@@ -106,20 +107,21 @@ def _fit(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [int(frame["shard"].iloc[0])], "rows": [len(frame)], "weights": [weights.tobytes()]})
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> np.ndarray:
-    """Weights learned from the labelled rows of ``docs``; the last one is the bias."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> DataFrame:
+    """At most ``SAMPLE`` labelled rows of ``docs``: doc_id, own (hash of the text), text, label and turn."""
     turn = F.xxhash64(F.lit(17), "doc_id")
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-    sample = (
-        marked.join(docs.select("doc_id"), "doc_id", "left_semi")  # ids that can't train take no place
-        .groupBy("doc_id")
-        .agg((F.avg(label) >= 0.5).cast("int").alias("label"))
-        .select("doc_id", "label", turn.alias("turn"))
-        .orderBy("turn", "doc_id")
-        .limit(SAMPLE)
-    )
-    rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")  # at most SAMPLE rows
-    shards = rows.withColumn("shard", F.pmod(F.col("turn"), F.lit(SHARDS)).cast("int")).groupBy("shard")
+    marked = marked.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
+    rows = docs.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("own"))
+    sample = rows.select("doc_id", "own").distinct().join(marked, "doc_id")  # ids that can't train take no place
+    sample = sample.select("doc_id", "own", "label", turn.alias("turn")).orderBy("turn", "doc_id", "own").limit(SAMPLE)
+    return rows.join(F.broadcast(sample), ["doc_id", "own"]).dropDuplicates(["doc_id", "own"])
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text") -> np.ndarray:
+    """Weights learned from the labelled rows of ``docs``; the last one is the bias."""
+    rows = training_rows(docs, labels, label, text)
+    shards = rows.withColumn("shard", F.pmod(F.xxhash64("turn", "own"), F.lit(SHARDS)).cast("int")).groupBy("shard")
     fitted = shards.applyInPandas(_fit, "shard int, rows bigint, weights binary").collect()
     if not fitted:
         return np.zeros(BUCKETS + 1, np.float32)
