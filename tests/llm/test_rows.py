@@ -358,31 +358,83 @@ def test_empty_mixture(docs, workspace):
 # --- fingerprints -------------------------------------------------------------------------
 
 
+ANCHORS = set(spots.ANCHORS)
+
+
+def plain_spots(text):
+    """Spots of a text as tuples of words, by the definition."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    content = [w for w in words if w not in ANCHORS]
+    found = {("^", *content[:2])} if len(content) > 1 else set()
+    behind = run = 0  # content words before this place; of them since the last anchor
+    for w in words:
+        if w in ANCHORS:
+            chain = content[behind : behind + spots.CHAIN]
+            found |= {(w, *chain)} if chain else set()
+            run = 0
+        else:
+            if run >= spots.RUN:
+                found.add(("", content[behind - 1], w))
+            behind, run = behind + 1, run + 1
+    return found or ({(" ".join(words) or text,)} if text else set())
+
+
+def jaccard(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
 def check_prints(df, rows):
+    """``rows`` (id, text) against the definition, every likeness included."""
     found = spots.fingerprints(df, Workspace(df.sparkSession)).collect()
-    order = sorted((r for r in rows), key=lambda r: -r[0])
-    by_id = {r["doc_id"]: r for r in found}
-    assert len(found) == len(rows)
-    prints = {}
+    lowest = -(2**63)
+    order = sorted(rows, key=lambda r: (lowest if r[0] is None else r[0], xxh(r[1] or "")), reverse=True)
+    wanted, prints = Counter(), {}
     for k, (i, text) in enumerate(order):
         text, following = text or "", order[(k + 1) % len(order)][1] or ""
         half = len(text) // 2
         edit = text[: len(text) - half] + following[:half]
-        r = by_id[i]
-        assert r["n_chars"] == len(text)
-        assert r["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest()
-        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
-        assert prints.setdefault(edit, r["edited_fingerprint"]) == r["edited_fingerprint"]
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
-        if text == following:
-            assert r["near_next"] == 1
-    return by_id
+        own, edited, other = map(plain_spots, (text, edit, following))
+        sha = hashlib.sha256(edit.encode()).hexdigest()
+        wanted[i, len(text), sha, len(own), len(edited), round(jaccard(own, edited), 9), round(jaccard(own, other), 9)] += 1
+    got = Counter()
+    for r in found:
+        own, edited = ({p[k : k + 8] for k in range(0, len(p), 8)} for p in (r[c].split(":")[1] for c in ("fingerprint", "edited_fingerprint")))
+        assert r["near_edited"] == pytest.approx(jaccard(own, edited), abs=1e-12)
+        assert prints.setdefault(r["edited_sha256"], r["edited_fingerprint"]) == r["edited_fingerprint"]
+        got[r["doc_id"], r["n_chars"], r["edited_sha256"], len(own), len(edited), round(r["near_edited"], 9), round(r["near_next"], 9)] += 1
+    assert got == wanted
+    return found
 
 
 def test_fingerprints_of_documents(documents):
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
     found = check_prints(documents, rows)
-    assert sum(r["near_edited"] > r["near_next"] for r in found.values()) > 0.95 * len(rows)
+    assert sum(r["near_edited"] > r["near_next"] for r in found) > 0.95 * len(rows)
+
+
+def test_fingerprints_of_missing_and_repeated_ids(docs, spark, workspace, monkeypatch):
+    """Many rows without id or of one id, equal ones among them: their bucket is divided."""
+    monkeypatch.setattr(spots, "HOT", 8)
+    rng = random.Random(9)
+    pool = [prose(rng, rng.randint(1, 9)) + " of the " + prose(rng, 3) for _ in range(60)]
+    rows = [(rng.choice([None, None, None, 7, 7, *range(200)]), rng.choice(pool)) for _ in range(400)]
+    rows += [(None, pool[0])] * 50 + [(7, None), (7, ""), (None, "")]
+    check_prints(docs([(i, t, "en", "s", None) for i, t in rows], clashing=True), rows)
+    placed = spots.bucketed(docs([(i, t, "en", "s", None) for i, t in rows]), workspace).groupBy("bucket", "id_part", "text_part").count()
+    assert placed.agg(F.max("count")).first()[0] <= 64 and workspace.rows["hot_buckets"] >= 2
+
+
+def test_likeness_from_fingerprints_and_partitions(spark):
+    rng = random.Random(10)
+    sets = [sorted(rng.sample(range(2**32), 40)) for _ in range(3)]
+    sets += [sorted({*rng.sample(s, rng.randint(1, 40)), *rng.sample(range(2**32), rng.randint(0, 200))}) for s in sets for _ in range(8)] + [[]]
+    df = spark.createDataFrame([(a, b) for a in sets for b in sets], "a array<bigint>, b array<bigint>")
+    df = df.withColumns({"exact": spots.likeness("a", "b"), "least": spots.likeness("a", "b", 0.6), "x": spots.fingerprint("a"), "y": spots.fingerprint("b")})
+    df = df.withColumns({"p": spots.parsed("x"), "q": spots.parsed("y")}).withColumn("again", spots.likeness("p", "q"))
+    for r in df.collect():
+        wanted = jaccard(set(r["a"]), set(r["b"]))
+        assert r["exact"] == r["again"] == pytest.approx(wanted)
+        assert r["least"] == pytest.approx(wanted if wanted >= 0.6 else 0)
 
 
 @pytest.mark.parametrize("spread", [1, 63, 2**16, 2**40])
@@ -396,14 +448,14 @@ def test_next_document_over_gaps(docs, spread):
 def test_spots_are_chains_after_anchors(spark):
     df = spark.createDataFrame([("Cats of the long road, and the end",)], "t string").withColumn("s", spots.spots("t"))
     chains = [("^", "cats", "long"), ("of", "long", "road"), ("the", "long", "road"), ("and", "end"), ("the", "end")]
-    wanted = df.select([F.xxhash64(*map(F.lit, c)).alias(str(k)) for k, c in enumerate(chains)]).first()
+    wanted = df.select([F.xxhash64(*map(F.lit, c)).bitwiseAND(F.lit(2**32 - 1)).alias(str(k)) for k, c in enumerate(chains)]).first()
     assert df.first()["s"] == sorted(wanted)
 
 
 def test_fingerprint_edge_cases(docs, workspace, spark):
     rows = spots.fingerprints(docs(ODD, clashing=True), workspace).collect()
     assert len(rows) == len(ODD)
-    assert {r["fingerprint"] for r in rows if r["n_chars"] == 0} == {"0:d41d8cd98f00b204e9800998ecf8427e"}
+    assert {r["fingerprint"] for r in rows if r["n_chars"] == 0} == {"0:"}
     one = spots.fingerprints(docs([(3, "one row", None, None, None)]), Workspace(spark)).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1
     assert spots.fingerprints(docs(ODD).limit(0), Workspace(spark)).collect() == []

@@ -2,19 +2,22 @@
 
 A text's spots are chains that start at a common word (anchor): the anchor and the next ``CHAIN``
 content words, further anchors skipped. The beginning of a text is an anchor, and a run of ``RUN`` words
-without an anchor anchors itself, so short texts, tables and lists have spots too. The set of hashed spots is the fingerprint; its text form is the set's
-size and MD5. Two sets are compared by Jaccard similarity. Sets are partitioned by length, in bands of
-the ratio ``FLOOR``: pairs more than one band apart can't reach FLOOR and aren't compared; what is
-below FLOOR counts as 0.
-
-``with_next`` gives every document the one before it in id order (the next one descending). Ids fall
-into buckets of 2**BUCKET consecutive ids, so one shuffle brings all but a bucket's last document
-beside its next; bucket ends are linked through a table of buckets, itself divided by 2**LEVEL, level
-by level. No sort and no window ever holds more than a bucket.
+without an anchor anchors itself, so short texts, tables and lists have spots too. The set of spots, 32 bits of
+hash each, is the fingerprint; its text form is the set's size and all of its spots, from which likeness
+can be computed again (``parsed``). Two sets are compared by Jaccard similarity. Sets are partitioned by
+their length: with a least likeness ``tau`` only sets of one or neighbouring partitions can reach it, the others
+aren't compared and count as 0. The query asks for every likeness (tau 0), so nothing is pruned there.
+
+``fingerprints`` gives every document the one before it in id order (the next one descending). Every text's set is
+made once, where the text stands, and moves with it to its neighbour. Ids fall into buckets of 2**BUCKET
+consecutive ids, so one shuffle brings all but a bucket's last document beside its next; buckets are
+numbered by a range shuffle of one row each, and a bucket's end is linked with the next one's head. A bucket
+of more than ``HOT`` rows, which takes ids that repeat or rows without id, is divided by id and leading bits of
+the texts' hashes, and its equal rows become one row with their number, so no window holds an unbounded bucket.
 
 Defined cases: null is an empty text; a text without words is one spot, an empty one has none. Two
-empty sets have likeness 1, an empty and another 0. Rows that repeat an id follow each other in order
-of their texts' digests; null ids come last. A single row is its own next.
+empty sets have likeness 1, an empty and another 0. Rows that repeat an id follow each other in descending
+order of their texts' hashes; null ids come last. A single row is its own next.
 """
 
 from __future__ import annotations
@@ -22,11 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmart.operators.numbering import number_rows
 from tillmart.workspace import Workspace
 
 CHAIN, RUN = 2, 6
-FLOOR = 0.05
-BUCKET, LEVEL = 6, 20
+BUCKET, HOT = 6, 256
+RESULTS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 #: Common words of English, French, German and Spanish.
 ANCHORS = (
     "the of and to in a is that it was for on are as with his they be at this have from or had by but not what all were we "
@@ -52,80 +56,97 @@ def spots(text: str) -> Column:
             transform(p.anchors, (at, k) -> IF(at - k < size(p.content), xxhash64(get(ws, at), {chain}), NULL)),
             transform(p.places, (at, k) -> IF(k >= {RUN} AND at - get(p.places, k - {RUN}) = {RUN},
                 xxhash64('', get(p.content, k - 1), get(p.content, k)), NULL))), x -> x IS NOT NULL)), found ->
-            CASE WHEN size(found) > 0 THEN array_sort(array_distinct(found))
-                WHEN {text} = '' THEN found ELSE array(xxhash64(IF(size(ws) > 0, array_join(ws, ' '), {text}))) END
+            CASE WHEN size(found) > 0 THEN array_sort(array_distinct(transform(found, x -> x & 4294967295)))
+                WHEN {text} = '' THEN found ELSE array(xxhash64(IF(size(ws) > 0, array_join(ws, ' '), {text})) & 4294967295) END
         ), 1)), 1)), 1)), 1)""")
 
 
 def fingerprint(found: str) -> Column:
-    """The set's size and digest."""
-    return F.concat(F.size(found).cast("string"), F.lit(":"), F.md5(F.array_join(found, ",")))
+    """The set's size and its spots, eight hexadecimal digits each."""
+    return F.expr(f"concat(size({found}), ':', array_join(transform({found}, x -> lower(lpad(hex(x), 8, '0'))), ''))")
+
 
+def parsed(fingerprint: str) -> Column:
+    """The set of a fingerprint, as sorted texts of eight digits."""
+    return F.regexp_extract_all(F.substring_index(F.col(fingerprint), ":", -1), F.lit("[0-9a-f]{8}"), F.lit(0))
 
-def band(found: str) -> Column:
-    """Partition of a set by its length."""
-    return F.floor(F.log(F.greatest(F.size(found), F.lit(1)).cast("double")) / F.log(F.lit(1 / FLOOR)))
 
+def partition(found: str, tau: float) -> Column:
+    """Partition of a set by its length: sets of likeness tau are in one or in neighbouring partitions."""
+    return F.floor(F.log(F.greatest(F.size(found), F.lit(1)).cast("double")) / F.log(F.lit(1 / tau)))
 
-def likeness(a: str, b: str) -> Column:
-    """Jaccard similarity of two sets of spots, pruned by their length partitions."""
+
+def likeness(a: str, b: str, tau: float = 0) -> Column:
+    """Jaccard similarity of two sets; with ``tau`` 0 where their lengths or the similarity stay below it."""
     same = F.size(F.array_intersect(a, b))
     exact = same / (F.size(a) + F.size(b) - same)
-    near = F.when(F.abs(band(a) - band(b)) > 1, F.lit(0.0)).otherwise(F.when(exact >= FLOOR, exact).otherwise(0.0))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(near)
-
-
-def _lower(values: DataFrame, level: int = 0) -> DataFrame:
-    """Per distinct value ``v`` the next lower one as ``lower``; null for the lowest."""
-    group = F.shiftright("v", LEVEL)
-    if level == 3:  # all that is left of 64 bits
-        return values.withColumn("lower", F.lead("v").over(Window.orderBy(F.desc("v"))))
-    inside = values.withColumn("g", group).withColumn("lower", F.lead("v").over(Window.partitionBy("g").orderBy(F.desc("v"))))
-    tops = values.groupBy(group.alias("g")).agg(F.max("v").alias("top"))
-    links = _lower(tops.select(F.col("g").alias("v")), level + 1).select(F.col("v").alias("g"), F.col("lower").alias("h"))
-    links = links.join(tops.select(F.col("g").alias("h"), F.col("top").alias("over")), "h", "left")
-    return inside.join(links.select("g", "over"), "g", "left").select("v", F.coalesce("lower", "over").alias("lower"))
-
-
-def compare(docs: DataFrame, text: str, other: str) -> DataFrame:
-    """``docs`` with n_chars, edited_sha256, the fingerprints of the text and of the edited text (last
-    half replaced by the beginning of ``other``), and the likeness of the text's fingerprint to that of
-    the edited text and of ``other``."""
+    if tau:
+        exact = F.when(F.abs(partition(a, tau) - partition(b, tau)) > 1, 0.0).otherwise(F.when(exact >= tau, exact).otherwise(0.0))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(exact)
+
+
+def edits(docs: DataFrame, text: str = "text", following: str = "next") -> DataFrame:
+    """``docs`` with n_chars and edited: the text whose last half is replaced by the beginning of ``following``."""
     half = F.expr(f"CAST(length({text}) DIV 2 AS INT)")
-    edited = F.concat(F.substring(F.col(text), F.lit(1), F.length(text) - half), F.substring(F.col(other), F.lit(1), half))
-    edits = docs.withColumns({"n_chars": F.length(text).cast("bigint"), "edited": edited})
-    sets = edits.withColumns({"own_spots": spots(text), "edited_spots": spots("edited"), "next_spots": spots(other)})
+    edited = F.concat(F.substring(F.col(text), F.lit(1), F.length(text) - half), F.substring(F.col(following), F.lit(1), half))
+    return docs.withColumns({"n_chars": F.length(text).cast("bigint"), "edited": edited})
+
+
+def compare(docs: DataFrame) -> DataFrame:
+    """``docs`` (text, spots, next, next_spots) with all of ``RESULTS``."""
+    sets = edits(docs).withColumn("edited_spots", spots("edited"))
     return sets.withColumns(
         {
             "edited_sha256": F.sha2("edited", 256),
-            "fingerprint": fingerprint("own_spots"),
+            "fingerprint": fingerprint("spots"),
             "edited_fingerprint": fingerprint("edited_spots"),
-            "near_edited": likeness("own_spots", "edited_spots"),
-            "near_next": likeness("own_spots", "next_spots"),
+            "near_edited": likeness("spots", "edited_spots"),
+            "near_next": likeness("spots", "next_spots"),
         }
-    ).drop("edited", "own_spots", "edited_spots", "next_spots")
+    ).drop("edited", "edited_spots")
 
 
-RESULTS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_BUCKET = ["bucket", "id_part", "text_part"]
+
+
+def bucketed(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
+    """Rows doc_id, text, place, own (hash of the text), spots, copies (of equal rows) and their bucket."""
+    place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), place.alias("place"))
+    rows = rows.withColumns({"own": F.xxhash64("text"), "bucket": F.shiftright("place", BUCKET)})
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+    hot = workspace.store("hot_buckets", counts.select("bucket", F.expr(f"cast(least(40, ceil(log2(n / {HOT})) + 1) AS INT)").alias("bits")))
+    none = {"id_part": F.lit(0).cast("bigint"), "text_part": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")}
+    if not workspace.rows["hot_buckets"]:
+        return rows.withColumns(none).withColumn("spots", spots("text"))
+    rows = rows.join(hot, "bucket", "left")
+    usual = rows.where("bits IS NULL").withColumns(none)
+    parts = {"id_part": F.col("place"), "text_part": F.expr("shiftright(own, 64 - bits)")}
+    split = rows.where("bits IS NOT NULL").withColumns(parts)
+    split = split.groupBy("bucket", "id_part", "text_part", "doc_id", "place", "own").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    return usual.drop("bits").unionByName(split).withColumn("spots", spots("text"))
 
 
 def fingerprints(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
     """Per row of ``docs`` the columns ``RESULTS``; next is the document of the next lower id, after the
     last the first. Texts are shuffled once; only bucket ends (one in 2**BUCKET) move again."""
-    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), order.alias("place"))
-    rows = rows.withColumn("bucket", F.shiftright("place", BUCKET))
-    turn = Window.partitionBy("bucket").orderBy(F.desc("place"), F.xxhash64("text"))
-    placed = rows.withColumns({"next": F.lead("text").over(turn), "number": F.row_number().over(turn)})
-    # Bucket ends have no next yet; their text and that of bucket heads are kept for the second step.
-    end = F.col("next").isNull()
-    kept = F.when(end | (F.col("number") == 1), F.col("text")).alias("kept_text")
-    first = compare(placed, "text", "next")
-    first = workspace.store("inside", first.select(*RESULTS, "bucket", "number", end.alias("is_end"), kept))
-    heads = first.where("number = 1").select(F.col("bucket").alias("lower"), F.col("kept_text").alias("next"))
-    buckets = workspace.store("buckets", rows.select(F.col("bucket").alias("v")).distinct())
-    top = buckets.agg(F.max("v")).first()[0]
-    links = _lower(buckets).select(F.col("v").alias("bucket"), F.coalesce("lower", F.lit(top)).alias("lower"))
-    ends = first.where("is_end").select("doc_id", "bucket", F.col("kept_text").alias("text"))
-    across = compare(ends.join(links, "bucket").join(heads, "lower"), "text", "next")
-    return first.where("NOT is_end").select(*RESULTS).unionAll(across.select(*RESULTS))
+    rows = bucketed(docs, workspace, text)
+    turn = Window.partitionBy(*_BUCKET).orderBy(F.desc("place"), F.desc("own"))
+    placed = rows.withColumns({"next": F.lead("text").over(turn), "next_spots": F.lead("spots").over(turn), "number": F.row_number().over(turn)})
+    # Bucket ends have no next yet; their text and set and those of bucket heads are kept for the second step.
+    placed = placed.withColumn("is_end", F.col("next").isNull())
+    kept = F.when(F.col("is_end") | (F.col("number") == 1), F.struct("text", "spots")).alias("kept")
+    first = workspace.store("inside", compare(placed).select(*RESULTS, *_BUCKET, "copies", "number", "is_end", kept))
+    buckets = number_rows(first.where("number = 1").select(*_BUCKET, "kept"), _BUCKET, "at", workspace, "buckets")
+    last = F.lit(workspace.rows["buckets"])
+    heads = buckets.select((F.col("at") % last + 1).alias("above"), F.col("kept.text").alias("next"), F.col("kept.spots").alias("next_spots"))
+    ends = first.where("is_end").select("doc_id", *_BUCKET, "copies", "kept.text", "kept.spots").join(buckets.select(*_BUCKET, "at"), _BUCKET)
+    across = compare(ends.join(heads, F.col("at") == F.col("above")))
+    inside = first.where("NOT is_end")
+    if not workspace.rows["hot_buckets"]:
+        return inside.select(*RESULTS).unionAll(across.select(*RESULTS))
+    # Of equal rows the last one has the next document beside it, the others each other.
+    single = inside.select(*RESULTS, F.lit(1).alias("times")).unionAll(across.select(*RESULTS, F.lit(1).alias("times")))
+    equal = rows.where("copies > 1").withColumns({"next": F.col("text"), "next_spots": F.col("spots")})
+    equal = compare(equal).select(*RESULTS, (F.col("copies") - 1).cast("int").alias("times"))
+    return single.unionAll(equal).withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).select(*RESULTS)
