@@ -12,8 +12,8 @@ next stage's ``docs``. All but the last return the columns of ``docs``.
 | tokens | ids, n_tokens, the decoded text and digests of the ids and of that text beside each document's id |
 
 Empty tables pass through all stages. Rows that repeat an id and a text are one document after exact
-dedup. An id stays with all its texts if one of them stays. Documents without an id are treated as one
-id in this respect.
+dedup. An id stays with all its texts if one of them stays; in exact dedup documents without an id are
+treated as one id in this respect, in near dedup each goes by its own text.
 """
 
 from __future__ import annotations
@@ -67,8 +67,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = minhash.groups(docs, Workspace(spark))
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id_"))
-    return _kept(docs, kept)
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id_"), F.col("own").alias("kept_text_")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["kept_id_"]) & (minhash.text_hash("text") == kept["kept_text_"])
+    return docs.join(kept, same, "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
