@@ -1,5 +1,6 @@
 """Dedup, archives, mixing, fingerprints and lines."""
 
+import base64
 import hashlib
 import itertools
 import random
@@ -278,8 +279,9 @@ def test_archive_round_trip(spark, workspace):
         assert r["record_type"] == ("response" if response else "revisit")
         assert r["refers_to"] == (None if response else top[texts[r["page_id"]]])
         assert r["payload_bytes"] == len(body)
-        head, rest = bytes(r["record"]).split(b"\r\n\r\n", 1)
+        head, http, rest = bytes(r["record"]).split(b"\r\n\r\n", 2)
         assert head.startswith(b"WARC/1.1\r\n") and rest == (body if response else b"") + b"\r\n\r\n"
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n") and http.endswith(b"Content-Length: %d" % len(body))
         assert f"WARC-Payload-Digest: sha1:{r['payload_digest']}".encode() in head
 
 
@@ -290,18 +292,43 @@ def test_small_payloads_are_never_revisits(spark, workspace):
     assert len(rows) == len(PAGES)
 
 
+def records_of(raw):
+    """Records of a WARC file: version line, named fields up to an empty line, a block of Content-Length bytes,
+    two line ends. Blocks of HTTP responses: status line, fields, an empty line, the body."""
+    while raw:
+        head, raw = raw.split(b"\r\n\r\n", 1)
+        version, *lines = head.decode().split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines)
+        length = int(fields["Content-Length"])
+        block, end, raw = raw[:length], raw[length : length + 4], raw[length + 4 :]
+        assert end == b"\r\n\r\n" and fields["Content-Type"] == "application/http;msgtype=response"
+        http, body = block.split(b"\r\n\r\n", 1)
+        status, *lines = http.decode().split("\r\n")
+        assert status == "HTTP/1.1 200 OK"
+        yield fields, dict(line.split(": ", 1) for line in lines), body
+
+
 def test_exported_files_are_warc(spark, workspace, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
-    records = warc.read(*warc.write(pages, workspace))
-    warc.export(records, workspace.path("files"))
-    raw = b"".join(bytes(r["content"]) for r in spark.read.format("binaryFile").load(workspace.path("files") + "/*.txt").collect())
-    n = 0
-    while raw:
-        head, rest = raw.split(b"\r\n\r\n", 1)
-        length = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert rest[length : length + 4] == b"\r\n\r\n"
-        raw, n = rest[length + 4 :], n + 1
-    assert n == pages.count()
+    repeated = pages.unionAll(pages.limit(20).withColumn("html", F.concat("html", F.lit("<p>once more</p>")))).unionAll(pages.limit(9).withColumn("url", F.lit("x:y")))
+    warc.export(warc.read(*warc.write(repeated, workspace)), workspace.path("files"))
+    files = spark.read.format("binaryFile").load(workspace.path("files") + "/*.txt").collect()
+    found = [r for f in files for r in records_of(bytes(f["content"]))]
+    assert len(found) == repeated.count()
+    ids = [f["WARC-Record-ID"] for f, _, _ in found]
+    assert len(set(ids)) == len(ids) and all(re.fullmatch("<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", i) for i in ids)
+    bodies = {f["WARC-Record-ID"]: body for f, _, body in found if f["WARC-Type"] == "response"}
+    wanted = Counter((r["page_id"], r["url"], r["html"]) for r in repeated.collect())
+    got = Counter()
+    for fields, http, body in found:
+        if fields["WARC-Type"] == "revisit":
+            assert body == b"" and fields["WARC-Profile"].endswith("identical-payload-digest")
+            body = bodies[fields["WARC-Refers-To"]]
+        assert http["Content-Type"].startswith("text/html") and int(http["Content-Length"]) == len(body)
+        assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+        got[int(fields["X-Page-ID"]), fields["WARC-Target-URI"], body.decode()] += 1
+    assert got == wanted
 
 
 def test_damage_is_found(spark, workspace):

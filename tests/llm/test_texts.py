@@ -116,6 +116,19 @@ def library():
     return Tokenizer.from_file(VOCABULARY)
 
 
+def test_many_languages_are_scored_in_passes(docs, documents, monkeypatch):
+    """As many passes as it takes, the same predictions and probabilities."""
+    rows = documents.select("doc_id", "text", F.concat_ws("-", "lang", (F.col("doc_id") % 3).cast("string")).alias("lang"), "source", "n_chars")
+    df = rows.unionAll(docs(ODD).select(rows.columns))
+    whole = {(r["doc_id"], r["text"]): r for r in language.identify(df, rows).collect()}
+    monkeypatch.setattr(language, "AT_ONCE", 5)
+    parts = language.identify(df, rows).collect()
+    assert len({r["lang"] for r in rows.collect()}) > 10 and len(parts) == df.count()
+    for r in parts:
+        same = whole[r["doc_id"], r["text"]]
+        assert r["lang_pred"] == same["lang_pred"] and r["score"] == pytest.approx(same["score"], abs=1e-9)
+
+
 def test_quality_sample_bounds_repeated_ids(spark, docs, monkeypatch):
     monkeypatch.setattr(quality, "SAMPLE", 10)
     rows = [(5, f"text {i % 40}", "en", "s", None) for i in range(2000)] + [(i, "other", "en", "s", None) for i in range(100, 130)]

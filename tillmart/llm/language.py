@@ -2,11 +2,12 @@
 
 Training counts n-grams of code points per language and hash bucket in all training documents;
 the counts are summed by Spark. The model is one row of log-probabilities per language, of a
-fixed number of buckets, so it is broadcast. Scoring adds up rows per batch in numpy.
+fixed number of buckets, broadcast ``AT_ONCE`` languages at a time. Scoring adds up rows per batch in numpy.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without any training
 row every text is ``und``. Ties go to the smallest language name. Languages are the distinct
-non-null values of ``lang``, which have to be few (the matrix has one row each).
+non-null values of ``lang``; more than ``AT_ONCE`` of them are counted and scored in several passes, with the
+same result, so neither the driver nor a task holds more than that many rows of the matrix.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15
 ORDERS = (2, 3)
 SMOOTHING = 0.5
+#: Languages whose rows of the matrix (a quarter of a megabyte each) are held at a time.
+AT_ONCE = 256
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _MULTIPLIERS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
@@ -62,6 +65,7 @@ class LanguageModel:
     languages: list[str]
     log_prior: np.ndarray  # per language
     log_prob: np.ndarray  # language x bucket; one more column of zeros
+    documents: float  # that the model was trained on
 
     def scores(self, texts: list[str]) -> np.ndarray:
         out = np.repeat(self.log_prior[None, :], len(texts), 0)
@@ -109,7 +113,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
         prior[k] = n[own & (buckets < 0)].sum()
         prob[k, buckets[grams]] = n[grams]
         prob[k, :BUCKETS] = np.log((prob[k, :BUCKETS] + SMOOTHING) / (prob[k].sum() + SMOOTHING * BUCKETS))
-    return LanguageModel(languages, np.log(prior / prior.sum()) if len(prior) else prior, prob)
+    return LanguageModel(languages, np.log(prior / prior.sum()) if len(prior) else prior, prob, prior.sum())
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -132,3 +136,43 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFram
 
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return add_columns(df, text, fields, score)
+
+
+def _ranked(df: DataFrame, model: LanguageModel, text: str) -> DataFrame:
+    """``df`` with ``part_`` (name, log and log of the sum): the best language of one model, and what all of
+    its languages add up to; null without a letter."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+
+    def score(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
+        own = held.value
+        for column in columns:
+            raw = column.to_pylist()
+            logs = own.scores([t or "" for t in raw]) + np.log(own.documents)
+            at, top = logs.argmax(1), logs.max(1)
+            total = top + np.log(np.exp(logs - top[:, None]).sum(1))
+            rows = [{"name": own.languages[at[i]], "log": top[i], "total": total[i]} if has_letter(t) else None for i, t in enumerate(raw)]
+            yield [pa.array(rows, pa.struct([("name", pa.string()), ("log", pa.float64()), ("total", pa.float64())]))]
+
+    kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("log", T.DoubleType()), T.StructField("total", T.DoubleType())])
+    return add_columns(df, text, [T.StructField("part_", kind)], score)
+
+
+def identify(df: DataFrame, rows: DataFrame, text: str = "text", lang: str = "lang", train_text: str = "text") -> DataFrame:
+    """``df`` with ``lang_pred`` and ``score``, learned from ``rows``, whatever the number of languages."""
+    names = rows.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang")).distinct().orderBy("lang")
+    found = [r["lang"] for r in names.limit(AT_ONCE + 1).collect()]
+    if len(found) <= AT_ONCE:
+        return predict(df, train(rows, train_text, lang), text)
+    best = F.lit(None).cast("struct<name: string, log: double, total: double>")
+    df = df.withColumn("best_", best)
+    while found:
+        some = found[:AT_ONCE]
+        df = _ranked(df, train(rows.where(F.col(lang).between(some[0], some[-1])), train_text, lang), text)
+        high, low = F.greatest("best_.total", "part_.total"), F.least("best_.total", "part_.total")
+        total = (high + F.log1p(F.exp(low - high))).alias("total")
+        winner = F.when(F.col("part_.log") > F.col("best_.log"), F.col("part_")).otherwise(F.col("best_"))  # ties: the smaller name
+        both = F.struct(winner["name"].alias("name"), winner["log"].alias("log"), total)
+        df = df.withColumn("best_", F.when(F.col("best_").isNull(), F.col("part_")).when(F.col("part_").isNull(), F.col("best_")).otherwise(both)).drop("part_")
+        found = [r["lang"] for r in names.where(F.col("lang") > some[-1]).limit(AT_ONCE).collect()]
+    score = F.coalesce(F.exp(F.col("best_.log") - F.col("best_.total")), F.lit(0.0))
+    return df.withColumns({"lang_pred": F.coalesce("best_.name", F.lit(UNKNOWN)), "score": score}).drop("best_")

@@ -53,8 +53,7 @@ def warc_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def languages(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = table(spark, folder, "documents").select("doc_id", "text", "lang"), fold("doc_id", 5) == 0
-    model = language.train(docs.where(~held_out))
-    return language.predict(docs.drop("lang"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return language.identify(docs.drop("lang"), docs.where(~held_out)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def line_report(spark: SparkSession, folder: str) -> DataFrame:

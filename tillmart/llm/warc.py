@@ -7,6 +7,11 @@ compressed before they are shuffled or stored; equal payloads are reduced to one
 shuffle. Reading joins headers and payloads to the original records, verifies the strong digest and
 the header's digest and length, and parses the header again.
 
+A response's block is an HTTP status line and fields, kept with the record's header, and the payload; a
+revisit's block is the HTTP part alone. The payload digest is that of the payload, without the HTTP part. A record's
+id comes from its page id, url and payload, so only rows that are equal in all of them share one. Page ids
+are extension fields (``X-Page-ID``).
+
 Defined cases: a null payload is empty; a null url is an empty target; null page ids lose against
 any other, and a revisit whose response has a null id refers to null. Rows that repeat a page id are
 records of their own; those that repeat the response's id and payload are all responses.
@@ -28,6 +33,7 @@ from tillmart.llm.hashing import slices
 from tillmart.workspace import Workspace
 
 DATE = "2024-01-01T00:00:00Z"
+CRLF = "\r\n"
 _PAYLOADS = "page_id bigint, url string, content_key binary, sha1 string, payload_bytes bigint, packed binary"
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, record binary"
 
@@ -53,48 +59,66 @@ def payloads(pages: DataFrame, payload: str = "html") -> DataFrame:
     return wanted.mapInArrow(run, _PAYLOADS)
 
 
-def _header(least: int) -> F.Column:
+def _record_id() -> F.Column:
+    """A record's id: a digest of its page id, url and payload, in the form of a UUID."""
+    parts = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col("page_id").cast("string"), F.col("url"))]
+    digest = F.md5(F.concat(*parts, F.hex("content_key")))
+    return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
+
+
+def _http() -> F.Column:
+    """The HTTP part of a response's block, with the empty line that ends it."""
+    lines = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "]
+    return F.concat(F.lit(CRLF.join(lines)), F.col("payload_bytes").cast("string"), F.lit(CRLF * 2))
+
+
+def _header() -> F.Column:
     """The record's header block as text, with the empty line that ends it."""
-    crlf = "\r\n"
     response = F.col("record_type") == "response"
-    identity = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(">"))
-    refers = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("refers_to").cast("string"), F.lit("none")), F.lit(">"))
+    block = F.octet_length(_http()) + F.when(response, F.col("payload_bytes")).otherwise(F.lit(0))
+    page = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), "record_type"),
-        F.concat(F.lit("WARC-Record-ID: "), identity),
+        F.concat(F.lit("WARC-Record-ID: <"), "record_id", F.lit(">")),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), "sha1"),
-        F.when(~response, F.concat(F.lit("WARC-Refers-To: "), refers)),
+        F.when(~response, F.concat(F.lit("WARC-Refers-To: <"), "response_record", F.lit(">"))),
         F.when(~response, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+        F.lit("Content-Type: application/http;msgtype=response"),
+        F.concat(F.lit("X-Page-ID: "), page("page_id")),
+        F.when(~response, F.concat(F.lit("X-Refers-To-Page-ID: "), page("refers_to"))),
         F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
-        F.concat(F.lit("Content-Length: "), F.when(response, F.col("payload_bytes")).otherwise(F.lit(0)).cast("string")),
+        F.concat(F.lit("Content-Length: "), block.cast("string")),
     ]
-    return F.concat(F.concat_ws(crlf, *lines), F.lit(crlf * 2))
+    return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2))
 
 
 def write(pages: DataFrame, workspace: Workspace, payload: str = "html", least: int = 0) -> tuple[DataFrame, DataFrame]:
-    """The archive's two tables: headers (page_id, content_key of responses, header) and payloads
-    (content_key, packed)."""
-    rows = payloads(pages, payload)
+    """The archive's two tables: headers (page_id, record_type, content_key, header and HTTP part of the
+    record) and payloads (content_key, packed)."""
+    rows = payloads(pages, payload).withColumn("record_id", _record_id())
     # With no least size every payload is shared; smaller ones have an address of their own.
     address = F.when(F.col("payload_bytes") >= least, F.col("content_key"))
     shared = rows.where(address.isNotNull())
-    stored = shared.groupBy("content_key").agg(F.max("page_id").alias("response_id"), F.first("packed").alias("packed"))
+    stored = shared.groupBy("content_key").agg(F.max(F.struct("page_id", "record_id")).alias("response"), F.first("packed").alias("packed"))
     workspace.store("payloads", stored)
     table = workspace.spark.read.schema(stored.schema).parquet(workspace.path("payloads"))
     small = rows.where(address.isNull())
     if least > 0:
-        lone = small.groupBy("content_key").agg(F.lit(None).cast("bigint").alias("response_id"), F.first("packed").alias("packed"))
+        lone = small.groupBy("content_key").agg(
+            F.lit(None).cast("struct<page_id: bigint, record_id: string>").alias("response"), F.first("packed").alias("packed")
+        )
         table = table.unionByName(workspace.store("payloads_small", lone))
     keys = workspace.store("payload_keys", rows.drop("packed"))
-    owners = table.where(F.col("response_id").isNotNull()).select("content_key", "response_id")
+    owners = table.where(F.col("response.page_id").isNotNull())
+    owners = owners.select("content_key", F.col("response.page_id").alias("response_id"), F.col("response.record_id").alias("response_record"))
     typed = keys.join(owners, "content_key", "left")
     revisit = (F.col("payload_bytes") >= least) & F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     typed = typed.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
     typed = typed.withColumn("refers_to", F.when(revisit, F.col("response_id")))
-    headers = typed.select("page_id", "record_type", "content_key", F.encode(_header(least), "utf-8").alias("header"))
+    headers = typed.select("page_id", "record_type", "content_key", F.encode(F.concat(_header(), _http()), "utf-8").alias("header"))
     return workspace.store("headers", headers), table.select("content_key", "packed")
 
 
@@ -104,16 +128,18 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             rows = []
             for header, key, packed in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                lines = header.decode("utf-8", "surrogatepass").split("\r\n")
-                fields = dict(line.split(": ", 1) for line in lines[1:-2])
-                page, refers = (fields.get(f, "<urn:page:none>")[10:-1] for f in ("WARC-Record-ID", "WARC-Refers-To"))
+                head, http = header.decode("utf-8", "surrogatepass").split(CRLF * 2, 1)
+                fields = dict(line.split(": ", 1) for line in head.split(CRLF)[1:])
+                page, refers = (fields.get(f, "none") for f in ("X-Page-ID", "X-Refers-To-Page-ID"))
                 body, size, digest = b"", int(fields["X-Payload-Length"]), fields["WARC-Payload-Digest"][5:]
                 if fields["WARC-Type"] == "response":
                     body = unpack.decompress(packed) if packed is not None else None
-                    if body is None or hashlib.sha256(body).digest() != key or len(body) != int(fields["Content-Length"]):
+                    if body is None or hashlib.sha256(body).digest() != key or len(body) != size:
                         raise ValueError(f"the payload of page {page} is missing or damaged")
                     if base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
                         raise ValueError(f"the payload of page {page} has another digest")
+                if len(http.encode()) + len(body) != int(fields["Content-Length"]):
+                    raise ValueError(f"the header of page {page} tells another length")
                 ids = [None if x == "none" else int(x) for x in (page, refers)]
                 rows.append((ids[0], size, digest, fields["WARC-Type"], ids[1], header + body + b"\r\n\r\n"))
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
