@@ -36,10 +36,10 @@ def _own(docs: DataFrame, columns: list[str]) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents whose language is given; drops those of no known language."""
     ship(spark)
-    model = language.train(docs.where(fold("doc_id", 5) != 0))
     # The prediction's column names must not clash with the documents' own.
     named = docs.select(*[F.col(f"`{c}`").alias(f"own_{c}") for c in docs.columns])
-    known = language.predict(named, model, "own_text").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_PROBABILITY))
+    found = language.identify(named, docs.where(fold("doc_id", 5) != 0), "own_text")
+    known = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_PROBABILITY))
     return known.select(*[F.col(f"`own_{c}`").alias(c) for c in docs.columns])
 
 
