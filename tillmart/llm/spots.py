@@ -8,9 +8,10 @@ can be computed again (``parsed``). Two sets are compared by Jaccard similarity.
 their length: with a least likeness ``tau`` only sets of one or neighbouring partitions can reach it, the others
 aren't compared and count as 0. The query asks for every likeness (tau 0), so nothing is pruned there.
 
-``fingerprints`` gives every document the one before it in id order (the next one descending). Every text's set is
-made once, where the text stands, and moves with it to its neighbour. Ids fall into buckets of 2**BUCKET
-consecutive ids, so one shuffle brings all but a bucket's last document beside its next; buckets are
+``fingerprints`` gives every document the one before it in id order (the next one descending). Ids fall into
+buckets of 2**BUCKET consecutive ids, so one shuffle brings all but a bucket's last document beside its next;
+there every text's set is made once and handed to its neighbour. Sets are stored as numbers, the fingerprints'
+text is made from them by whoever reads the result. Buckets are
 numbered by a range shuffle of one row each, and a bucket's end is linked with the next one's head. A bucket
 of more than ``HOT`` rows, which takes ids that repeat or rows without id, is divided by id and leading bits of
 the texts' hashes, and its equal rows become one row with their number, so no window holds an unbounded bucket.
@@ -30,6 +31,7 @@ from tillmart.workspace import Workspace
 
 CHAIN, RUN = 2, 6
 BUCKET, HOT = 6, 256
+STORED = ["doc_id", "n_chars", "edited_sha256", "spots", "edited_spots", "near_edited", "near_next"]
 RESULTS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 #: Common words of English, French, German and Spanish.
 ANCHORS = (
@@ -52,18 +54,18 @@ def spots(text: str) -> Column:
             'places', transform(filter(marks, m -> m < 0), m -> -1 - m),
             'content', filter(ws, (w, i) -> get(marks, i) < 0))), p ->
         element_at(transform(array(filter(concat(
-            array(IF(size(p.content) > 1, xxhash64('^', get(p.content, 0), get(p.content, 1)), NULL)),
-            transform(p.anchors, (at, k) -> IF(at - k < size(p.content), xxhash64(get(ws, at), {chain}), NULL)),
+            array(IF(size(p.content) > 1, hash('^', get(p.content, 0), get(p.content, 1)), NULL)),
+            transform(p.anchors, (at, k) -> IF(at - k < size(p.content), hash(get(ws, at), {chain}), NULL)),
             transform(p.places, (at, k) -> IF(k >= {RUN} AND at - get(p.places, k - {RUN}) = {RUN},
-                xxhash64('', get(p.content, k - 1), get(p.content, k)), NULL))), x -> x IS NOT NULL)), found ->
-            CASE WHEN size(found) > 0 THEN array_sort(array_distinct(transform(found, x -> x & 4294967295)))
-                WHEN {text} = '' THEN found ELSE array(xxhash64(IF(size(ws) > 0, array_join(ws, ' '), {text})) & 4294967295) END
+                hash('', get(p.content, k - 1), get(p.content, k)), NULL))), x -> x IS NOT NULL)), found ->
+            CASE WHEN size(found) > 0 THEN array_sort(array_distinct(found))
+                WHEN {text} = '' THEN found ELSE array(hash(IF(size(ws) > 0, array_join(ws, ' '), {text}))) END
         ), 1)), 1)), 1)), 1)""")
 
 
 def fingerprint(found: str) -> Column:
     """The set's size and its spots, eight hexadecimal digits each."""
-    return F.expr(f"concat(size({found}), ':', array_join(transform({found}, x -> lower(lpad(hex(x), 8, '0'))), ''))")
+    return F.expr(f"concat(size({found}), ':', array_join(transform({found}, x -> lower(right(concat('0000000', hex(x)), 8))), ''))")
 
 
 def parsed(fingerprint: str) -> Column:
@@ -93,24 +95,22 @@ def edits(docs: DataFrame, text: str = "text", following: str = "next") -> DataF
 
 
 def compare(docs: DataFrame) -> DataFrame:
-    """``docs`` (text, spots, next, next_spots) with all of ``RESULTS``."""
+    """``docs`` (text, spots, next, next_spots) with all of ``STORED``."""
     sets = edits(docs).withColumn("edited_spots", spots("edited"))
     return sets.withColumns(
         {
             "edited_sha256": F.sha2("edited", 256),
-            "fingerprint": fingerprint("spots"),
-            "edited_fingerprint": fingerprint("edited_spots"),
             "near_edited": likeness("spots", "edited_spots"),
             "near_next": likeness("spots", "next_spots"),
         }
-    ).drop("edited", "edited_spots")
+    ).drop("edited")
 
 
 _BUCKET = ["bucket", "id_part", "text_part"]
 
 
 def bucketed(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
-    """Rows doc_id, text, place, own (hash of the text), spots, copies (of equal rows) and their bucket."""
+    """Rows doc_id, text, place, own (hash of the text), copies (of equal rows) and their bucket."""
     place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), place.alias("place"))
     rows = rows.withColumns({"own": F.xxhash64("text"), "bucket": F.shiftright("place", BUCKET)})
@@ -118,13 +118,13 @@ def bucketed(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataF
     hot = workspace.store("hot_buckets", counts.select("bucket", F.expr(f"cast(least(40, ceil(log2(n / {HOT})) + 1) AS INT)").alias("bits")))
     none = {"id_part": F.lit(0).cast("bigint"), "text_part": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")}
     if not workspace.rows["hot_buckets"]:
-        return rows.withColumns(none).withColumn("spots", spots("text"))
+        return rows.withColumns(none)
     rows = rows.join(hot, "bucket", "left")
     usual = rows.where("bits IS NULL").withColumns(none)
     parts = {"id_part": F.col("place"), "text_part": F.expr("shiftright(own, 64 - bits)")}
     split = rows.where("bits IS NOT NULL").withColumns(parts)
     split = split.groupBy("bucket", "id_part", "text_part", "doc_id", "place", "own").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    return usual.drop("bits").unionByName(split).withColumn("spots", spots("text"))
+    return usual.drop("bits").unionByName(split)
 
 
 def fingerprints(docs: DataFrame, workspace: Workspace, text: str = "text") -> DataFrame:
@@ -132,21 +132,27 @@ def fingerprints(docs: DataFrame, workspace: Workspace, text: str = "text") -> D
     last the first. Texts are shuffled once; only bucket ends (one in 2**BUCKET) move again."""
     rows = bucketed(docs, workspace, text)
     turn = Window.partitionBy(*_BUCKET).orderBy(F.desc("place"), F.desc("own"))
-    placed = rows.withColumns({"next": F.lead("text").over(turn), "next_spots": F.lead("spots").over(turn), "number": F.row_number().over(turn)})
-    # Bucket ends have no next yet; their text and set and those of bucket heads are kept for the second step.
+    # Sets are made after the shuffle, which the windows need not repeat.
+    placed = rows.repartition(*_BUCKET).withColumn("spots", spots("text"))
+    placed = placed.withColumns({"next": F.lead("text").over(turn), "next_spots": F.lead("spots").over(turn), "number": F.row_number().over(turn)})
+    # Bucket ends have no next yet; their text and that of bucket heads are kept for the second step.
     placed = placed.withColumn("is_end", F.col("next").isNull())
-    kept = F.when(F.col("is_end") | (F.col("number") == 1), F.struct("text", "spots")).alias("kept")
-    first = workspace.store("inside", compare(placed).select(*RESULTS, *_BUCKET, "copies", "number", "is_end", kept))
-    buckets = number_rows(first.where("number = 1").select(*_BUCKET, "kept"), _BUCKET, "at", workspace, "buckets")
+    kept = F.when(F.col("is_end") | (F.col("number") == 1), F.col("text")).alias("kept")
+    first = workspace.store("inside", compare(placed).select(*STORED, *_BUCKET, "copies", "number", "is_end", kept))
+    buckets = number_rows(first.where("number = 1").select(*_BUCKET, "kept", "spots"), _BUCKET, "at", workspace, "buckets")
     last = F.lit(workspace.rows["buckets"])
-    heads = buckets.select((F.col("at") % last + 1).alias("above"), F.col("kept.text").alias("next"), F.col("kept.spots").alias("next_spots"))
-    ends = first.where("is_end").select("doc_id", *_BUCKET, "copies", "kept.text", "kept.spots").join(buckets.select(*_BUCKET, "at"), _BUCKET)
+    heads = buckets.select((F.col("at") % last + 1).alias("above"), F.col("kept").alias("next"), F.col("spots").alias("next_spots"))
+    ends = first.where("is_end").select("doc_id", *_BUCKET, "copies", F.col("kept").alias("text"), "spots").join(buckets.select(*_BUCKET, "at"), _BUCKET)
     across = compare(ends.join(heads, F.col("at") == F.col("above")))
     inside = first.where("NOT is_end")
     if not workspace.rows["hot_buckets"]:
-        return inside.select(*RESULTS).unionAll(across.select(*RESULTS))
+        return _told(inside.select(*STORED).unionAll(across.select(*STORED)))
     # Of equal rows the last one has the next document beside it, the others each other.
-    single = inside.select(*RESULTS, F.lit(1).alias("times")).unionAll(across.select(*RESULTS, F.lit(1).alias("times")))
-    equal = rows.where("copies > 1").withColumns({"next": F.col("text"), "next_spots": F.col("spots")})
-    equal = compare(equal).select(*RESULTS, (F.col("copies") - 1).cast("int").alias("times"))
-    return single.unionAll(equal).withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).select(*RESULTS)
+    single = inside.select(*STORED, F.lit(1).alias("times")).unionAll(across.select(*STORED, F.lit(1).alias("times")))
+    equal = rows.where("copies > 1").withColumn("spots", spots("text")).withColumns({"next": F.col("text"), "next_spots": F.col("spots")})
+    equal = compare(equal).select(*STORED, (F.col("copies") - 1).cast("int").alias("times"))
+    return _told(single.unionAll(equal).withColumn("time", F.explode(F.sequence(F.lit(1), "times"))))
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"fingerprint": fingerprint("spots"), "edited_fingerprint": fingerprint("edited_spots")}).select(*RESULTS)
