@@ -310,15 +310,19 @@ def crowd_links(sets: DataFrame, workspace: Workspace) -> DataFrame:
     fills = F.ceil(F.col("own") * F.col("n") / F.col("rows"))
     shared = F.xxhash64(F.lit(0), F.pmod(F.xxhash64("label"), F.col("n")))
     chunk = F.when(fills > 1, F.xxhash64("label", F.pmod(F.xxhash64("node"), fills))).otherwise(shared).alias("chunk")
-    chunks = full.groupBy("key", chunk).agg(
-        F.collect_list(F.struct("node", "label", "size", F.expr("blocks.block").alias("block"), F.expr("blocks.weight").alias("weight"))).alias("members"),
+    weight = F.expr("transform(blocks, x -> cast(x.weight AS INT))").alias("weight")
+    chunks = full.groupBy("key", "n", chunk).agg(
+        F.collect_list(F.struct("node", "label", "size", F.expr("blocks.block").alias("block"), weight)).alias("members"),
         F.min("label").alias("low"), F.max("label").alias("high"),
     )
     chunks = workspace.store("crowd_chunks", chunks)
-    other = chunks.select("key", F.col("chunk").alias("chunk_"), F.col("members").alias("others"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    # A chunk is compared with itself where it is; only chunks of keys that have several are joined.
+    inside = chunks.where("low < high").select("members", F.col("members").alias("others"))
+    wide = chunks.where("n > 1")
+    other = wide.select("key", F.col("chunk").alias("chunk_"), F.col("members").alias("others"), F.col("low").alias("low_"), F.col("high").alias("high_"))
     several_groups = F.least("low", "low_") < F.greatest("high", "high_")
-    both = chunks.join(other, "key").where((F.col("chunk") <= F.col("chunk_")) & several_groups)
-    return both.select("members", "others").mapInArrow(_compared, "a bigint, b bigint").distinct()
+    across = wide.join(other, "key").where((F.col("chunk") < F.col("chunk_")) & several_groups).select("members", "others")
+    return inside.unionAll(across).mapInArrow(_compared, "a bigint, b bigint").distinct()
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
