@@ -131,18 +131,19 @@ def fingerprints(docs: DataFrame, workspace: Workspace, text: str = "text") -> D
     """Per row of ``docs`` the columns ``RESULTS``; next is the document of the next lower id, after the
     last the first. Texts are shuffled once; only bucket ends (one in 2**BUCKET) move again."""
     rows = bucketed(docs, workspace, text)
-    turn = Window.partitionBy(*_BUCKET).orderBy(F.desc("place"), F.desc("own"))
+    keys = _BUCKET if workspace.rows["hot_buckets"] else _BUCKET[:1]  # constants would hide that rows are where windows need them
+    turn = Window.partitionBy(*keys).orderBy(F.desc("place"), F.desc("own"))
     # Sets are made after the shuffle, which the windows need not repeat.
-    placed = rows.repartition(*_BUCKET).withColumn("spots", spots("text"))
+    placed = rows.repartition(*keys).withColumn("spots", spots("text"))
     placed = placed.withColumns({"next": F.lead("text").over(turn), "next_spots": F.lead("spots").over(turn), "number": F.row_number().over(turn)})
     # Bucket ends have no next yet; their text and that of bucket heads are kept for the second step.
     placed = placed.withColumn("is_end", F.col("next").isNull())
     kept = F.when(F.col("is_end") | (F.col("number") == 1), F.col("text")).alias("kept")
-    first = workspace.store("inside", compare(placed).select(*STORED, *_BUCKET, "copies", "number", "is_end", kept))
-    buckets = number_rows(first.where("number = 1").select(*_BUCKET, "kept", "spots"), _BUCKET, "at", workspace, "buckets")
+    first = workspace.store("inside", compare(placed).select(*STORED, *keys, "copies", "number", "is_end", kept))
+    buckets = number_rows(first.where("number = 1").select(*keys, "kept", "spots"), keys, "at", workspace, "buckets")
     last = F.lit(workspace.rows["buckets"])
     heads = buckets.select((F.col("at") % last + 1).alias("above"), F.col("kept").alias("next"), F.col("spots").alias("next_spots"))
-    ends = first.where("is_end").select("doc_id", *_BUCKET, "copies", F.col("kept").alias("text"), "spots").join(buckets.select(*_BUCKET, "at"), _BUCKET)
+    ends = first.where("is_end").select("doc_id", *keys, "copies", F.col("kept").alias("text"), "spots").join(buckets.select(*keys, "at"), keys)
     across = compare(ends.join(heads, F.col("at") == F.col("above")))
     inside = first.where("NOT is_end")
     if not workspace.rows["hot_buckets"]:
