@@ -60,8 +60,9 @@ FILTER_BITS = 1 << 24
 SIZES = [1]
 while SIZES[-1] < 1 << 40:
     SIZES.append(max(SIZES[-1] + 1, SIZES[-1] * 11 // 10))
-#: Shingles of the sets that are compared with as many others at a time, and blocks that one step of it looks at.
-CHUNK, SLAB = 1 << 16, 4096
+#: Shingles, and sets, that are compared with as many others at a time, counted on both sides of pairs, and numbers
+#: that one step of it holds.
+CHUNK, CHUNK_SETS, SLAB = 1 << 18, 2048, 1 << 21
 
 _RNG = np.random.default_rng(75)
 _FLIP = _RNG.integers(0, 2**32, VALUES, dtype=np.uint32)
@@ -300,7 +301,7 @@ def crowd_links(sets: DataFrame, workspace: Workspace) -> DataFrame:
         F.min("label").alias("low"), F.max("label").alias("high"), F.min("larger").alias("no"), F.max("larger").alias("yes"),
         F.sum("size").alias("shingles"), F.count(F.lit(1)).alias("rows"),
     ).where("low < high AND NOT no AND yes")
-    several = several.select("key", F.expr(f"shingles div {CHUNK} + 1").alias("n"), "rows")
+    several = several.select("key", F.expr(f"greatest(shingles div {CHUNK}, rows div {CHUNK_SETS}) + 1").alias("n"), "rows")
     several = workspace.store("crowd_meetings", several)
     met = maybe_among(placed, "key", several.select("key")).select("key", "node", "label").distinct().join(several, "key")
     met = workspace.store("crowd_met", met)
@@ -332,8 +333,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (a, a_labels, a_sizes, x), (b, b_labels, b_sizes, y) = (_members(batch.column(k), row) for k in (0, 1))
             known = np.intersect1d(x[0], y[0])
             common = np.zeros((len(a), len(b)))
-            for low in range(0, len(known), SLAB):
-                some = known[low : low + SLAB]
+            step = max(64, SLAB // max(len(a), len(b)))
+            for low in range(0, len(known), step):
+                some = known[low : low + step]
                 left, right = (np.zeros((n, len(some)), np.float32) for n in (len(a), len(b)))
                 for side, (block, of, weight) in ((left, x), (right, y)):
                     at = np.minimum(np.searchsorted(some, block), len(some) - 1)
