@@ -282,6 +282,24 @@ def test_learns_what_no_single_term_tells(docs, workspace):
     assert right >= 0.97 * len(found)
 
 
+def test_shards_tell_only_what_moved():
+    """A shard sends the buckets that its rows met, and every number moves by the mean over the shards that moved it."""
+    start = factors.Learner()
+    shards = [factors.Learner(start.state()) for _ in range(3)]
+    for learner, own in zip(shards, ([3, 5], [5, 8], [])):
+        learner.update(np.array(own, int), 1)
+    told = [learner.moved(start) for learner in shards]
+    assert max(sum(map(len, t)) for t in told) < 300
+    mixed = factors.Learner(start.state())
+    mixed.mix(told)
+    z, v = [s.z - start.z for s in shards], [s.v - start.v for s in shards]
+    assert np.allclose(mixed.z[[3, 8]] - start.z[[3, 8]], [z[0][3], z[1][8]]) and np.isclose(mixed.z[5], (z[0][5] + z[1][5]) / 2)
+    assert np.isclose(mixed.z[-1], sum(x[-1] for x in z) / 3)
+    assert np.allclose(mixed.v[5] - start.v[5], (v[0][5] + v[1][5]) / 2, atol=1e-6) and np.allclose(mixed.v[8] - start.v[8], v[1][8], atol=1e-6)
+    rest = np.setdiff1d(np.arange(factors.BUCKETS), [3, 5, 8])
+    assert not mixed.z[rest].any() and np.allclose(mixed.v[rest], start.v[rest])
+
+
 def test_toxicity_on_held_out_rows(spark, documents, folder, workspace):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = factors.train(documents, labels, workspace)

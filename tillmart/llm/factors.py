@@ -20,8 +20,7 @@ holds for all of them. Without training rows every score is 0.5.
 
 from __future__ import annotations
 
-import copy
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +45,9 @@ FALL = -0.25
 #: Bytes of a word's beginnings that are terms too.
 STEMS = (4, 5)
 
+#: Columns of what a shard's learner has moved, see ``Learner.moved``.
+_MOVED = ("weights_at", "weights", "factors_at", "factors")
+
 _TERM = np.zeros(256, bool)
 _TERM[48:58] = _TERM[65:91] = _TERM[97:123] = _TERM[128:] = True
 
@@ -85,9 +87,9 @@ class Learner:
     """The state of training: FTRL-proximal sums for weights and bias (the last), so that rare terms stay at
     0, and factors, whose AdaGrad sums begin anew with every round."""
 
-    def __init__(self) -> None:
-        self.z, self.n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-        self.v = np.random.default_rng(13).normal(0, SPREAD, (BUCKETS, FACTORS))
+    def __init__(self, start: tuple[np.ndarray, ...] | None = None) -> None:
+        fresh = start or (np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1), np.random.default_rng(13).normal(0, SPREAD, (BUCKETS, FACTORS)))
+        self.z, self.n, self.v = [a.copy() for a in fresh]
         self.seen = np.ones((BUCKETS, FACTORS))
 
     def weights(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -114,17 +116,35 @@ class Learner:
         w = self.weights()
         return Model(float(w[-1]), w[:-1].astype(np.float32), np.ascontiguousarray(self.v.T, np.float32))
 
-    def packed(self) -> bytes:
-        return np.concatenate([self.z, self.n, self.v.reshape(-1)]).astype(np.float32).tobytes()
-
-    def mix(self, others: list[np.ndarray]) -> None:
-        """Take over what learners that started from this state have learned: every number moves by the mean
-        over the learners that moved it, so a term that one of them met counts in full."""
-        start = np.frombuffer(self.packed(), np.float32)
-        moved = np.stack(others) - start
-        new = (start + moved.sum(0) / np.maximum(1, (moved != 0).sum(0))).astype(float)
-        size = BUCKETS + 1
-        self.z, self.n, self.v = new[:size], new[size : 2 * size], new[2 * size :].reshape(self.v.shape)
+    def state(self) -> tuple[np.ndarray, ...]:
+        """What a round starts from; ``seen`` begins anew with every round."""
+        return self.z, self.n, self.v
+
+    def packed(self) -> tuple[np.ndarray, np.ndarray]:
+        """The state in single precision: z and n as columns, and the factors."""
+        return np.stack([self.z, self.n], 1).astype(np.float32), self.v.astype(np.float32)
+
+    def moved(self, start: Learner) -> list[bytes]:
+        """Buckets whose numbers differ from the start's, and by how much."""
+        sent = []
+        for own, was in zip(self.packed(), start.packed()):
+            at = np.flatnonzero((own != was).any(1))
+            sent += [at.astype(np.int32).tobytes(), (own[at] - was[at]).tobytes()]
+        return sent
+
+    def mix(self, others: Iterable[Sequence[bytes]]) -> None:
+        """Take over what learners that started from this state have learned, as ``moved`` tells it: every number
+        moves by the mean over the learners that moved it, so a term that one of them met counts in full."""
+        new = self.packed()
+        sums, times = [np.zeros_like(a) for a in new], [np.zeros(a.shape, np.int8) for a in new]
+        for sent in others:
+            for k in range(len(new)):
+                at = np.frombuffer(sent[2 * k], np.int32)
+                by = np.frombuffer(sent[2 * k + 1], np.float32).reshape(len(at), new[k].shape[1])
+                sums[k][at] += by
+                times[k][at] += by != 0
+        pairs, self.v = [a + (s / np.maximum(1, t, dtype=float)) for a, s, t in zip(new, sums, times)]
+        self.z, self.n = pairs[:, 0].copy(), pairs[:, 1].copy()
         self.seen = np.ones(self.v.shape)
 
 
@@ -132,11 +152,12 @@ def _learning(sent: Broadcast, turn: int) -> Callable[[pd.DataFrame], pd.DataFra
     """What one task learns from its rows, in an order that changes from round to round."""
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        own = copy.deepcopy(sent.value)
+        start = Learner(sent.value)
+        own = Learner(sent.value)
         frame = frame.sort_values(["key", "doc_id"])
         for k in np.random.default_rng(turn).permutation(len(frame)):
             own.update(np.asarray(frame["terms"].iloc[k]), int(frame["label"].iloc[k]))
-        return pd.DataFrame({"shard": [int(frame["shard"].iloc[0])], "state": [own.packed()]})
+        return pd.DataFrame([(int(frame["shard"].iloc[0]), *own.moved(start))], columns=["shard", *_MOVED])
 
     return learn
 
@@ -162,12 +183,14 @@ def train(docs: DataFrame, labels: DataFrame, workspace: Workspace, label: str =
     held = workspace.store("terms", held)
     learner = Learner()
     for turn in range(ROUNDS):
-        sent = spark.sparkContext.broadcast(learner)
-        parts = held.groupBy("shard").applyInPandas(_learning(sent, turn), "shard int, state binary").collect()
-        sent.unpersist()
+        # The driver holds one round's state: a start of 10 MB, destroyed after its round, and of every shard what moved.
+        sent = spark.sparkContext.broadcast(learner.state())
+        told = ", ".join(f"{c} binary" for c in _MOVED)
+        parts = held.groupBy("shard").applyInPandas(_learning(sent, turn), f"shard int, {told}").collect()
+        sent.destroy()
         if not parts:
             return Model(0.0, np.zeros(BUCKETS, np.float32), np.zeros((FACTORS, BUCKETS), np.float32))
-        learner.mix([np.frombuffer(p["state"], np.float32) for p in sorted(parts, key=lambda p: p["shard"])])
+        learner.mix([p[c] for c in _MOVED] for p in sorted(parts, key=lambda p: p["shard"]))
     return learner.model()
 
 
