@@ -246,3 +246,16 @@ def test_frequent_product_is_split_in_the_shuffled_lookup(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         for k in SHUFFLED:
             spark.conf.unset(k)
+
+
+def test_line_items_are_not_shuffled_for_suppliers(spark, folder):
+    """The supplier file is far below the threshold; what a join with the nations holds is unknown to Spark."""
+    from tillmart.fixture.sales import sales_raw
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        plan = physical(sales_raw(spark, folder))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(l_suppkey" not in plan and plan.count("BroadcastHashJoin") >= 3

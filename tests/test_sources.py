@@ -3,6 +3,7 @@ from frames import sales
 from pyspark.sql import functions as F
 
 from tillmart.schema import SALES, SALES_COLUMNS, jdbc_column_types
+from tillmart.sources import csv_feed
 from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, decimals, reject_rows, scan_csv_folder
 from tillmart.sources.tables import Target
 
@@ -155,3 +156,32 @@ def test_jdbc_options():
     assert options["createTableColumnTypes"] == jdbc_column_types("dim_seller")
     assert "email VARCHAR(200)" in options["createTableColumnTypes"]
     assert "createTableColumnTypes" not in target.write_options("top_products")
+
+
+def test_cheap_checks_tell_what_taking_texts_apart_tells(spark):
+    """Texts that the short ways take or leave alone need as many decimals as ``decimals`` says."""
+    texts = ["34", "34.0", "34.", "+5.000", "-0", "007", "5e3", "5E-3", "1.25", "1.250", "1.255", "1.00000000001", ".5", ".", "", "e", "1.2.3",
+             "x1.2345", "12a", "1,5", "12345678901.0", "2.5", "0.0125e2", "125e-4"]
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    needs = csv_feed.decimals(F.col("value"))
+    found = rows.select(
+        "value", needs.alias("needs"), F.col("value").rlike(csv_feed._PLAIN_WHOLE).alias("plain"), csv_feed._long(F.col("value"), 2).alias("long")
+    ).collect()
+    assert all(r["needs"] == 0 for r in found if r["plain"]) and sum(r["plain"] for r in found) == 7
+    assert all(r["long"] for r in found if r["needs"] is not None and r["needs"] > 2) and sum(not r["long"] for r in found) > 10
+
+
+def test_absent_columns_are_not_counted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("nothing,known\n1,2\n")
+    found = scan_csv_folder(spark, str(tmp_path), mixed=True, infer=True)
+    assert len(found.collect()) == 1 and {k for _, k in found.dtypes} == {"string"}
+    texts = spark.createDataFrame([("1",)], "id string")
+    assert csv_feed.inferred_types(texts, ["id"])["id"].simpleString() == "int"
+
+
+def test_rejects_are_no_interpreted_filter(spark, tmp_path):
+    """A filter of an array is interpreted, and so was every conversion in it."""
+    (tmp_path / "a.csv").write_text("id,product_price\n1,1.005\n")
+    scan = scan_csv_folder(spark, str(tmp_path), rejects=True)
+    assert "lambda" not in scan._jdf.queryExecution().executedPlan().toString()
+    assert [(r["column_name"], r["reason"]) for r in scan.first()["rejected"]] == [("product_price", "rounded")]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillmart.fixture.oracle import fanout_oracle
 from tillmart.fixture.queries import _fingerprint, _published, star_plan
 from tillmart.fixture.sales import ORDER, sales_raw
+from tillmart.operators import lookup
 from tillmart.operators.enrich import ENRICHED, FACT_COLUMNS, enrich
 from tillmart.operators.lookup import LEAD_COLUMN, fanout_totals
 from tillmart.plans.reports import REPORTS, Marts
@@ -107,6 +108,34 @@ def test_variant_shares_clean_rows_and_equal_members(star, fanout):
     assert person.dimension("customer").count() < star.dimension("customer").count()
 
 
+ODD_SALES = [
+    {}, {"store_state": None}, {"store_state": None, "store_city": "ST1"}, {"product_rating": None}, {"product_color": "odd"},
+    {"store_name": None}, {"product_name": None}, {"sale_date": None}, {"seller_email": "other"}, {"id": None},
+]
+
+
+@pytest.mark.parametrize("digest", ["own", "shared"])
+def test_keys_by_digest_are_those_of_the_columns(spark, monkeypatch, digest):
+    """Also where members share a digest: then the columns are compared."""
+    if digest == "shared":
+        monkeypatch.setattr(lookup, "member_digest", lambda dim: F.when(F.col(dim.lead).isNotNull(), F.lit(1).cast("bigint")))
+    star = star_of(spark, *ODD_SALES)
+    others = {n: star.members(n) for n in star.dims if n != "customer"}
+    keys = [d.key for n, d in star.dims.items() if n != "customer"]
+    wanted = star.clean
+    for name, members in others.items():
+        wanted = lookup.find_key(wanted, star.dims[name], members, how="left")
+    same = lambda df: sorted(map(repr, df.select("id", "sale_day", "sale_quantity", *keys).collect()))
+    assert same(star.numbered) == same(wanted) and len(same(wanted)) == len(ODD_SALES)
+    assert star.fact.count() == star.clean.where(" AND ".join(f"{d.lead} IS NOT NULL" for d in star.dims.values())).count()
+
+
+def test_leads_do_not_travel_with_numbered_sales(spark):
+    star = star_of(spark, {}, {})
+    assert not {"product_name", "seller_email", "store_name", "supplier_name"} & set(star.numbered.columns)
+    assert "looked_up_sales" not in star.workspace.rows
+
+
 def test_person_grain_fact(spark):
     star = star_of(spark, {}, {}, {"customer_age": 40}, grain="person")
     assert star.dimension("customer").count() == 2

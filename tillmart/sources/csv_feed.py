@@ -7,7 +7,7 @@ type is NULL in the row and told in the row's list of rejects.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -30,6 +30,7 @@ MALFORMED = "malformed"  # the line has too many or too few values
 
 _EXACT = T.DecimalType(38, 10)
 _NUMBER = r"^[+-]?([0-9]*)[.]?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+_PLAIN_WHOLE = r"^[+-]?[0-9]+[.]?0*$"
 _WIDE_OPEN = 1 << 40
 
 
@@ -62,7 +63,8 @@ def scan_csv_folder(
     rows = rows.select(
         *[F.col(c) if c in rows.columns else F.lit(None).cast(TEXT).alias(c) for c in SALES_COLUMNS], SOURCE_FILE, CORRUPT
     )
-    kinds = inferred_types(rows) if infer and texts else dict(SALES_COLUMNS)
+    present = [c for c in SALES_COLUMNS if any(c in header for header, _ in groups)]
+    kinds = inferred_types(rows, present) if infer and texts else dict(SALES_COLUMNS)
     wanted = [c for c, asked in ((SOURCE_FILE, source_file), (CORRUPT, corrupt_row)) if asked]
     found = [rejected_values(kinds).alias(REJECTED)] if rejects else []
     return rows.select(*[converted(c, kind).alias(c) for c, kind in kinds.items()], *wanted, *found)
@@ -87,7 +89,8 @@ def converted(column: str, kind: T.DataType) -> Column:
     direct = value.try_cast(kind)  # a decimal is rounded here, which ``rejected_values`` tells
     if not isinstance(kind, T.IntegralType):
         return direct
-    return F.coalesce(direct, F.when(decimals(value) <= 0, value.try_cast(_EXACT).try_cast(kind)))
+    whole = value.rlike(_PLAIN_WHOLE) | (decimals(value) <= 0)  # the first is cheap, and true for nearly all
+    return F.coalesce(direct, F.when(whole, value.try_cast(_EXACT).try_cast(kind)))
 
 
 def decimals(value: Column) -> Column:
@@ -104,23 +107,30 @@ def decimals(value: Column) -> Column:
     return F.when(value.rlike(_NUMBER), F.greatest(needed, F.lit(0)))
 
 
+def _long(value: Column, scale: int) -> Column:
+    """Whether a number's text may need more than ``scale`` decimals; cheap, so that few texts are taken apart."""
+    point = F.instr(value, ".")
+    return value.contains("e") | value.contains("E") | ((point > 0) & (F.length(value) - point > scale))
+
+
 def rejected_values(kinds: dict[str, T.DataType]) -> Column:
     """Per row the values that are not taken over as they are: column, text, reason."""
-    found = []
+    found, none = [], F.array().cast(REJECT)
     for column, kind in kinds.items():
         if isinstance(kind, T.StringType):
             continue
         value, taken = _value(column), converted(column, kind)
         reason = F.when(value.isNotNull() & taken.isNull(), UNREADABLE)
         if isinstance(kind, T.DecimalType):
-            reason = reason.when(decimals(value) > kind.scale, ROUNDED)
-        found.append(F.when(reason.isNotNull(), _reject(F.lit(column), F.col(column), reason)))
-    found.append(F.when(F.col(CORRUPT).isNotNull(), _reject(F.lit(CORRUPT), F.col(CORRUPT), F.lit(MALFORMED))))
-    return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(REJECT)
+            reason = reason.when(_long(value, kind.scale) & (decimals(value) > kind.scale), ROUNDED)
+        found.append(F.when(reason.isNotNull(), _reject(F.lit(column), F.col(column), reason)).otherwise(none))
+    found.append(F.when(F.col(CORRUPT).isNotNull(), _reject(F.lit(CORRUPT), F.col(CORRUPT), F.lit(MALFORMED))).otherwise(none))
+    return F.concat(*found)  # a filter of an array would be interpreted, with all that it is made of
 
 
 def _reject(column: Column, value: Column, reason: Column) -> Column:
-    return F.struct(column.alias("column_name"), value.alias("value"), reason.alias("reason"))
+    """A list of one reject."""
+    return F.array(F.struct(column.alias("column_name"), value.alias("value"), reason.alias("reason"))).cast(REJECT)
 
 
 def reject_rows(rows: DataFrame) -> DataFrame:
@@ -128,20 +138,20 @@ def reject_rows(rows: DataFrame) -> DataFrame:
     return rows.select(SOURCE_FILE, F.col("id"), F.explode(REJECTED).alias("r")).select(SOURCE_FILE, "id", "r.*")
 
 
-def inferred_types(rows: DataFrame) -> dict[str, T.DataType]:
+def inferred_types(rows: DataFrame, present: Sequence[str] = tuple(SALES_COLUMNS)) -> dict[str, T.DataType]:
     """The narrowest of int, bigint, double and string that holds all values of a column, from one pass
-    over all files; a column without values is text."""
+    over all files; a column without values, or not ``present`` in any file, is text."""
     ladder = [T.IntegerType(), T.LongType(), T.DoubleType()]
     fits = [
         F.struct(
             F.count(_value(c)).alias("n"),
             *[F.count(_value(c).try_cast(kind)).alias(f"n{i}") for i, kind in enumerate(ladder)],
         ).alias(c)
-        for c in SALES_COLUMNS
+        for c in present
     ]
-    counts = rows.agg(*fits).first()
-    kinds: dict[str, T.DataType] = {}
-    for c in SALES_COLUMNS:
+    counts = rows.agg(*fits).first() if fits else {}
+    kinds: dict[str, T.DataType] = dict.fromkeys(SALES_COLUMNS, TEXT)
+    for c in present:
         known = counts[c]["n"]
         kinds[c] = next((k for i, k in enumerate(ladder) if known and counts[c][f"n{i}"] == known), TEXT)
     return kinds
