@@ -9,6 +9,7 @@ from tillmart.fixture.oracle import fanout_oracle
 from tillmart.fixture.queries import _fingerprint, _published, star_plan
 from tillmart.fixture.sales import ORDER, sales_raw
 from tillmart.operators import lookup
+from tillmart.operators.clean import clean_sales, first_per_key, stored_clean_sales
 from tillmart.operators.enrich import ENRICHED, FACT_COLUMNS, enrich
 from tillmart.operators.lookup import LEAD_COLUMN, fanout_totals
 from tillmart.plans.reports import REPORTS, Marts
@@ -136,6 +137,56 @@ def test_leads_do_not_travel_with_numbered_sales(spark):
     assert "looked_up_sales" not in star.workspace.rows
 
 
+def raw_near(spark, *rows):
+    """Raw rows with the column ``near`` beside the model's."""
+    return sales(spark, *[{k: v for k, v in r.items() if k != "near"} for r in rows]).withColumn(
+        "near", F.element_at(F.array(*[F.lit(r["near"]) for r in rows]), F.col("sale_quantity"))
+    )
+
+
+SOME_SALES = [
+    {"id": 1, "near": 1}, {"id": 1, "near": 1}, {"id": 2, "near": 1, "customer_age": None}, {"id": 2, "near": 2}, {"id": 3, "near": 2},
+    {"id": None, "near": 1}, {"id": None, "near": 2}, {"id": 4, "near": 3, "product_price": None}, {"id": 5, "near": 3}, {"id": 5, "near": 1},
+]
+
+
+@pytest.mark.parametrize("several", [True, False])
+def test_rows_deduplicated_near_each_other(spark, several):
+    """Ids in several places, the row that wins rejected or not, ids that are NULL: as by a shuffle of all rows."""
+    rows = [{**r, "sale_quantity": n} for n, r in enumerate(SOME_SALES, 1)]
+    rows = rows if several else [{**r, "near": 1} for r in rows]
+    raw, workspace = raw_near(spark, *rows), Workspace(spark)
+    found, wanted = stored_clean_sales(raw, ["sale_quantity"], workspace, "near"), clean_sales(raw, ["sale_quantity"])
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert found.columns == wanted.columns and shown(found) == shown(wanted)
+    assert workspace.rows["clean_sales"] == wanted.count() and workspace.rows["several_ids"] == (3 if several else 0)
+
+
+def test_whole_rows_are_not_shuffled_for_their_ids(spark, folder):
+    from tillmart.fixture.sales import NEAR
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        plan = first_per_key(sales_raw(spark, folder), "id", ORDER, NEAR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("hashpartitioning(id" in line or ", id#" in line.split("hashpartitioning")[1] for line in dealt)
+
+
+def test_large_dimensions_are_looked_up_after_numbering(spark, monkeypatch):
+    wanted = star_of(spark, *ODD_SALES)
+    wanted.prepare()
+    monkeypatch.setattr(lookup, "EARLY", 0)
+    late = star_of(spark, *ODD_SALES)
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert "product_id" not in late._placed[0].columns and "product_id" in wanted._placed[0].columns
+    assert shown(late.numbered.select(*wanted.numbered.columns)) == shown(wanted.numbered)
+    for name, table in wanted.tables().items():
+        assert shown(late.tables()[name]) == shown(table), name
+
+
 def test_person_grain_fact(spark):
     star = star_of(spark, {}, {}, {"customer_age": 40}, grain="person")
     assert star.dimension("customer").count() == 2

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.fixture.sales import ORDER, sales_raw
+from tillmart.fixture.sales import NEAR, ORDER, sales_raw
 from tillmart.functions.calendar import calendar_parts, parse_sale_date
 from tillmart.functions.measures import amount
 from tillmart.operators.checks import duplicate_keys, orphan_keys, violation_counts
@@ -47,7 +47,7 @@ def star_plan(spark: SparkSession, folder: str) -> StarPlan:
     """The star of a folder; its tables are written once per Spark application and state of the files."""
     slot = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if slot not in _PLANS:
-        _PLANS[slot] = StarPlan(sales_raw(spark, folder), Workspace(spark), ORDER)
+        _PLANS[slot] = StarPlan(sales_raw(spark, folder), Workspace(spark), ORDER, near=NEAR)
     return _PLANS[slot]
 
 
@@ -147,7 +147,7 @@ def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows read, kept by cleaning, and stored as facts, all counted while they are written."""
     raw = sales_raw(spark, folder).withColumn(REJECTED, F.array().cast(REJECT))
     ingest = Ingest(raw)
-    star = StarPlan(ingest.rows, Workspace(spark), ORDER)
+    star = StarPlan(ingest.rows, Workspace(spark), ORDER, near=NEAR)
     star.keyed  # noqa: B018  (writes clean rows and fact)
     rows = star.workspace.rows
     counted = [("loaded", ingest.loaded), ("clean", rows["clean_sales"]), ("fact", rows["fact_sales"])]
@@ -260,10 +260,10 @@ def kept_star(spark: SparkSession, folder: str) -> StarPlan:
     if slot not in _KEPT:
         raw, order = sales_raw(spark, folder), F.floor(F.col("id") / 10)
         workspace = Workspace(spark)
-        first = StarPlan(raw.where(order % 3 != 0), workspace, ORDER)
+        first = StarPlan(raw.where(order % 3 != 0), workspace, ORDER, near=NEAR)
         target = Target(workspace.path("star"))
         store_star({**first.tables(write_fact=False), **first.key_maps()}, target)
-        _KEPT[slot] = StarPlan(raw.where(order % 5 != 0), Workspace(spark), ORDER, known=load_keys(spark, target, DIMENSIONS))
+        _KEPT[slot] = StarPlan(raw.where(order % 5 != 0), Workspace(spark), ORDER, known=load_keys(spark, target, DIMENSIONS), near=NEAR)
     return _KEPT[slot]
 
 

@@ -55,6 +55,9 @@ COLUMNS: dict[str, str] = {
 # Columns beside the model's that settle which of several rows with one id survives.
 EXTRA = ["l_partkey", "l_suppkey", "l_shipdate", "l_discount", "l_tax"]
 
+# The column that the last large join deals the rows out by; rows with one id usually share it.
+NEAR = "l_orderkey"
+
 ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "sale_quantity", "sale_total_price", "l_discount", "l_tax"]
 
 
@@ -66,14 +69,16 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
 
     # Tables are joined as they are stored: of a join's result Spark doesn't know the size, and would shuffle the
     # line items for the smallest table. The larger tables first, while the rows are narrow.
-    nation = table("nation")
+    nation, part = table("nation"), table("part")
     orders = table("orders").join(table("customer"), F.expr("o_custkey = c_custkey"))
     return (
         table("lineitem")
-        .join(table("part"), F.expr("l_partkey = p_partkey"))
+        .join(part, F.expr("l_partkey = p_partkey"))
+        .drop("p_partkey")  # equal to l_partkey: one of them travels
         .join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(table("supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(nation.alias("cn"), F.expr("c_nationkey = cn.n_nationkey"))
         .join(nation.alias("sn"), F.expr("s_nationkey = sn.n_nationkey"))
-        .select(*[F.expr(sql).alias(name) for name, sql in COLUMNS.items()], *EXTRA)
+        .withColumn("p_partkey", F.col("l_partkey").cast(part.schema["p_partkey"].dataType))
+        .select(*[F.expr(sql).alias(name) for name, sql in COLUMNS.items()], *EXTRA, NEAR)
     )

@@ -19,6 +19,8 @@ LOOKUPS = (BUSINESS_KEY, LEAD_COLUMN)
 # rows are narrow when they meet a dimension that has to be shuffled.
 JOIN_ORDER = ("time", "store", "seller", "supplier", "product", "customer")
 
+# Members of a dimension whose keys are looked up before the sales are numbered: about as many as Spark broadcasts.
+EARLY = 500_000
 
 _NEEDED = tuple(DIMENSIONS["customer"].sources)
 
@@ -63,18 +65,23 @@ def digested(sales: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     return sales.withColumns({_digest(name): member_digest(dim) for name, dim in dims.items()})
 
 
-def key_by_digest(sales: DataFrame, dim: Dimension, numbered: DataFrame, workspace: Workspace) -> DataFrame:
-    """Add the key of ``sales`` whose members are all among ``numbered``, and drop the dimension's columns; NULL
-    without a lead. As :func:`find_key` with a left join, but eight bytes per row are looked up.
+def digest_table(dim: Dimension, numbered: DataFrame, workspace: Workspace) -> DataFrame | None:
+    """Digest and key of every member that has one; None if two members share a digest.
 
-    That is exact, as no two members have one digest: that is counted, and if it isn't so the columns are compared.
-    Digests and keys are written, so that Spark knows their size and broadcasts them below its threshold.
+    Written, so that Spark knows its size and broadcasts it below its threshold.
     """
-    digest, kept = _digest(dim.name), (*_NEEDED, SALE_DAY)
+    digest = _digest(dim.name)
     members = workspace.store(f"digests_{dim.name}", numbered.select(member_digest(dim).alias(digest), dim.key).where(F.col(digest).isNotNull()))
-    several = members.groupBy(digest).count().where("count > 1")
-    rows = find_key(sales, dim, numbered, how="left") if not several.isEmpty() else sales.join(members, digest, "left")
-    return rows.drop(digest, *[c for c in dim.sources if c not in kept])
+    return members if members.groupBy(digest).count().where("count > 1").isEmpty() else None
+
+
+def key_by_digest(sales: DataFrame, dim: Dimension, numbered: DataFrame, digests: DataFrame | None) -> DataFrame:
+    """Add the key of ``sales`` whose members are all among ``numbered``; NULL without a lead. As :func:`find_key`
+    with a left join, but eight bytes per row are looked up. That is exact, as no two members have one digest; if
+    some have (no ``digests``), the columns are compared."""
+    digest = _digest(dim.name)
+    rows = find_key(sales, dim, numbered, how="left") if digests is None else sales.join(digests, digest, "left")
+    return rows.drop(digest)
 
 
 def all_found(rows: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
@@ -99,20 +106,41 @@ def keyed_sales(
     return keyed_columns(rows, dims)
 
 
-def numbered_sales(
+def placed_sales(
     clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], workspace: Workspace, known: DataFrame | None = None
-) -> DataFrame:
-    """All clean sales with the keys of the other dimensions and, as one sale is one customer, a customer
-    key by rank of the sale's id, after the customers that are ``known``. Both the customer dimension and
-    the fact are read from this table."""
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """All clean sales with a customer key by rank of the sale's id, as one sale is one customer, after the customers
+    that are ``known``, and with the keys of the other dimensions. Both the customer dimension and the fact are
+    read from this table.
+
+    Of dimensions with more than ``EARLY`` members the sales have the digest only. To look it up takes a shuffle,
+    which whoever needs the key does without the customer's columns: :func:`late_keys` with the returned tables.
+    """
     found = [n for n in JOIN_ORDER if n != "customer"]
+    digests = {n: digest_table(dims[n], numbered[n], workspace) for n in found}
+    late = {n: digests[n] for n in found if digests[n] is not None and workspace.rows[f"digests_{n}"] > EARLY}
     rows = digested(clean, {n: dims[n] for n in found})
     for name in found:
-        rows = key_by_digest(rows, dims[name], numbered[name], workspace)
+        rows = rows if name in late else key_by_digest(rows, dims[name], numbered[name], digests[name])
+        rows = rows.drop(*[c for c in dims[name].sources if c not in (*_NEEDED, SALE_DAY)])
     customer = dims["customer"]
     if known is not None:
-        return number_onto(rows, known, customer.match, customer.key, workspace, "numbered_sales")
-    return number_rows(rows, customer.match, customer.key, workspace, "numbered_sales")
+        return number_onto(rows, known, customer.match, customer.key, workspace, "numbered_sales"), late
+    return number_rows(rows, customer.match, customer.key, workspace, "numbered_sales"), late
+
+
+def late_keys(placed: DataFrame, late: dict[str, DataFrame]) -> DataFrame:
+    """``placed`` sales with the keys that were not looked up before."""
+    for name, digests in late.items():
+        placed = placed.join(digests, _digest(name), "left").drop(_digest(name))
+    return placed
+
+
+def numbered_sales(
+    clean: DataFrame, dims: dict[str, Dimension], numbered: dict[str, DataFrame], workspace: Workspace, known: DataFrame | None = None
+) -> DataFrame:
+    """All clean sales with all six keys, see :func:`placed_sales`."""
+    return late_keys(*placed_sales(clean, dims, numbered, workspace, known))
 
 
 def keyed_columns(rows: DataFrame, dims: dict[str, Dimension]) -> DataFrame:

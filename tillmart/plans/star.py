@@ -13,9 +13,9 @@ from threading import Lock
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from tillmart.operators.clean import clean_sales
+from tillmart.operators.clean import stored_clean_sales
 from tillmart.operators.dimensions import members, stored_form, with_former
-from tillmart.operators.lookup import BUSINESS_KEY, all_found, fact_sales, keyed_columns, keyed_sales, numbered_sales
+from tillmart.operators.lookup import BUSINESS_KEY, all_found, fact_sales, keyed_columns, keyed_sales, late_keys, placed_sales
 from tillmart.operators.numbering import number_rows
 from tillmart.schema import dimensions
 from tillmart.workspace import Workspace
@@ -32,6 +32,7 @@ class StarPlan:
     ``order`` decides which of several rows with one id survives. ``lookup`` and ``grain``
     select the fact's key lookup and the customer dimension, see the README. ``known`` are the
     members of an earlier load by dimension, as :meth:`key_maps` gives them: they keep their keys.
+    ``near`` names a column of ``raw`` that rows with one id usually share and that they are dealt out by.
     """
 
     def __init__(
@@ -42,6 +43,7 @@ class StarPlan:
         lookup: str = BUSINESS_KEY,
         grain: str = "sale",
         known: Mapping[str, DataFrame] | None = None,
+        near: str = "",
     ):
         self.raw = raw
         self.workspace = workspace
@@ -50,7 +52,8 @@ class StarPlan:
         self.grain = grain
         self.dims = dimensions(grain)
         self.known = dict(known or {})
-        self._built: dict[str, DataFrame] = {}
+        self.near = near
+        self._built: dict = {}
         self._stored: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in ("clean", "keyed", "numbered", "sale_ids", *self.dims)}
 
@@ -58,14 +61,14 @@ class StarPlan:
         """The same clean rows with another lookup or customer grain; what agrees is shared."""
         known = {n: df for n, df in self.known.items() if n != "customer" or (grain or self.grain) == self.grain}
         other = StarPlan(self.raw, Workspace(self.workspace.spark), self.order, lookup or self.lookup,
-                         grain or self.grain, known)
+                         grain or self.grain, known, self.near)
         self.clean  # noqa: B018  (written before it is shared)
         shared = [n for n in ("clean", *self.dims) if n == "clean" or self.dims[n] == other.dims[n]]
         shared += ["numbered"] if self.dims == other.dims else []
         other._built.update({n: self._built[n] for n in shared if n in self._built})
         return other
 
-    def _once(self, name: str, build) -> DataFrame:
+    def _once(self, name: str, build):
         with self._locks[name]:
             if name not in self._built:
                 self._built[name] = build()
@@ -73,23 +76,27 @@ class StarPlan:
 
     @property
     def clean(self) -> DataFrame:
-        return self._once("clean", lambda: self.workspace.store("clean_sales", clean_sales(self.raw, self.order)))
+        return self._once("clean", lambda: stored_clean_sales(self.raw, self.order, self.workspace, self.near))
 
     @property
     def one_customer_per_sale(self) -> bool:
         return self.dims["customer"].unique_lead
 
+    @property
+    def _placed(self) -> tuple[DataFrame, dict[str, DataFrame]]:
+        others = {n: self.members(n) for n in self.dims if n != "customer"}
+        return self._once("numbered", lambda: placed_sales(self.clean, self.dims, others, self.workspace, self.known.get("customer")))
+
     @property
     def numbered(self) -> DataFrame:
         """Clean sales with all six keys, where one sale is one customer."""
-        others = {n: self.members(n) for n in self.dims if n != "customer"}
-        return self._once("numbered", lambda: numbered_sales(self.clean, self.dims, others, self.workspace, self.known.get("customer")))
+        return late_keys(*self._placed)
 
     def members(self, name: str) -> DataFrame:
         """Key and source columns of a dimension."""
         if name == "customer" and self.one_customer_per_sale:
             customer = self.dims[name]
-            now = self.numbered.select(customer.key, *customer.sources)
+            now = self._placed[0].select(customer.key, *customer.sources)
             return with_former(now, self.known[name], customer) if name in self.known else now
         return self._once(name, lambda: self._members(name))
 
