@@ -187,6 +187,18 @@ def test_large_dimensions_are_looked_up_after_numbering(spark, monkeypatch):
         assert shown(late.tables()[name]) == shown(table), name
 
 
+def test_loads_share_clean_rows(spark):
+    """As stars of their own raw rows, but cleaned once."""
+    rows = [{"id": i % 7 or None, "product_name": f"p{i}", "customer_age": i % 5 or None} for i in range(40)]
+    star = star_of(spark, *rows)
+    odd = F.col("id") % 2 == 1
+    part, alone = star.load(odd), StarPlan(star.raw.where(odd), Workspace(spark))
+    shown = lambda df: sorted(map(repr, df.collect()))
+    for name, table in alone.tables().items():
+        assert shown(part.tables()[name]) == shown(table), name
+    assert "clean_sales" not in part.workspace.rows and "clean_sales" in star.workspace.rows
+
+
 def test_person_grain_fact(spark):
     star = star_of(spark, {}, {}, {"customer_age": 40}, grain="person")
     assert star.dimension("customer").count() == 2

@@ -258,12 +258,11 @@ def kept_star(spark: SparkSession, folder: str) -> StarPlan:
     of the orders, the second four fifths: some members are new, some have gone."""
     slot = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if slot not in _KEPT:
-        raw, order = sales_raw(spark, folder), F.floor(F.col("id") / 10)
-        workspace = Workspace(spark)
-        first = StarPlan(raw.where(order % 3 != 0), workspace, ORDER, near=NEAR)
-        target = Target(workspace.path("star"))
+        star, order = star_plan(spark, folder), F.floor(F.col("id") / 10)
+        first = star.load(order % 3 != 0)
+        target = Target(first.workspace.path("star"))
         store_star({**first.tables(write_fact=False), **first.key_maps()}, target)
-        _KEPT[slot] = StarPlan(raw.where(order % 5 != 0), Workspace(spark), ORDER, known=load_keys(spark, target, DIMENSIONS), near=NEAR)
+        _KEPT[slot] = star.load(order % 5 != 0, known=load_keys(spark, target, DIMENSIONS))
     return _KEPT[slot]
 
 

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tillmart.operators.clean import stored_clean_sales
 from tillmart.operators.dimensions import members, stored_form, with_former
@@ -68,6 +68,13 @@ class StarPlan:
         other._built.update({n: self._built[n] for n in shared if n in self._built})
         return other
 
+    def load(self, ids: Column, known: Mapping[str, DataFrame] | None = None) -> StarPlan:
+        """The star of the sales that meet ``ids``, a condition on the sale's id alone: which of several rows with
+        one id survives does not depend on it, so the clean rows of all loads are written once."""
+        other = StarPlan(self.raw.where(ids), Workspace(self.workspace.spark), self.order, self.lookup, self.grain, known, self.near)
+        other._built["clean"] = self.clean.where(ids)
+        return other
+
     def _once(self, name: str, build):
         with self._locks[name]:
             if name not in self._built:
