@@ -187,6 +187,17 @@ def test_large_dimensions_are_looked_up_after_numbering(spark, monkeypatch):
         assert shown(late.tables()[name]) == shown(table), name
 
 
+@pytest.mark.parametrize("digest", ["own", "shared"])
+def test_person_keys_by_digest(spark, monkeypatch, digest):
+    if digest == "shared":
+        monkeypatch.setattr(lookup, "member_digest", lambda dim: F.when(F.col(dim.lead).isNotNull(), F.lit(1).cast("bigint")))
+    star = star_of(spark, *ODD_SALES, {"customer_email": None}, {"customer_age": 40}, grain="person")
+    members = {n: star.members(n) for n in star.dims}
+    shown = lambda df: sorted(map(repr, df.collect()))
+    assert shown(star.keyed) == shown(lookup.keyed_sales(star.clean, star.dims, members)) and star.keyed.count() > 5
+    assert set(star.workspace.rows) >= {f"digests_{n}" for n in star.dims}
+
+
 def test_loads_share_clean_rows(spark):
     """As stars of their own raw rows, but cleaned once."""
     rows = [{"id": i % 7 or None, "product_name": f"p{i}", "customer_age": i % 5 or None} for i in range(40)]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 
 from tillmart.operators.clean import stored_clean_sales
 from tillmart.operators.dimensions import members, stored_form, with_former
-from tillmart.operators.lookup import BUSINESS_KEY, all_found, fact_sales, keyed_columns, keyed_sales, late_keys, placed_sales
+from tillmart.operators.lookup import BUSINESS_KEY, all_found, fact_sales, keyed_columns, keyed_sales, keyed_sales_by_digest, late_keys, placed_sales
 from tillmart.operators.numbering import number_rows
 from tillmart.schema import dimensions
 from tillmart.workspace import Workspace
@@ -125,6 +125,8 @@ class StarPlan:
         if self.one_customer_per_sale and self.lookup == BUSINESS_KEY:
             return keyed_columns(all_found(self.numbered, self.dims), self.dims)
         numbered = {name: self.members(name) for name in self.dims}
+        if self.lookup == BUSINESS_KEY:
+            return keyed_sales_by_digest(self.clean, self.dims, numbered, self.workspace)
         return keyed_sales(self.clean, self.dims, numbered, self.lookup)
 
     @property
