@@ -247,6 +247,24 @@ def test_near_edge_cases(docs, workspace, spark):
     assert minhash.groups(docs(ODD).limit(0), Workspace(spark)).collect() == []
 
 
+def test_texts_are_cut_by_size_and_stay_in_python(docs, workspace, monkeypatch):
+    cut, most = minhash.shingle_sets, minhash.PART_BYTES
+
+    def small(texts):
+        assert len(texts) <= 1 or texts.nbytes <= most
+        return cut(texts)
+
+    monkeypatch.setattr(minhash, "shingle_sets", small)
+    rng = random.Random(13)
+    texts = [prose(rng, 4000) for _ in range(200)] + ["", None, "x " * most]
+    texts += [edited(rng, t, 5) for t in texts[:100]]
+    assert sum(len(t or "") for t in texts[:200]) > 2 * most
+    df = docs([(i, t, "en", "s", None) for i, t in enumerate(texts)]).coalesce(1)
+    assert minhash.with_sets(df).columns == ["doc_id", "lang", "source", "n_chars", "n_shingles", "node", "signature"]
+    found = {r["doc_id"]: r["component_id"] for r in minhash.groups(df, workspace).collect()}
+    assert found == {i: i - 203 if i >= 203 else i for i in range(303)}
+
+
 def test_unite_follows_long_paths(spark, workspace):
     n = 300
     labels = spark.range(n).selectExpr("id AS node", "id AS label")
