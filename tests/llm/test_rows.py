@@ -247,6 +247,24 @@ def test_near_edge_cases(docs, workspace, spark):
     assert minhash.groups(docs(ODD).limit(0), Workspace(spark)).collect() == []
 
 
+def test_chunks_are_sent_once(docs, workspace, monkeypatch):
+    compared = minhash._compared
+
+    def once(batches):
+        def seen():
+            for batch in batches:
+                assert not any(r["members"] == r["others"] for r in batch.to_pylist())
+                yield batch
+
+        return compared(seen())
+
+    monkeypatch.setattr(minhash, "_compared", once)
+    rng = random.Random(14)
+    base = prose(rng, 150)
+    minhash.groups(docs([(i, edited(rng, base, rng.randint(2, 6)), "en", "s", None) for i in range(60)]), workspace)
+    assert workspace.rows["crowd_chunks"] > 0
+
+
 def test_texts_are_cut_by_size_and_stay_in_python(docs, workspace, monkeypatch):
     cut, most = minhash.shingle_sets, minhash.PART_BYTES
 
