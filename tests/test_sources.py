@@ -1,7 +1,10 @@
+import gzip
+
 import pytest
 from frames import sales
 from pyspark.sql import functions as F
 
+from tillmart.fixture.queries import registry
 from tillmart.schema import SALES, SALES_COLUMNS, jdbc_column_types
 from tillmart.sources import csv_feed
 from tillmart.sources.csv_feed import CORRUPT, SOURCE_FILE, decimals, reject_rows, scan_csv_folder
@@ -185,3 +188,20 @@ def test_rejects_are_no_interpreted_filter(spark, tmp_path):
     scan = scan_csv_folder(spark, str(tmp_path), rejects=True)
     assert "lambda" not in scan._jdf.queryExecution().executedPlan().toString()
     assert [(r["column_name"], r["reason"]) for r in scan.first()["rejected"]] == [("product_price", "rounded")]
+
+
+def test_packed_files_are_read(spark, tmp_path, row):
+    """Files that are packed, beside plain ones."""
+    write_csv(tmp_path, "a.csv", COLUMNS, row)
+    write_csv(tmp_path, "b.csv", COLUMNS[::-1], {**row, "id": 2})
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress((tmp_path / "b.csv").read_bytes()))
+    (tmp_path / "b.csv").unlink()
+    read = {r["id"]: r.asDict() for r in scan_csv_folder(spark, str(tmp_path), mixed=True).collect()}
+    assert read == {row["id"]: row, 2: {**row, "id": 2}}
+
+
+@pytest.mark.parametrize("name", ["scan_csv_folder", "scan_csv_inferred"])
+def test_feeds_are_packed(spark, folder, name):
+    """As plain text a feed is several times its tables, and the largest part of what such a query writes."""
+    files = registry()[name](spark, folder).inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)

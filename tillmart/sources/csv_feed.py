@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tillmart.schema import SALES_COLUMNS, TEXT
 
-PATTERN = "*.csv"
+PATTERN = "*.{csv,csv.gz}"
 SOURCE_FILE = "source_file"
 CORRUPT = "corrupt_row"
 REJECTED = "rejected"
@@ -44,7 +44,7 @@ def scan_csv_folder(
     corrupt_row: bool = False,
     rejects: bool = False,
 ) -> DataFrame:
-    """All CSV files of a folder as sales rows, columns found by name.
+    """All CSV files of a folder, plain or as ``.csv.gz``, as sales rows, columns found by name.
 
     Types come from the model, so codes such as ``00123`` stay text, and a whole number may be written
     ``34.0``. One header is read and every file must have it, else the scan fails. With ``mixed`` the
