@@ -120,8 +120,7 @@ def union_files(spark: SparkSession, folder: str) -> DataFrame:
     layouts = [columns, columns[::-1], [c for c in columns if c != "seller_postal_code"]]
     part = F.coalesce(F.col("id") % len(layouts), F.lit(0))
     for number, layout in enumerate(layouts):
-        rows = raw.where(part == number).select(*layout)
-        rows.write.option("header", True).mode("append").csv(feed)
+        _feed(raw.where(part == number).select(*layout), feed)
     return scan_csv_folder(spark, feed, mixed=True)
 
 
