@@ -200,7 +200,7 @@ def test_packed_files_are_read(spark, tmp_path, row):
     assert read == {row["id"]: row, 2: {**row, "id": 2}}
 
 
-@pytest.mark.parametrize("name", ["scan_csv_folder", "scan_csv_inferred", "union_sales_files"])
+@pytest.mark.parametrize("name", ["scan_csv_folder", "union_sales_files", "ingest_rejects", "scan_csv_inferred"])
 def test_feeds_are_packed(spark, folder, name):
     """As plain text a feed is several times its tables, and the largest part of what such a query writes."""
     files = registry()[name](spark, folder).inputFiles()

@@ -138,7 +138,7 @@ def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
             "sale_quantity": F.when(every(17), "2.5").otherwise(text["sale_quantity"]),
         }
     )
-    planted.write.option("header", True).csv(feed)
+    _feed(planted, feed)
     scan = scan_csv_folder(spark, feed, source_file=True, rejects=True)
     told = reject_rows(scan).groupBy("column_name", "reason", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
     kept = scan.agg(
