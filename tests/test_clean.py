@@ -2,10 +2,13 @@ import datetime
 import random
 from decimal import Decimal
 
+from conftest import rows_of
 from frames import sales
 from pyspark.sql import functions as F
 
-from tillmart.operators.clean import clean_sales, first_per_key
+from tillmart.fixture.queries import registry
+from tillmart.operators.clean import clean_sales, first_per_key, first_rows
+from tillmart.workspace import Workspace
 
 
 def test_bad_row_can_win_over_good_one(spark):
@@ -67,3 +70,20 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "row_number(), 1, Final" in above and "row_number(), 1, Partial" in below
     assert kept.where("id = -1").collect()[0]["v"] == 0
     assert kept.count() == 20001
+
+
+def test_first_rows_equal_first_per_key(spark):
+    """Keys under one value of the near column and under several, repeated rows and NULLs."""
+    rng = random.Random(3)
+    pick = lambda n: rng.choice([None, *range(n)])
+    rows = [(pick(40), pick(6), pick(3), pick(3)) for _ in range(600)] + [(100 + k, k, pick(3), pick(3)) for k in range(50) for _ in range(3)]
+    df = spark.createDataFrame(rows, "id bigint, near bigint, a int, b int")
+    for part in (df, df.where("id >= 100")):  # the second has no key under several values
+        found = first_rows(part, "id", ["b"], Workspace(spark), "near")
+        assert rows_of(found) == rows_of(first_per_key(part, "id", ["b"]))
+
+
+def test_dedup_by_id_leaves_rows_where_they_are(spark, folder):
+    """Whole rows are not dealt out by their id once more."""
+    plan = registry()["dedup_by_id"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id#" not in plan

@@ -13,7 +13,7 @@ from tillmart.fixture.sales import NEAR, ORDER, sales_raw
 from tillmart.functions.calendar import calendar_parts, parse_sale_date
 from tillmart.functions.measures import amount
 from tillmart.operators.checks import duplicate_keys, orphan_keys, violation_counts
-from tillmart.operators.clean import age_known, first_per_key, price_positive
+from tillmart.operators.clean import age_known, first_rows, price_positive
 from tillmart.operators.enrich import enrich
 from tillmart.operators.lookup import fanout_totals, find_key
 from tillmart.operators.numbering import number_rows
@@ -314,7 +314,7 @@ def registry() -> dict[str, Query]:
         "check_pk_duplicates_negative": pk_duplicates_negative,
         "check_fk_orphans": fk_orphans,
         "check_fk_orphans_negative": fk_orphans_negative,
-        "dedup_by_id": lambda s, d: _sales(first_per_key(sales_raw(s, d), "id", ORDER)),
+        "dedup_by_id": lambda s, d: _sales(first_rows(sales_raw(s, d), "id", ORDER, Workspace(s), NEAR)),
         "filter_age_not_null": lambda s, d: _sales(age_known(sales_raw(s, d))),
         "filter_price_positive": lambda s, d: _sales(price_positive(sales_raw(s, d))),
         "parse_sale_date": lambda s, d: _published(parsed_dates(s, d)),
