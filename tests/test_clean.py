@@ -2,12 +2,15 @@ import datetime
 import random
 from decimal import Decimal
 
+import pytest
 from conftest import rows_of
 from frames import sales
 from pyspark.sql import functions as F
 
-from tillmart.fixture.queries import registry
+from tillmart.fixture import sales as raw_sales
+from tillmart.fixture.queries import _READ, registry
 from tillmart.operators.clean import clean_sales, first_per_key, first_rows
+from tillmart.sources.tables import folder_bytes
 from tillmart.workspace import Workspace
 
 
@@ -87,3 +90,14 @@ def test_dedup_by_id_leaves_rows_where_they_are(spark, folder):
     """Whole rows are not dealt out by their id once more."""
     plan = registry()["dedup_by_id"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(id#" not in plan
+
+
+@pytest.mark.parametrize("name", ["check_fk_orphans"])
+def test_raw_rows_are_dealt_into_parts_of_bounded_size(spark, folder, monkeypatch, name):
+    """What the clean rows of these queries are found from: the more input, the more parts, whatever Spark would merge."""
+    monkeypatch.setattr(raw_sales, "PART_BYTES", 1000)
+    assert {"lineitem", "orders"} <= set(_READ) and name in registry()
+    parts = -(-sum(folder_bytes(spark, f"{folder}/{t}.parquet") for t in ("lineitem", "orders")) // 1000)
+    raw = raw_sales.sales_raw(spark, folder)
+    assert f", {parts}), REPARTITION_BY_NUM" in raw._jdf.queryExecution().executedPlan().toString()
+    assert raw.count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()

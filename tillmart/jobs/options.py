@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tillmart.sources.tables import Target
+from tillmart.sources.tables import Target, folder_bytes
 
 PARTITION_BYTES = 128 * 1024 * 1024  # input per shuffle partition that a task sorts without much spilling
 LARGE_PARTITION_BYTES = 1024 * 1024 * 1024  # from MANY partitions on: fewer, larger blocks to fetch
@@ -43,13 +43,6 @@ def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-input_bytes // size))
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of a folder's files, as the file system sums it up."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return files.getContentSummary(path).getLength()
-
-
 def size_partitions(spark: SparkSession, folder: str | None, input_bytes: int | None) -> None:
     """Shuffle partitions by the given size, else by that of the folder's files."""
     size = input_bytes or (folder_bytes(spark, folder) if folder else 0)
