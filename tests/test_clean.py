@@ -92,7 +92,7 @@ def test_dedup_by_id_leaves_rows_where_they_are(spark, folder):
     assert "hashpartitioning(id#" not in plan
 
 
-@pytest.mark.parametrize("name", ["check_fk_orphans"])
+@pytest.mark.parametrize("name", ["load_counts", "check_fk_orphans"])
 def test_raw_rows_are_dealt_into_parts_of_bounded_size(spark, folder, monkeypatch, name):
     """What the clean rows of these queries are found from: the more input, the more parts, whatever Spark would merge."""
     monkeypatch.setattr(raw_sales, "PART_BYTES", 1000)
