@@ -13,6 +13,7 @@ from llm.conftest import LONG, ODD
 from pyspark.sql import functions as F
 
 from tillmart.llm import exact, lines, minhash, mixing, spots, warc
+from tillmart.llm.queries import registry
 from tillmart.workspace import Workspace
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -707,6 +708,37 @@ def test_a_shared_beginning_ends_in_the_first_step(spark, workspace, n):
     assert n <= workspace.rows["line_parts1"] <= 8 * n and workspace.rows["line_left1"] == 0
 
 
+def test_short_lines_are_compared(docs, workspace):
+    """Lines of every length find their near copies, those of one or two characters too, in crowds as in pairs."""
+    rng = random.Random(16)
+    short = ["a", "b", "ab", "cab", "yes, it is", "yes, it isn", "total: 17", "total: 18", "Chapter 1", "Chapter 12", "é😀", "é"]
+    short += ["".join(rng.choices("abcdefgh", k=rng.randint(5, 12))) for _ in range(40)] + [f"page {k} of 999" for k in range(100, 160)]
+    short += [mutated(rng, line, 1).strip(SPACE) or "z" for line in short[12:52]]
+    found = lines.report(docs([(1, "total: 17", "en", "s", 9), (2, "total: 18", "en", "s", 9)]), workspace).collect()
+    assert sorted((r["doc_id"], r["n_near"], r["n_dropped"]) for r in found) == [(1, 1, 0), (2, 1, 1)]
+    check_lines(docs([(i, "\n".join(rng.choices(short, k=rng.randint(1, 4))), "en", "s", None) for i in range(150)]))
+
+
+def test_the_query_takes_lines_out_of_the_texts(spark, documents, workspace, folder):
+    """The text without the dropped lines is made; what the query returns of it is its digest."""
+    cleaned = lines.clean(documents, workspace).select("doc_id", F.sha2("text", 256))
+    found = registry()["op7_line_dedup"](spark, folder).select("doc_id", "cleaned_sha256")
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in cleaned.collect()}
+
+
+def test_dedup_is_report_and_clean(docs, workspace, spark):
+    """One row per id and text, also where rows repeat, ids are missing or texts are null."""
+    rows = [*ODD, (None, "One\nTwo lines", "en", "c", None), (9, "Two lines", "fr", None, None), (9, "Two lines", "fr", None, None)]
+    df = docs(rows, clashing=True)
+    found = lines.dedup(df, workspace).collect()
+    told = lines.report(df, Workspace(spark)).collect()
+    names = ("doc_id", "n_lines", "n_near", "n_dropped", "kept_sha256")
+    assert Counter(tuple(r[c] for c in names) for r in found) == Counter(tuple(r[c] for c in names) for r in told)
+    cleaned = {(r["doc_id"], r["text"]) for r in lines.clean(df, Workspace(spark)).collect()}
+    assert {(r["doc_id"], r["text"]) for r in found} == cleaned
+    assert len(found) == len({r[:2] for r in rows})
+
+
 def test_line_edge_cases(docs, workspace, spark):
     rows = lines.report(docs(ODD, clashing=True), workspace).collect()
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(i) for i, _ in {r[:2] for r in ODD})
